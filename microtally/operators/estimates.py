@@ -14,7 +14,6 @@ reduced before its shuffle.
 """
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,23 +26,22 @@ BASIC = "Basic literacy (persons 10-64)"
 INTERNET = "Households with home internet"
 
 
-def outcome_totals(y: Column, w: Column, prefix: str = "") -> list[Column]:
+def outcome_totals(y: str, w: str, prefix: str = "") -> list[Column]:
     """Aggregates of an outcome: weight of positives, weight of the rest, rows.
 
     Rows without an outcome or weight do not take part.
     """
-    value, weight = y.cast("double"), w.cast("double")
-    known = value.isNotNull() & weight.isNotNull()
+    value, weight = f"CAST(`{y}` AS double)", f"CAST(`{w}` AS double)"
     return [
-        F.sum(F.when(known, value * weight)).alias(f"{prefix}a"),
-        F.sum(F.when(known, (1 - value) * weight)).alias(f"{prefix}c"),
-        F.count_if(known).alias(f"{prefix}n"),
+        F.expr(f"sum({value} * {weight}) AS {prefix}a"),
+        F.expr(f"sum((1 - {value}) * {weight}) AS {prefix}c"),
+        F.expr(f"count_if({value} * {weight} IS NOT NULL) AS {prefix}n"),
     ]
 
 
 def merge_totals(*prefixes: str) -> list[Column]:
     """Add up partial outcome totals."""
-    return [F.sum(f"{prefix}{name}").alias(f"{prefix}{name}") for prefix in prefixes or ("",) for name in ("a", "c", "n")]
+    return [F.expr(f"sum({p}{name}) AS {p}{name}") for p in prefixes or ("",) for name in ("a", "c", "n")]
 
 
 def weighted_proportion(df: DataFrame, y: str, w: str, strata: str, cluster, by: str | None = None) -> DataFrame:
@@ -54,7 +52,7 @@ def weighted_proportion(df: DataFrame, y: str, w: str, strata: str, cluster, by:
     """
     clusters = [cluster] if isinstance(cluster, str) else list(cluster)
     keys = list(dict.fromkeys([strata, *clusters, *([by] if by else [])]))
-    totals = df.groupBy(*keys).agg(*outcome_totals(F.col(y), F.col(w)))
+    totals = df.groupBy(*keys).agg(*outcome_totals(y, w))
     return linearise(totals, strata, clusters, by)
 
 
@@ -73,12 +71,12 @@ def linearise(totals: DataFrame, strata: str, clusters, by: str | None = None) -
         sizes = overall.select(F.col(strata).alias("_stratum"), F.col("m").alias("k"))
         within = stratum_moments(totals.where(F.col(by).isNotNull()), strata, clusters, by)
         scatter = within.join(sizes, F.col(strata) == F.col("_stratum"), "left").withColumn("group", F.col(by))
-    return scatter.where(F.col("group").isNotNull()).groupBy("group").agg(
+    return scatter.where("group IS NOT NULL").groupBy("group").agg(
         *merge_totals(),
-        F.sum(_scatter("var_a", "mean_a", "mean_a")).alias("s_aa"),
-        F.sum(_scatter("var_c", "mean_c", "mean_c")).alias("s_cc"),
-        F.sum(_scatter("cov", "mean_a", "mean_c")).alias("s_ac"),
-    ).select("group", *_figures())
+        _scatter("var_a", "mean_a", "mean_a", "s_aa"),
+        _scatter("var_c", "mean_c", "mean_c", "s_cc"),
+        _scatter("cov", "mean_a", "mean_c", "s_ac"),
+    ).selectExpr("*", *SHARES).selectExpr("*", VARIANCE).selectExpr("group", *FIGURES)
 
 
 def stratum_moments(totals: DataFrame, strata: str, clusters, by: str | None = None) -> DataFrame:
@@ -86,52 +84,43 @@ def stratum_moments(totals: DataFrame, strata: str, clusters, by: str | None = N
     domain = [by] if by else []
     keys = [strata, *[name for name in clusters if name != strata]]
     cells = totals.where("n > 0").groupBy(*dict.fromkeys([*keys, *domain])).agg(*merge_totals())
-    placed = reduce(and_, [F.col(name).isNotNull() for name in keys])
-    a, c = F.when(placed, F.col("a")), F.when(placed, F.col("c"))
-    return cells.groupBy(strata, *domain).agg(
-        *merge_totals(),
-        F.count(a).alias("m"),
-        F.avg(a).alias("mean_a"),
-        F.avg(c).alias("mean_c"),
-        F.var_pop(a).alias("var_a"),
-        F.var_pop(c).alias("var_c"),
-        F.covar_pop(a, c).alias("cov"),
-    )
+    placed = " AND ".join(f"`{name}` IS NOT NULL" for name in keys)
+    a, c = f"CASE WHEN {placed} THEN a END", f"CASE WHEN {placed} THEN c END"
+    moments = [f"count({a}) AS m", f"avg({a}) AS mean_a", f"avg({c}) AS mean_c", f"var_pop({a}) AS var_a",
+               f"var_pop({c}) AS var_c", f"covar_pop({a}, {c}) AS cov"]
+    return cells.groupBy(strata, *domain).agg(*merge_totals(), *[F.expr(moment) for moment in moments])
 
 
-def _scatter(moment: str, left: str, right: str) -> Column:
+def _scatter(moment: str, left: str, right: str, name: str) -> Column:
     """Stratum scatter times ``k / (k - 1)``: the present clusters plus the absent zeros.
 
     A stratum with one cluster adds nothing.
     """
-    k, m = F.col("k"), F.col("m")
-    products = m * F.col(moment) + F.col(left) * F.col(right) * m * (k - m) / k
-    return F.when((k > 1) & (m > 0), products * k / (k - 1)).otherwise(F.lit(0.0))
-
-
-def _figures() -> list[Column]:
-    total = F.col("a") + F.col("c")
-    p = F.try_divide(F.col("a"), total)
-    q = F.try_divide(F.col("c"), total)
-    squares = q * q * F.col("s_aa") - 2 * p * q * F.col("s_ac") + p * p * F.col("s_cc")
-    variance = F.greatest(F.try_divide(squares, total * total), F.lit(0.0))
-    error = F.sqrt(variance)
-    simple = p * (1 - p) / F.col("n")
-    return [
-        F.col("n").alias("unweighted_n"),
-        (100 * p).alias("weighted_pct"),
-        (100 * error).alias("se_pct"),
-        (100 * F.greatest(p - Z_95 * error, F.lit(0.0))).alias("ci95_low"),
-        (100 * F.least(p + Z_95 * error, F.lit(1.0))).alias("ci95_high"),
-        F.when(simple > 0, variance / simple).alias("design_effect"),
-    ]
+    return F.expr(
+        f"""sum(CASE WHEN k > 1 AND m > 0
+                THEN (m * {moment} + {left} * {right} * m * (k - m) / k) * k / (k - 1) ELSE 0D END) AS {name}"""
+    )
+
+
+SHARES = ["try_divide(a, a + c) AS p", "try_divide(c, a + c) AS q"]
+VARIANCE = (
+    "greatest(try_divide(q * q * s_aa - 2 * p * q * s_ac + p * p * s_cc, pow(a + c, 2)), 0D) AS variance"
+)
+FIGURES = [
+    "n AS unweighted_n",
+    "100 * p AS weighted_pct",
+    "100 * sqrt(variance) AS se_pct",
+    f"100 * greatest(p - {Z_95}D * sqrt(variance), 0D) AS ci95_low",
+    f"100 * least(p + {Z_95}D * sqrt(variance), 1D) AS ci95_high",
+    "CASE WHEN p * (1 - p) > 0 THEN variance / (p * (1 - p) / n) END AS design_effect",
+]
 
 
 def rounded(estimates: DataFrame) -> DataFrame:
     """Published precision: percentages to 3 places, the design effect to 2."""
     places = dict.fromkeys(["weighted_pct", "se_pct", "ci95_low", "ci95_high"], 3) | {"design_effect": 2}
-    return estimates.select(
-        *[F.round(F.col(c), places[c]).alias(c) if c in places else F.col(c) for c in estimates.columns]
+    return estimates.selectExpr(
+        *[f"round({name}, {places[name]}) AS {name}" if name in places else f"`{name}`" for name in estimates.columns]
     )
 
 
@@ -140,11 +129,10 @@ def person_totals(assessment: DataFrame, household: DataFrame, design, domain: s
 
     Persons are added up per household first; the household then places them.
     """
-    weight = F.col("respondent_weight")
     eligible = assessment.where(F.col("functional_literate").isNotNull())
     per_home = eligible.groupBy("survey_year", "hhid").agg(
-        *outcome_totals(F.col("functional_literate"), weight, "functional_"),
-        *outcome_totals(F.col("basic_literate"), weight, "basic_"),
+        *outcome_totals("functional_literate", "respondent_weight", "functional_"),
+        *outcome_totals("basic_literate", "respondent_weight", "basic_"),
     )
     homes = household.select("survey_year", "hhid", *design, domain)
     placed = per_home.join(homes, ["survey_year", "hhid"], "left")
@@ -164,9 +152,7 @@ def key_indicators(household: DataFrame, assessment: DataFrame, regions: DataFra
     strata, design, tier = "region_code", ["region_code", "province_code", "psu"], "digital_access_tier"
     persons = person_totals(assessment, household, design, tier)
     functional, basic = one_outcome(persons, "functional_"), one_outcome(persons, "basic_")
-    internet = household.groupBy(*design).agg(
-        *outcome_totals(F.col("has_home_internet"), F.col("household_weight"))
-    )
+    internet = household.groupBy(*design).agg(*outcome_totals("has_home_internet", "household_weight"))
     names = regions.select(F.col("region_code").alias("group"), F.col("region_short_name").alias("_name"))
 
     def national(totals):

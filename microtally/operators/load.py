@@ -9,11 +9,11 @@ Folders of replaced runs stay until somebody removes them. One loader runs at a
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from microtally.operators.joins import unique_by
+from microtally.session import path_exists
 from microtally.settings import LOAD_PLAN, SURVEY_YEAR
 
 AUDIT_SCHEMA = (
@@ -62,10 +62,10 @@ def table_path(root: str, table: str, run_id: int) -> str:
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
     """All loads that succeeded."""
-    try:
-        return spark.read.schema(AUDIT_SCHEMA).json(f"{root}/pipeline_run")
-    except AnalysisException:
+    path = f"{root}/pipeline_run"
+    if not path_exists(spark, path):
         return spark.createDataFrame([], AUDIT_SCHEMA)
+    return spark.read.schema(AUDIT_SCHEMA).json(path)
 
 
 def current_runs(spark: SparkSession, root: str) -> list[int]:
@@ -102,10 +102,9 @@ def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, yea
 
 
 def _merge_lookup(spark, root, table, rows, key):
-    try:
-        return upsert(read_warehouse(spark, root, table), rows, key)
-    except AnalysisException:
+    if not current_runs(spark, root):
         return unique_by(rows, key, table)
+    return upsert(read_warehouse(spark, root, table), rows, key)
 
 
 def _one_year(rows, table, year):

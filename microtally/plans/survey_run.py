@@ -6,7 +6,6 @@ resumed at any stage and a lost executor costs at most the tasks it was running.
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from microtally.contract import SURVEY_CONTRACT
 from microtally.operators import curate, estimates, formats, load, profiling, quality, raw_gate, rates, staging
 from microtally.operators.joins import check_counts
 from microtally.functions.text import blank_to_null
+from microtally.session import path_exists
 from microtally.settings import MIN_REGIONS, PARTITION_COLUMN, SURVEY_FILES, SURVEY_YEAR
 from microtally.sources import codebook, datasets, files, region_list, text_tables
 
@@ -85,10 +85,9 @@ class SurveyRun:
 
     def _previous_manifest(self) -> DataFrame | None:
         """The last registered state of each table."""
-        try:
-            history = self.spark.read.json(self.path("manifests"))
-        except AnalysisException:
+        if not path_exists(self.spark, self.path("manifests")):
             return None
+        history = self.spark.read.json(self.path("manifests"))
         earlier = history.where(F.col("batch").cast("string") != self.batch_id)
         return earlier.groupBy("table").agg(F.max_by("sha256", "ingested_at").alias("sha256"))
 
@@ -116,7 +115,8 @@ class SurveyRun:
 
     def _stage_codebook(self) -> None:
         sheets = {source: read_sheet(self.spark, path) for source, path in self.sheets.items()}
-        datasets.write_table(codebook.union_codebooks(sheets), self.staged_path("codebook"))
+        book = codebook.parse_codebook(codebook.union_sheets(sheets))
+        datasets.write_table(book, self.staged_path("codebook"))
 
     def validate_staging(self) -> list:
         lines = {row.table: row.data_lines for row in self.manifest().select("table", "data_lines").collect()}

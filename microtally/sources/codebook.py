@@ -2,34 +2,34 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from microtally.functions.coded import lookup
 from microtally.functions.text import clean_name, strip, strip_label_prefix
+from microtally.operators.ordered import fill_down
 
 # A variable with more labels than this is decoded by a join instead of a literal map.
 INLINE_LABELS = 64
 
 
-def parse_codebook(sheet: DataFrame, source: str) -> DataFrame:
-    """One row per value set, code range and label.
+def parse_codebook(sheets: DataFrame) -> DataFrame:
+    """One row per source, value set, code range and label.
 
-    ``sheet`` has ``row`` (its order) and the text cells ``c0`` to ``c4``. A filled ``c0``
-    starts a value set (name, title); the rows below it hold label, from and to. The
-    window covers one sheet, whose length the file format limits to 1,048,576 rows.
+    ``sheets`` has ``source``, ``row`` (order within the source) and the text cells ``c0``
+    to ``c4``. A filled ``c0`` starts a value set (name, title); the rows below it hold
+    label, from and to.
     """
     header = F.when(
         F.col("c0").isNotNull(),
         F.struct(strip("c0").alias("value_set"), strip(F.coalesce("c1", F.lit(""))).alias("variable_label")),
     )
-    above = Window.partitionBy("_sheet").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    filled = sheet.withColumn("_sheet", F.lit(source)).withColumn("_set", F.last(header, ignorenulls=True).over(above))
+    filled = fill_down(sheets.withColumn("_set", header), "source", "row", "_set")
     start = F.col("c3").cast("double").cast("long")
     return filled.where(
         F.col("c0").isNull() & (F.col("_set.value_set") != "") & F.col("c3").isNotNull()
     ).select(
-        F.lit(source).alias("source"),
+        "source",
         "row",
         F.col("_set.value_set").alias("value_set"),
         clean_name(F.split("_set.value_set", "_VS")[0]).alias("variable"),
@@ -40,10 +40,10 @@ def parse_codebook(sheet: DataFrame, source: str) -> DataFrame:
     )
 
 
-def union_codebooks(sheets: dict) -> DataFrame:
-    """Parse several sheets (source name to frame) into one codebook."""
-    books = [parse_codebook(sheet, source) for source, sheet in sheets.items()]
-    return reduce(DataFrame.unionByName, books)
+def union_sheets(sheets: dict) -> DataFrame:
+    """Sheets of several sources as one frame."""
+    tagged = [sheet.withColumn("source", F.lit(source)) for source, sheet in sheets.items()]
+    return reduce(DataFrame.unionByName, tagged)
 
 
 def codebook_summary(codebook: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Parquet tables and datasets partitioned by one column."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from microtally.session import path_exists
 from microtally.settings import PARTITION_COLUMN
 
 # Rows one file of a partition may hold; a larger partition is split over several files.
@@ -57,7 +57,6 @@ def write_csv_copy(df: DataFrame, path: str) -> None:
 
 def read_published(spark: SparkSession, parquet: str, csv: str, schema) -> DataFrame:
     """A result table from Parquet, or from its CSV copy where Parquet is missing."""
-    try:
+    if path_exists(spark, parquet):
         return spark.read.parquet(parquet)
-    except AnalysisException:
-        return spark.read.schema(schema).option("header", True).csv(csv)
+    return spark.read.schema(schema).option("header", True).csv(csv)

@@ -2,11 +2,11 @@
 
 import fnmatch
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microtally.errors import SourceError
+from microtally.session import path_exists
 from microtally.sources.text_tables import read_text_table
 
 CHUNK_BYTES = 4 << 20
@@ -25,10 +25,9 @@ def list_files(spark: SparkSession, paths) -> DataFrame:
 
 def find_source_file(spark: SparkSession, folder: str, pattern: str) -> str:
     """Path of the one file in ``folder`` matching a glob, ignoring case."""
-    try:
-        listing = list_files(spark, folder)
-    except AnalysisException as missing:
-        raise SourceError(f"source folder not found: {folder}") from missing
+    if not path_exists(spark, folder):
+        raise SourceError(f"source folder not found: {folder}")
+    listing = list_files(spark, folder)
     wanted = F.lower("file").rlike("^" + fnmatch.translate(pattern.lower()))
     found = listing.where(wanted).orderBy("file").limit(10).collect()
     if not found:

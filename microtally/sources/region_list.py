@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microtally.errors import SourceError
+from microtally.session import path_exists
 from microtally.settings import MIN_REGIONS, REGION_FIELDS
 
 
@@ -51,7 +52,6 @@ def load_region_list(spark: SparkSession, fresh: str, snapshot: str, fields=REGI
 
 
 def read_snapshot(spark: SparkSession, snapshot: str, reason: Exception) -> DataFrame:
-    try:
-        return spark.read.parquet(snapshot).withColumn("status", F.lit("cached"))
-    except PySparkException as missing:
-        raise SourceError(f"region list unusable and no snapshot exists: {reason}") from missing
+    if not path_exists(spark, snapshot):
+        raise SourceError(f"region list unusable and no snapshot exists: {reason}") from reason
+    return spark.read.parquet(snapshot).withColumn("status", F.lit("cached"))
