@@ -1,40 +1,62 @@
 """Source files: lookup, checksum, encoding, line counts, manifest and change detection."""
 
 import fnmatch
+import re
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microtally.errors import SourceError
-from microtally.session import path_exists
+from microtally.session import checkpointed, path_exists
 from microtally.sources.text_tables import read_text_table
 
 CHUNK_BYTES = 4 << 20
 
+# Local files are reported with one slash or with three.
+LOCAL_PREFIX = "^file:/+"
+
+
+FILE_SCHEMA = "path string, uri string, file string, size_bytes long, file_modified_at timestamp"
+
+
+def file_statuses(spark: SparkSession, path: str) -> list[tuple]:
+    """Path, URI, name, size and modification time of a file, or of the files in a folder.
+
+    The URI is the escaped form in which scans report where a row came from. Spark's file
+    sources leave out empty files, which have to be noticed here.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in file_system.listStatus(hadoop_path):
+        name = status.getPath().getName()
+        if status.isFile() and not name.startswith(("_", ".")):
+            uri = re.sub(LOCAL_PREFIX, "file:///", status.getPath().toUri().toString())
+            modified = datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
+            found.append((status.getPath().toString(), uri, name, status.getLen(), modified))
+    return found
+
 
 def list_files(spark: SparkSession, paths) -> DataFrame:
-    """Path, name, size and modification time; the content is not read."""
-    listing = spark.read.format("binaryFile").load(paths)
-    return listing.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("file_modified_at"),
-    )
+    """Where files are, how large and how old; the content is not read."""
+    paths = [paths] if isinstance(paths, str) else paths
+    return spark.createDataFrame([row for path in paths for row in file_statuses(spark, path)], FILE_SCHEMA)
 
 
 def find_source_file(spark: SparkSession, folder: str, pattern: str) -> str:
     """Path of the one file in ``folder`` matching a glob, ignoring case."""
     if not path_exists(spark, folder):
         raise SourceError(f"source folder not found: {folder}")
-    listing = list_files(spark, folder)
-    wanted = F.lower("file").rlike("^" + fnmatch.translate(pattern.lower()))
-    found = listing.where(wanted).orderBy("file").limit(10).collect()
+    found = sorted(
+        (name, path) for path, _, name, _, _ in file_statuses(spark, folder)
+        if fnmatch.fnmatch(name.lower(), pattern.lower())
+    )
     if not found:
         raise SourceError(f"no file matching '{pattern}' in {folder}")
     if len(found) > 1:
-        raise SourceError(f"pattern '{pattern}' matches several files: {[row.file for row in found]}")
-    return found[0].path
+        raise SourceError(f"pattern '{pattern}' matches several files: {[name for name, _ in found]}")
+    return found[0][1]
 
 
 def checksums(files: DataFrame) -> DataFrame:
@@ -52,16 +74,21 @@ def checksums(files: DataFrame) -> DataFrame:
 
         for batch in batches:
             hashes = []
-            for uri in batch["path"]:
+            for uri in batch["uri"]:
                 filesystem, name = fs.FileSystem.from_uri(uri)
                 digest = hashlib.sha256()
                 with filesystem.open_input_stream(name, compression=None) as stream:
                     while chunk := stream.read(CHUNK_BYTES):
                         digest.update(chunk)
                 hashes.append(digest.hexdigest())
-            yield pd.DataFrame({"path": batch["path"], "sha256": hashes})
+            yield pd.DataFrame({"uri": batch["uri"], "sha256": hashes})
+
+    return files.select("uri").repartition("uri").mapInPandas(hash_batches, "uri string, sha256 string")
 
-    return files.select("path").repartition("path").mapInPandas(hash_batches, "path string, sha256 string")
+
+def scanned_uri():
+    """URI of the file a scanned row came from, spelt as in the listing."""
+    return F.regexp_replace("_metadata.file_path", LOCAL_PREFIX, "file:///")
 
 
 def text_facts(spark: SparkSession, paths) -> DataFrame:
@@ -73,10 +100,10 @@ def text_facts(spark: SparkSession, paths) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(paths)
     blank = F.col("value").rlike(r"^[ \t\r\f\x0B]*$")
     return (
-        lines.groupBy(F.col("_metadata.file_path").alias("path"))
+        lines.groupBy(scanned_uri().alias("uri"))
         .agg(F.bool_and(F.is_valid_utf8("value")).alias("_valid"), F.count_if(~blank).alias("_lines"))
         .select(
-            "path",
+            "uri",
             F.when(F.col("_valid"), "utf-8-sig").otherwise("latin-1").alias("encoding"),
             F.greatest(F.col("_lines") - 1, F.lit(0)).alias("data_lines"),
         )
@@ -93,28 +120,24 @@ def describe_files(spark: SparkSession, paths) -> DataFrame:
     """Listing, checksum, encoding and data lines of some files."""
     files = list_files(spark, paths)
     return (
-        files.join(checksums(files), "path", "left")
-        .join(text_facts(spark, paths), "path", "left")
+        files.join(checksums(files), "uri", "left")
+        .join(text_facts(spark, paths), "uri", "left")
         .fillna({"encoding": "utf-8-sig", "data_lines": 0})
     )
 
 
 def file_manifest(spark: SparkSession, files: dict, source: str, previous: DataFrame | None = None) -> DataFrame:
-    """One row per registered table: ``files`` maps table names to paths."""
-    names = spark.createDataFrame(
-        [(table, path) for table, path in files.items()], "`table` string, requested string"
-    )
-    facts = describe_files(spark, list(files.values()))
-    # A registered path and a listed one differ in scheme and slashes, never in file name.
-    named = facts.join(
-        F.broadcast(names.withColumn("file", F.element_at(F.split("requested", "/"), -1))), "file"
-    ).drop("requested")
-    encodings = {row.table: row.encoding for row in named.select("table", "encoding").collect()}
-    headers = spark.createDataFrame(
-        [(table, read_text_table(spark, path, encodings[table]).columns) for table, path in files.items()],
-        "`table` string, column_names array<string>",
-    )
-    manifest = named.join(F.broadcast(headers), "table").select(
+    """One row per registered table: ``files`` maps table names to the paths of their files."""
+    facts = checkpointed(describe_files(spark, list(files.values())))
+    known = {row.uri: row for row in facts.select("uri", "size_bytes", "encoding").collect()}
+    rows = []
+    for table, path in files.items():
+        for _, uri, *_ in file_statuses(spark, path):
+            filled = known[uri].size_bytes > 0
+            header = read_text_table(spark, path, known[uri].encoding).columns if filled else []
+            rows.append((table, uri, header))
+    headers = spark.createDataFrame(rows, "`table` string, uri string, column_names array<string>")
+    manifest = facts.join(headers, "uri").select(
         "table", F.lit(source).alias("source"), "file", "path", "sha256", "size_bytes", "encoding", "data_lines",
         F.size("column_names").alias("columns"), "column_names", "file_modified_at",
     )

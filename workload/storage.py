@@ -187,10 +187,10 @@ def customer_files(spark, sf_dir):
 def file_manifest(spark, sf_dir):
     path = customer_files(spark, sf_dir)
     content = spark.read.format("binaryFile").load(path).select(
-        F.col("_metadata.file_path").alias("path"), F.sha2("content", 256).alias("_sha"),
+        files.scanned_uri().alias("uri"), F.sha2("content", 256).alias("_sha"),
         F.length("content").alias("_length"),
     )
-    facts = files.describe_files(spark, path).join(content, "path", "full")
+    facts = files.describe_files(spark, path).join(content, "uri", "full")
     return facts.agg(
         F.sum("data_lines").alias("data_lines"),
         F.max("encoding").alias("encoding"),
