@@ -60,7 +60,14 @@ class SurveyRun:
         return self.spark.read.json(self.path("manifests", f"batch={self.batch_id}"))
 
     def locate(self, table: str) -> str:
-        return files.find_source_file(self.spark, self.raw, SURVEY_FILES[table]["file_pattern"])
+        return files.find_source(self.spark, self.raw, SURVEY_FILES[table]["file_pattern"])
+
+    def registered(self) -> list:
+        """Per table: where it is, its encoding and its number of data lines."""
+        rows = self.manifest().groupBy("table", "location").agg(
+            files.common_encoding(), F.sum("data_lines").alias("data_lines")
+        )
+        return sorted(rows.collect(), key=lambda row: list(SURVEY_FILES).index(row.table))
 
     # ---------- stages ----------
 
@@ -81,7 +88,7 @@ class SurveyRun:
         )
         target = self.path("manifests", f"batch={self.batch_id}")
         manifest.coalesce(1).write.mode("overwrite").json(target)
-        return files.reject_empty(self.manifest()).count()
+        return files.reject_empty(self.manifest()).select("table").distinct().count()
 
     def _previous_manifest(self) -> DataFrame | None:
         """The last registered state of each table."""
@@ -89,23 +96,21 @@ class SurveyRun:
             return None
         history = self.spark.read.json(self.path("manifests"))
         earlier = history.where(F.col("batch").cast("string") != self.batch_id)
-        return earlier.groupBy("table").agg(F.max_by("sha256", "ingested_at").alias("sha256"))
+        return earlier.groupBy("table", "file").agg(F.max_by("sha256", "ingested_at").alias("sha256"))
 
     def validate_raw(self) -> list:
-        checksums = {row.table: row.sha256 for row in self.manifest().select("table", "sha256").collect()}
-        results = raw_gate.check_raw_files(self.spark, self.locate, self.contract["raw_files"], checksums)
+        results = raw_gate.check_raw_files(self.spark, self.locate, self.contract["raw_files"], self.manifest())
         return self._report("raw_gate", results)
 
     def profile(self) -> list[str]:
-        for row in self.manifest().select("table", "file", "path", "encoding").collect():
-            raw = text_tables.read_text_table(self.spark, row.path, row.encoding)
-            report = profiling.full_profile(raw, row.table, row.file)
+        for row in self.registered():
+            raw = text_tables.read_text_table(self.spark, row.location, row.encoding)
+            report = profiling.full_profile(raw, row.table, row.location.rsplit("/", 1)[-1])
             report.coalesce(1).write.mode("overwrite").json(self.path("reports/profile", row.table))
         return list(SURVEY_FILES)
 
     def stage(self) -> dict[str, int]:
-        facts = self.manifest().select("table", "path", "encoding").collect()
-        stats = [stage_table(self, row.table, row.path, row.encoding) for row in facts]
+        stats = [stage_table(self, row.table, row.location, row.encoding) for row in self.registered()]
         columns = "`table` string, rows_in long, exact_duplicates_removed long, rows_sharing_a_key long, " \
                   "key_duplicates_removed long, rows_out long"
         report = self.spark.createDataFrame([tuple(s.values()) for s in stats], columns)
@@ -119,7 +124,7 @@ class SurveyRun:
         datasets.write_table(book, self.staged_path("codebook"))
 
     def validate_staging(self) -> list:
-        lines = {row.table: row.data_lines for row in self.manifest().select("table", "data_lines").collect()}
+        lines = {row.table: row.data_lines for row in self.registered()}
         report = self.spark.read.json(self.path("reports/dedup", f"batch={self.batch_id}")).collect()
         reconciled = [
             quality.check_row_reconciliation(

@@ -20,16 +20,20 @@ LOCAL_PREFIX = "^file:/+"
 FILE_SCHEMA = "path string, uri string, file string, size_bytes long, file_modified_at timestamp"
 
 
+def list_status(spark: SparkSession, path: str):
+    """Entries of a folder, or the one entry of a file, from the file system the path names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+
+
 def file_statuses(spark: SparkSession, path: str) -> list[tuple]:
     """Path, URI, name, size and modification time of a file, or of the files in a folder.
 
     The URI is the escaped form in which scans report where a row came from. Spark's file
     sources leave out empty files, which have to be noticed here.
     """
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = []
-    for status in file_system.listStatus(hadoop_path):
+    for status in list_status(spark, path):
         name = status.getPath().getName()
         if status.isFile() and not name.startswith(("_", ".")):
             uri = re.sub(LOCAL_PREFIX, "file:///", status.getPath().toUri().toString())
@@ -44,13 +48,16 @@ def list_files(spark: SparkSession, paths) -> DataFrame:
     return spark.createDataFrame([row for path in paths for row in file_statuses(spark, path)], FILE_SCHEMA)
 
 
-def find_source_file(spark: SparkSession, folder: str, pattern: str) -> str:
-    """Path of the one file in ``folder`` matching a glob, ignoring case."""
+def find_source(spark: SparkSession, folder: str, pattern: str) -> str:
+    """Path of the one entry of ``folder`` matching a glob, ignoring case.
+
+    An entry is a file, or a folder of part files that all have the same header.
+    """
     if not path_exists(spark, folder):
         raise SourceError(f"source folder not found: {folder}")
     found = sorted(
-        (name, path) for path, _, name, _, _ in file_statuses(spark, folder)
-        if fnmatch.fnmatch(name.lower(), pattern.lower())
+        (status.getPath().getName(), status.getPath().toString()) for status in list_status(spark, folder)
+        if fnmatch.fnmatch(status.getPath().getName().lower(), pattern.lower())
     )
     if not found:
         raise SourceError(f"no file matching '{pattern}' in {folder}")
@@ -116,6 +123,11 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return row.encoding or "utf-8-sig"
 
 
+def common_encoding():
+    """Encoding of a table: latin-1 as soon as one of its files is not UTF-8."""
+    return F.min("encoding").alias("encoding")
+
+
 def describe_files(spark: SparkSession, paths) -> DataFrame:
     """Listing, checksum, encoding and data lines of some files."""
     files = list_files(spark, paths)
@@ -127,35 +139,39 @@ def describe_files(spark: SparkSession, paths) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, files: dict, source: str, previous: DataFrame | None = None) -> DataFrame:
-    """One row per registered table: ``files`` maps table names to the paths of their files."""
+    """One row per registered file: ``files`` maps table names to files or folders of parts."""
     facts = checkpointed(describe_files(spark, list(files.values())))
-    known = {row.uri: row for row in facts.select("uri", "size_bytes", "encoding").collect()}
-    rows = []
-    for table, path in files.items():
-        for _, uri, *_ in file_statuses(spark, path):
-            filled = known[uri].size_bytes > 0
-            header = read_text_table(spark, path, known[uri].encoding).columns if filled else []
-            rows.append((table, uri, header))
-    headers = spark.createDataFrame(rows, "`table` string, uri string, column_names array<string>")
-    manifest = facts.join(headers, "uri").select(
-        "table", F.lit(source).alias("source"), "file", "path", "sha256", "size_bytes", "encoding", "data_lines",
-        F.size("column_names").alias("columns"), "column_names", "file_modified_at",
+    located = spark.createDataFrame(
+        [(table, path, status[1]) for table, path in files.items() for status in file_statuses(spark, path)],
+        "`table` string, location string, uri string",
+    )
+    filled = facts.where("size_bytes > 0").join(located, "uri")
+    charsets = {row.table: row.encoding for row in filled.groupBy("table").agg(common_encoding()).collect()}
+    headers = spark.createDataFrame(
+        [(table, read_text_table(spark, path, charsets[table]).columns if table in charsets else [])
+         for table, path in files.items()],
+        "`table` string, column_names array<string>",
+    )
+    manifest = facts.join(located, "uri").join(headers, "table").select(
+        "table", F.lit(source).alias("source"), "location", "file", "path", "sha256", "size_bytes", "encoding",
+        "data_lines", F.size("column_names").alias("columns"), "column_names", "file_modified_at",
     )
-    return flag_changes(manifest, previous)
+    return flag_changes(manifest, previous, ("table", "file"))
 
 
-def flag_changes(manifest: DataFrame, previous: DataFrame | None) -> DataFrame:
-    """Add ``changed_since_last_run``: the table was registered before with another checksum."""
+def flag_changes(manifest: DataFrame, previous: DataFrame | None, key=("table",)) -> DataFrame:
+    """Add ``changed_since_last_run``: registered before under this key with another checksum."""
     if previous is None:
         return manifest.withColumn("changed_since_last_run", F.lit(False))
-    before = previous.select("table", F.col("sha256").alias("_before"))
+    before = previous.select(*key, F.col("sha256").alias("_before"))
     changed = F.coalesce(F.col("_before") != F.col("sha256"), F.lit(False))
-    return manifest.join(before, "table", "left").withColumn("changed_since_last_run", changed).drop("_before")
+    return manifest.join(before, list(key), "left").withColumn("changed_since_last_run", changed).drop("_before")
 
 
 def reject_empty(manifest: DataFrame) -> DataFrame:
-    """Fail on a registered file without content."""
-    empty = [row.file for row in manifest.where("size_bytes = 0").select("file").limit(10).collect()]
+    """Fail on a registered table without content."""
+    sizes = manifest.groupBy("location").agg(F.sum("size_bytes").alias("bytes")).where("bytes = 0")
+    empty = [row.location for row in sizes.limit(10).collect()]
     if empty:
         raise SourceError(f"source files are empty: {empty}")
     return manifest

@@ -17,12 +17,16 @@ FILE, BLOCK, ROW = "_file", "_block", "_row"
 
 
 def read_text_table(spark: SparkSession, path, encoding: str = "utf-8-sig") -> DataFrame:
-    """Every column as text, nothing inferred; a quote inside quotes is doubled."""
+    """Every column as text, nothing inferred; a quote inside quotes is doubled.
+
+    A path may be a folder of part files; one with another header fails the read.
+    """
     return (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("encoding", CHARSETS.get(encoding, encoding))
         .option("escape", '"')
+        .option("enforceSchema", False)
         .csv(path)
     )
 
