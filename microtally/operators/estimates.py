@@ -25,6 +25,17 @@ FUNCTIONAL = "Functional literacy (persons 10-64)"
 BASIC = "Basic literacy (persons 10-64)"
 INTERNET = "Households with home internet"
 
+# Blocks of the published table in their order.
+BLOCKS = [
+    (FUNCTIONAL, "National"),
+    (BASIC, "National"),
+    (FUNCTIONAL, "Digital access tier"),
+    (FUNCTIONAL, "Region"),
+    (INTERNET, "National"),
+    (INTERNET, "Region"),
+]
+PERCENTAGES = ["weighted_pct", "se_pct", "ci95_low", "ci95_high"]
+
 
 def outcome_totals(y: str, w: str, prefix: str = "") -> list[Column]:
     """Aggregates of an outcome: weight of positives, weight of the rest, rows.
@@ -56,39 +67,41 @@ def weighted_proportion(df: DataFrame, y: str, w: str, strata: str, cluster, by:
     return linearise(totals, strata, clusters, by)
 
 
-def linearise(totals: DataFrame, strata: str, clusters, by: str | None = None) -> DataFrame:
+def linearise(totals: DataFrame, strata: str, clusters, by: str | None = None, per=()) -> DataFrame:
     """Estimates from totals per cluster and domain (``a``, ``c``, ``n``).
 
     Totals may be finer than needed; they are added up first. A row whose stratum or
-    cluster is unknown counts for the share, not for the variance.
+    cluster is unknown counts for the share, not for the variance. ``per`` names columns
+    that hold several estimates in one frame; they come first in the result.
     """
-    overall = stratum_moments(totals, strata, clusters)
+    per = list(per)
+    overall = stratum_moments(totals, strata, clusters, per)
     if by in (None, strata):
         # Every cluster of a stratum with rows in the domain is present in it.
         group = F.lit("All") if by is None else F.col(strata)
         scatter = overall.withColumn("group", group).withColumn("k", F.col("m"))
     else:
-        sizes = overall.select(F.col(strata).alias("_stratum"), F.col("m").alias("k"))
-        within = stratum_moments(totals.where(F.col(by).isNotNull()), strata, clusters, by)
-        scatter = within.join(sizes, F.col(strata) == F.col("_stratum"), "left").withColumn("group", F.col(by))
-    return scatter.where("group IS NOT NULL").groupBy("group").agg(
+        sizes = overall.select(*per, F.col(strata).alias("_stratum"), F.col("m").alias("k"))
+        within = stratum_moments(totals.where(F.col(by).isNotNull()), strata, clusters, [*per, by])
+        placed = within.withColumn("_stratum", F.col(strata))
+        scatter = placed.join(sizes, [*per, "_stratum"], "left").withColumn("group", F.col(by))
+    return scatter.where("group IS NOT NULL").groupBy(*per, "group").agg(
         *merge_totals(),
         _scatter("var_a", "mean_a", "mean_a", "s_aa"),
         _scatter("var_c", "mean_c", "mean_c", "s_cc"),
         _scatter("cov", "mean_a", "mean_c", "s_ac"),
-    ).selectExpr("*", *SHARES).selectExpr("*", VARIANCE).selectExpr("group", *FIGURES)
+    ).selectExpr("*", *SHARES).selectExpr("*", VARIANCE).selectExpr(*per, "group", *FIGURES)
 
 
-def stratum_moments(totals: DataFrame, strata: str, clusters, by: str | None = None) -> DataFrame:
-    """Totals per stratum (and domain), and how they scatter over its ``m`` clusters."""
-    domain = [by] if by else []
+def stratum_moments(totals: DataFrame, strata: str, clusters, domain) -> DataFrame:
+    """Totals per stratum and domain, and how they scatter over its ``m`` clusters."""
     keys = [strata, *[name for name in clusters if name != strata]]
     cells = totals.where("n > 0").groupBy(*dict.fromkeys([*keys, *domain])).agg(*merge_totals())
     placed = " AND ".join(f"`{name}` IS NOT NULL" for name in keys)
     a, c = f"CASE WHEN {placed} THEN a END", f"CASE WHEN {placed} THEN c END"
     moments = [f"count({a}) AS m", f"avg({a}) AS mean_a", f"avg({c}) AS mean_c", f"var_pop({a}) AS var_a",
                f"var_pop({c}) AS var_c", f"covar_pop({a}, {c}) AS cov"]
-    return cells.groupBy(strata, *domain).agg(*merge_totals(), *[F.expr(moment) for moment in moments])
+    return cells.groupBy(*domain, strata).agg(*merge_totals(), *[F.expr(moment) for moment in moments])
 
 
 def _scatter(moment: str, left: str, right: str, name: str) -> Column:
@@ -118,7 +131,7 @@ FIGURES = [
 
 def rounded(estimates: DataFrame) -> DataFrame:
     """Published precision: percentages to 3 places, the design effect to 2."""
-    places = dict.fromkeys(["weighted_pct", "se_pct", "ci95_low", "ci95_high"], 3) | {"design_effect": 2}
+    places = dict.fromkeys(PERCENTAGES, 3) | {"design_effect": 2}
     return estimates.selectExpr(
         *[f"round({name}, {places[name]}) AS {name}" if name in places else f"`{name}`" for name in estimates.columns]
     )
@@ -139,57 +152,50 @@ def person_totals(assessment: DataFrame, household: DataFrame, design, domain: s
     return placed.groupBy(*design, domain).agg(*merge_totals("functional_", "basic_"))
 
 
-def one_outcome(totals: DataFrame, prefix: str) -> DataFrame:
-    return totals.withColumnsRenamed({f"{prefix}{name}": name for name in ("a", "c", "n")})
+def one_outcome(totals: DataFrame, indicator: str, prefix: str, design, domain: str) -> DataFrame:
+    """Totals of one outcome in the common form, labelled with its indicator."""
+    figures = [F.col(f"{prefix}{name}").alias(name) for name in ("a", "c", "n")]
+    return totals.select(F.lit(indicator).alias("indicator"), *design, domain, *figures)
 
 
 def key_indicators(household: DataFrame, assessment: DataFrame, regions: DataFrame, batch_id: str) -> DataFrame:
     """Headline rates with 95% intervals: six blocks in their published order.
 
     Persons are scanned, joined and aggregated once, to region, cluster and tier, for both
-    outcomes; all person blocks read that one shuffled result.
+    outcomes; households once. What follows works on the totals of the clusters, all
+    indicators together.
     """
-    strata, design, tier = "region_code", ["region_code", "province_code", "psu"], "digital_access_tier"
+    strata, design, tier, per = "region_code", ["region_code", "province_code", "psu"], "digital_access_tier", ["indicator"]
     persons = person_totals(assessment, household, design, tier)
-    functional, basic = one_outcome(persons, "functional_"), one_outcome(persons, "basic_")
-    internet = household.groupBy(*design).agg(*outcome_totals("has_home_internet", "household_weight"))
+    homes = household.groupBy(*design, tier).agg(*outcome_totals("has_home_internet", "household_weight"))
+    totals = (
+        one_outcome(persons, FUNCTIONAL, "functional_", design, tier)
+        .unionByName(one_outcome(persons, BASIC, "basic_", design, tier))
+        .unionByName(one_outcome(homes, INTERNET, "", design, tier))
+    )
     names = regions.select(F.col("region_code").alias("group"), F.col("region_short_name").alias("_name"))
 
-    def national(totals):
-        return linearise(totals, strata, design).withColumn("_rank", F.lit(0.0))
-
-    def by_region(totals):
-        named = linearise(totals, strata, design, strata).join(names, "group", "left")
-        return named.withColumn("group", F.col("_name")).drop("_name").withColumn("_rank", -F.col("weighted_pct"))
-
-    def by_tier(totals):
-        order = {name: float(i) for i, name in enumerate(TIER_ORDER)}
-        return complete_tiers(linearise(totals, strata, design, tier)).withColumn("_rank", lookup(F.col("group"), order))
-
-    blocks = [
-        (FUNCTIONAL, "National", national(functional)),
-        (BASIC, "National", national(basic)),
-        (FUNCTIONAL, "Digital access tier", by_tier(functional)),
-        (FUNCTIONAL, "Region", by_region(functional)),
-        (INTERNET, "National", national(internet)),
-        (INTERNET, "Region", by_region(internet)),
-    ]
-    labelled = [
-        block.select(
-            F.lit(indicator).alias("indicator"), F.lit(breakdown).alias("breakdown"), "*",
-            F.lit(position).alias("_block"),
-        )
-        for position, (indicator, breakdown, block) in enumerate(blocks)
-    ]
+    national = linearise(totals, strata, design, None, per)
+    by_tier = complete_tiers(linearise(totals.where(F.col("indicator") == FUNCTIONAL), strata, design, tier, per))
+    by_region = linearise(totals.where(F.col("indicator") != BASIC), strata, design, strata, per)
+    named = by_region.join(names, "group", "left").withColumn("group", F.col("_name")).drop("_name")
+    blocks = {"National": national, "Digital access tier": by_tier, "Region": named}
+    labelled = [block.withColumn("breakdown", F.lit(breakdown)) for breakdown, block in blocks.items()]
     stacked = rounded(reduce(DataFrame.unionByName, labelled))
-    return stacked.orderBy("_block", "_rank").drop("_block", "_rank").withColumn("batch_id", F.lit(batch_id))
+
+    position = lookup(F.concat_ws("|", "indicator", "breakdown"), {"|".join(b): i for i, b in enumerate(BLOCKS)})
+    tier_rank = lookup(F.col("group"), {name: float(i) for i, name in enumerate(TIER_ORDER)})
+    rank = F.when(F.col("breakdown") == "Region", -F.col("weighted_pct")).otherwise(tier_rank)
+    return stacked.orderBy(position, rank).select(
+        "indicator", "breakdown", "group", "unweighted_n", *PERCENTAGES, "design_effect", F.lit(batch_id).alias("batch_id")
+    )
 
 
 def complete_tiers(estimates: DataFrame) -> DataFrame:
     """One row per tier of the fixed list; a tier without persons has empty figures."""
     listed = F.explode(F.array(*[F.lit(name) for name in TIER_ORDER])).alias("group")
-    tiers = estimates.sparkSession.range(1).select(listed)
-    return tiers.join(estimates, "group", "left")
+    tiers = estimates.sparkSession.range(1).select(F.lit(FUNCTIONAL).alias("indicator"), listed)
+    return tiers.join(estimates, ["indicator", "group"], "left")
 
 
 def tier_table(estimates: DataFrame) -> DataFrame:

@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from microtally.errors import JoinContractError
 
 
+# Rows a lookup table may have to be sent to every executor.
+BROADCAST_ROWS = 200_000
+
+# Tasks a hot key is spread over.
+SALTS = 32
+
+
 def _require(condition, message: str):
     return F.when(condition, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
 
@@ -40,31 +47,70 @@ def join_one_to_one(left: DataFrame, right: DataFrame, key, keep_all: bool = Fal
 
 
 def join_many_to_one(child: DataFrame, parent: DataFrame, key) -> DataFrame:
-    """Left join to a parent with a unique key: exactly one output row per child row."""
-    return child.join(unique_by(parent, key, "parent"), key, "left")
+    """Left join to a parent with a unique key: exactly one output row per child row.
+
+    The parent's uniqueness is a subquery over its key columns, so that the join itself is
+    a plain one whose skewed child keys Spark can split while it runs.
+    """
+    key = list(key)
+    repeated = parent.groupBy(*key).count().where("count > 1").agg(F.count("*"))
+    known = parent.dropna(subset=key)
+    unique = _require(repeated.scalar() == 0, f"parent: key {key} is not unique")
+    return child.where(unique).join(known, key, "left")
+
+
+def lookup_join(df: DataFrame, table: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join to a lookup table whose size is checked first.
+
+    Up to ``BROADCAST_ROWS`` it is broadcast; a larger one is joined by salted keys.
+    ``on`` lists columns both sides have.
+    """
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(table), on, how)
+    return salted_join(df, table, on, how)
+
+
+def salted_join(df: DataFrame, table: DataFrame, on, how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Equi-join that spreads each key of ``df`` over ``salts`` tasks.
+
+    ``table`` is repeated once per salt. The salt comes from the row itself, so a task
+    that runs again gives the same rows. Null keys do not match unless ``how`` is
+    ``left_semi``, where nulls equal each other.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn(
+        "_salt", F.col("_salt").cast("long")
+    )
+    if how == "left_semi":
+        renamed = copies.select(*[F.col(name).alias(f"_key_{name}") for name in [*on, "_salt"]])
+        same = [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in [*on, "_salt"]]
+        return salted.join(renamed, same, how).drop("_salt")
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def orphan_keys(child: DataFrame, columns, parent: DataFrame, parent_columns) -> DataFrame:
-    """Distinct child keys the parent lacks; a key with a null in it is not checked."""
+    """Distinct child keys the parent lacks; a key with a null in it is not checked.
+
+    Both sides are reduced to distinct keys before they move.
+    """
     keys = child.select(*columns).dropna().distinct()
-    known = parent.select(*[F.col(old).alias(new) for old, new in zip(parent_columns, columns)])
+    known = parent.select(*[F.col(old).alias(new) for old, new in zip(parent_columns, columns)]).distinct()
     return keys.join(known, list(columns), "left_anti")
 
 
 def band_join(df: DataFrame, value: str, bands: DataFrame, out: str, width: int) -> DataFrame:
     """Left join to the band ``[lower, upper)`` that holds the value.
 
-    ``bands`` has ``lower``, ``upper`` and ``label``. Each band is listed under the cells
-    of ``width`` it touches, which makes this an equi-join on the cell; the bounds are
-    checked on the few bands of a cell only.
+    ``bands`` has ``lower``, ``upper`` and ``label`` and does not overlap. Each band is cut
+    into the cells of ``width`` it touches, which makes this an equi-join on the cell.
+    Bounds must be multiples of ``width``, so that a cell belongs to one band.
     """
-    cells = bands.withColumn(
-        "_cell",
-        F.explode(F.sequence(F.floor(F.col("lower") / width), F.ceil(F.col("upper") / width) - 1)),
-    ).select("_cell", "lower", "upper", F.col("label").alias(out))
-    inside = (F.col(value) >= F.col("lower")) & (F.col(value) < F.col("upper"))
-    cell = F.floor(F.col(value) / width)
-    return df.join(cells, (cell == F.col("_cell")) & inside, "left").drop("_cell", "lower", "upper")
+    cells = bands.select(
+        F.explode(F.sequence(F.floor(F.col("lower") / width), F.ceil(F.col("upper") / width) - 1)).alias("_cell"),
+        F.col("label").alias(out),
+    )
+    celled = df.withColumn("_cell", F.floor(F.col(value) / width))
+    return lookup_join(celled, cells, ["_cell"]).drop("_cell")
 
 
 def check_counts(name: str, expected: int, found: int) -> None:

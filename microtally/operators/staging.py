@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from microtally.errors import DuplicateShareError, SourceError
 from microtally.functions.text import PLAIN_INTEGER, blank_to_null, is_number
+from microtally.operators.joins import salted_join
 from microtally.settings import MAX_DUPLICATE_SHARE
 from microtally.sources.text_tables import clean_names
 
@@ -23,23 +24,39 @@ def standardise(df: DataFrame) -> DataFrame:
     return df.select(*[blank_to_null(F.col(f"`{old}`")).alias(new) for old, new in zip(df.columns, names)])
 
 
-def type_counters(columns) -> list:
-    """Aggregates that decide the type of each text column, all in one pass.
+# What a cell holds; a missing cell is of no kind.
+PLAIN, WHOLE, FRACTION, TEXT = 1, 2, 3, 4
+
+
+def cell_kind(cell):
+    """Plain integer, whole number in another form, other number, or text.
 
-    Per column: filled cells, cells that are numbers, whole numbers, plain digits.
+    Patterns decide what can be cast: a failing ``try_cast`` costs far more than a match.
     """
-    counters = []
-    for name in columns:
-        cell = F.col(f"`{name}`")
-        number = F.when(is_number(cell), cell.try_cast("double"))
-        whole = (number == F.floor(number)) & (F.abs(number) < LONG_LIMIT)
-        counters += [
-            F.count(cell).alias(f"{name}|filled"),
-            F.count(number).alias(f"{name}|numbers"),
-            F.count_if(whole).alias(f"{name}|whole"),
-            F.count_if(cell.rlike(PLAIN_INTEGER)).alias(f"{name}|plain"),
-        ]
-    return counters
+    number = cell.try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < LONG_LIMIT)
+    return (
+        F.when(cell.isNull(), 0)
+        .when(cell.rlike(PLAIN_INTEGER), PLAIN)
+        .when(~is_number(cell), TEXT)
+        .when(whole, WHOLE)
+        .otherwise(FRACTION)
+    )
+
+
+def with_kinds(df: DataFrame, columns) -> DataFrame:
+    """Replace text columns by the kinds of their cells; other columns stay."""
+    kinds = [cell_kind(F.col(f"`{name}`")).alias(f"{name}|kind") for name in columns]
+    return df.select(*kinds, *[F.col(f"`{name}`") for name in df.columns if name not in set(columns)])
+
+
+def type_counters(columns) -> list:
+    """Aggregates over the kinds that decide the type of each column, all in one pass."""
+    kinds = {"plain": PLAIN, "whole": WHOLE, "fraction": FRACTION, "text": TEXT}
+    return [
+        F.count_if(F.col(f"`{name}|kind`") == code).alias(f"{name}|{kind}")
+        for name in columns for kind, code in kinds.items()
+    ]
 
 
 def add_up(counts: DataFrame) -> DataFrame:
@@ -54,24 +71,27 @@ def decide_types(totals: dict, columns) -> dict[str, str]:
     """
     types = {}
     for name in columns:
-        filled, numbers, whole, plain = (totals[f"{name}|{kind}"] for kind in ("filled", "numbers", "whole", "plain"))
-        if not filled or numbers < filled:
+        plain, whole, fraction, text = (totals[f"{name}|{kind}"] or 0 for kind in ("plain", "whole", "fraction", "text"))
+        if text or not plain + whole + fraction:
             continue
-        types[name] = "double" if whole < filled else ("integer" if plain == filled else "exponent")
+        types[name] = "double" if fraction else ("exponent" if whole else "integer")
     return types
 
 
 def infer_types(df: DataFrame, keep_text=()) -> dict[str, str]:
     """Types of the text columns of a cleaned table, from one scan."""
     columns = [name for name in df.columns if name not in keep_text]
-    return decide_types(df.agg(*type_counters(columns)).first().asDict(), columns)
+    counted = with_kinds(df.select(*[F.col(f"`{name}`") for name in columns]), columns).agg(*type_counters(columns))
+    return decide_types(counted.first().asDict(), columns)
 
 
 def apply_types(df: DataFrame, types: dict) -> DataFrame:
     """Cast the columns named in ``types``; the others pass through."""
     casts = {
         "integer": lambda cell: cell.cast("long"),
-        "exponent": lambda cell: F.coalesce(cell.try_cast("long"), cell.cast(EXACT).cast("long")),
+        "exponent": lambda cell: F.when(cell.rlike(PLAIN_INTEGER), cell.cast("long")).otherwise(
+            cell.cast(EXACT).cast("long")
+        ),
         "double": lambda cell: cell.cast("double"),
     }
     return df.select(
@@ -172,10 +192,9 @@ def dedup_counters() -> list:
 
 
 def _rows_sharing_a_key(distinct: DataFrame, key) -> DataFrame:
-    """Semi join with the repeated keys; AQE splits a hot key on the row side."""
-    repeated = distinct.groupBy(*key).count().where("count > 1").select(*[F.col(k).alias(f"_{k}") for k in key])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
-    return distinct.join(repeated, same, "left_semi")
+    """Rows of the repeated keys; a key shared by most of the rows is spread over many tasks."""
+    repeated = distinct.groupBy(*key).count().where("count > 1").select(*key)
+    return salted_join(distinct, repeated, list(key), "left_semi")
 
 
 def check_duplicate_share(table: str, stats: dict, limit: float = MAX_DUPLICATE_SHARE) -> float:

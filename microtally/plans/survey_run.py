@@ -246,7 +246,7 @@ def stage_table(run: SurveyRun, table: str, path: str, encoding: str) -> dict:
     marks = [text_tables.FILE, text_tables.BLOCK, text_tables.ROW, "source_file"]
     names = [name for name in scanned.columns if name not in marks]
     clean = scanned.select(*[blank_to_null(F.col(f"`{name}`")).alias(name) for name in names], *marks)
-    blocks = text_tables.block_facts(clean, *staging.type_counters(names))
+    blocks = text_tables.block_facts(staging.with_kinds(clean, names), *staging.type_counters(names))
     types = staging.decide_types(staging.add_up(blocks).first().asDict(), names)
     typed = staging.apply_types(text_tables.number_rows(clean, blocks), types)
     return write_staged(run, table, staging.deduplicate(typed, key, names))

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     # Lets a table hashed on (survey_year, hhid) serve the join on
     # (survey_year, hhid, line_no) as well, so the wide side moves once.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # ... unless a key turns out skewed: then it is split, at the price of that shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from microtally.functions.coded import lookup
 from microtally.functions.text import clean_name, strip, strip_label_prefix
+from microtally.operators.joins import lookup_join
 from microtally.operators.ordered import fill_down
 
 # A variable with more labels than this is decoded by a join instead of a literal map.
@@ -81,8 +82,7 @@ def label_maps(codebook: DataFrame, variables) -> dict[str, dict[int, str]]:
 def decode(df: DataFrame, codebook: DataFrame, targets: dict) -> DataFrame:
     """Add label columns: ``targets`` maps a new column to ``(code column, variable)``.
 
-    Short label lists become literal maps, so the rows do not move. A long list is joined,
-    and Spark decides by its size whether to broadcast it.
+    Short label lists become literal maps, so the rows do not move; a long one is joined.
     """
     maps = label_maps(codebook, {variable for _, variable in targets.values()})
     for out, (code, variable) in targets.items():
@@ -95,9 +95,7 @@ def decode(df: DataFrame, codebook: DataFrame, targets: dict) -> DataFrame:
 
 def decode_by_join(df: DataFrame, codebook: DataFrame, code: str, variable: str, out: str) -> DataFrame:
     """Left join on the code: an unknown code gets no label and no row is lost."""
-    labels = (
-        code_labels(codebook)
-        .where(F.col("variable") == variable)
-        .select(F.col("code").alias("_code"), F.col("label").alias(out))
+    labels = code_labels(codebook.where(F.col("variable") == variable)).select(
+        F.col("code").alias("_code"), F.col("label").alias(out)
     )
-    return df.join(labels, F.col(code).cast("long") == F.col("_code"), "left").drop("_code")
+    return lookup_join(df.withColumn("_code", F.col(code).cast("long")), labels, ["_code"]).drop("_code")

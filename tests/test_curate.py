@@ -113,6 +113,37 @@ def test_band_join_equals_the_expression(spark):
     assert joined.count() == 235 and wrong.count() == 0
 
 
+@pytest.mark.parametrize("rows", [200_000, 1])
+def test_lookup_join_is_the_same_beyond_the_broadcast_size(spark, monkeypatch, rows):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", rows)
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 50 = 1 THEN NULL ELSE id END AS k")
+    table = spark.range(0, 3000, 2).selectExpr("id + 1 AS k", "concat('v', id) AS v")
+    found = joins.lookup_join(df, table, ["k"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("_salt" in plan) == (rows == 1)
+    wrong = found.where("NOT (v <=> CASE WHEN k % 2 = 1 THEN concat('v', k - 1) END)")
+    assert found.count() == 3000 and wrong.count() == 0
+
+
+def test_skewed_parent_lookup_is_split_and_keeps_every_row(spark):
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key, None) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        child = spark.range(60_000).repartition(8).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS n")
+        parent = spark.range(60_000).selectExpr("id AS k", "id * 2 AS p")
+        joined = joins.join_many_to_one(child, parent, ["k"])
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_aggregate_drops_groups_with_a_missing_key(spark):
     rows = [(1, "10-14", "Low", True, None, 2.0), (1, "10-14", "Low", False, True, 1.0),
             (1, None, "Low", True, True, 5.0), (1, "10-14", "Low", None, True, 9.0)]

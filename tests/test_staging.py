@@ -114,6 +114,7 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     stats = result.stats.first()
     assert (stats.rows_in, stats.rows_out) == (90_000, 60_001)
     assert stats.rows_sharing_a_key == 7 and result.rejects.count() == 7
+    assert "_salt" in result.rejects._jdf.queryExecution().executedPlan().toString()
     plan = result.keyed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_min_by") == 1 and "Window" not in plan
 

@@ -94,13 +94,15 @@ def infer_types(spark, sf_dir):
 
 
 @query("type_counts", f"""
-    SELECT count(t) AS filled, count(*) FILTER (WHERE {NUMBER_SQL.format('t')}) AS numbers,
-           count(*) FILTER (WHERE {NUMBER_SQL.format('t')} AND floor(TRY_CAST(t AS double)) = TRY_CAST(t AS double)) AS whole,
-           count(*) FILTER (WHERE regexp_full_match(t, '[+-]?[0-9]{{1,18}}')) AS plain
+    SELECT count(*) FILTER (WHERE regexp_full_match(t, '[+-]?[0-9]{{1,18}}')) AS plain,
+           count(*) FILTER (WHERE {NUMBER_SQL.format('t')} AND NOT regexp_full_match(t, '[+-]?[0-9]{{1,18}}')
+                            AND floor(TRY_CAST(t AS double)) = TRY_CAST(t AS double)) AS whole,
+           count(*) FILTER (WHERE {NUMBER_SQL.format('t')} AND floor(TRY_CAST(t AS double)) <> TRY_CAST(t AS double)) AS fraction,
+           count(*) FILTER (WHERE NOT {NUMBER_SQL.format('t')}) AS text
     FROM (SELECT nullif(trim({MIXED_SQL}), '') AS t FROM events)""")
 def type_counts(spark, sf_dir):
-    clean = staging.standardise(text_events(spark, sf_dir))
-    return clean.agg(*staging.type_counters(["mixed_raw"])).toDF("filled", "numbers", "whole", "plain")
+    kinds = staging.with_kinds(staging.standardise(text_events(spark, sf_dir)), ["mixed_raw"])
+    return kinds.agg(*staging.type_counters(["mixed_raw"])).toDF("plain", "whole", "fraction", "text")
 
 
 def write_text_orders(spark, sf_dir):
