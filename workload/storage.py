@@ -24,11 +24,11 @@ def roundtrip_parquet(spark, sf_dir):
 
 
 @query("roundtrip_csv", """
-    SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey""")
 def roundtrip_csv(spark, sf_dir):
     path = scratch_path(spark, "totals")
     totals = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.count("*").alias("orders"), F.sum("o_totalprice").alias("total")
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
     datasets.write_csv_copy(totals, f"{path}/csv")
     return datasets.read_published(spark, f"{path}/parquet", f"{path}/csv", totals.schema)
