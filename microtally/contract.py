@@ -60,6 +60,7 @@ LITERACY_FLAGS = ["can_read", "can_write", "can_compute", "can_comprehend"]
 MIN_HOUSEHOLDS = 100_000
 MIN_PERSONS = 300_000
 
+# Rules of the raw files, column names as in their headers.
 RAW_FILES = {
     "v1_household": {
         "min_rows": MIN_HOUSEHOLDS,
@@ -88,6 +89,7 @@ RAW_FILES = {
     },
 }
 
+# Rules of the staging tables, one per source file.
 STAGING_TABLES = {
     "v1_household": {
         "primary_key": ["hhid"],
@@ -146,6 +148,7 @@ STAGING_TABLES = {
 for _spec in STAGING_TABLES.values():
     _spec.update(layer="staging", lineage_columns=LINEAGE)
 
+# Rules of the curated tables.
 CURATED_TABLES = {
     "dim_region": {
         "primary_key": ["region_code"],

@@ -13,10 +13,6 @@ ROWS_PER_FILE = 5_000_000
 SPREADSHEET_ROWS = 1_000_000
 
 
-def read_tables(spark: SparkSession, folder: str, names) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
-
-
 def read_partitioned(spark: SparkSession, path: str, value=None, key: str = PARTITION_COLUMN) -> DataFrame:
     """The whole dataset, or the one folder whose key equals ``value``; the key is a long."""
     dataset = spark.read.parquet(path)

@@ -139,6 +139,12 @@ def test_skewed_parent_lookup_is_split_and_keeps_every_row(spark):
         joined = joins.join_many_to_one(child, parent, ["k"])
         assert len(joined.collect()) == 60_000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        # The hot key is split too where a second join would reuse the placement of the first.
+        second = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS n", "id + 1 AS q")
+        chained = joins.join_many_to_one(joined, second, ["k", "n"])
+        rows = chained.collect()
+        assert len(rows) == 60_000 and all(row.q == row.n + 1 for row in rows)
+        assert "skew=true" in chained._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)

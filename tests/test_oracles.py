@@ -40,6 +40,32 @@ def test_no_cross_joins_and_no_python_in_the_plan(spark, key):
         assert word not in plan
 
 
+def test_person_profile_moves_each_table_once(spark, tmp_path):
+    from microtally.operators import curate
+    from workload import roles
+
+    build = {"household": roles.household, "member": roles.member, "assessment": roles.assessment,
+             "dim_region": roles.dim_region}
+    tables = {}
+    for name, make in build.items():
+        make(spark, SF_DIR).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    changes = {"spark.sql.autoBroadcastJoinThreshold": "2500", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in changes}
+    try:
+        for key, value in changes.items():
+            spark.conf.set(key, value)
+        profile = curate.build_person_profile(*tables.values())
+        plan = profile._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(survey_year" in line]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # Three tables move on (survey_year, hhid); the other exchanges carry the keys being checked.
+    checks = plan.count("functions=[partial_count(1)], output=[survey_year")
+    assert plan.count("SortMergeJoin") == 2 and checks == 2 and len(moved) - checks == 3
+
+
 def test_top_values_are_cut_before_the_shuffle(spark):
     plan = plan_of(spark, "profile_top_values")
     assert "row_number(), 5, Partial" in plan

@@ -125,12 +125,12 @@ def test_queries_run_as_sql_on_the_warehouse(finished, spark):
     names = ["dim_region", "household", "member", "literacy_assessment", "agg_literacy_digital"]
     rates.register_views({name: load.read_warehouse(spark, root, name) for name in names})
     tiers = spark.sql("""
-        SELECT h.digital_access_tier, count(*) AS persons_sampled,
-               round(100 * sum(l.respondent_weight) FILTER (WHERE l.functional_literate)
-                     / sum(l.respondent_weight), 1) AS functional_literacy_rate_pct
-        FROM literacy_assessment l JOIN household h USING (survey_year, hhid)
-        WHERE l.functional_literate IS NOT NULL
-        GROUP BY h.digital_access_tier ORDER BY min(h.digital_access_score)""").collect()
+        WITH assessed AS (
+            SELECT digital_access_tier AS tier, digital_access_score AS score, functional_literate AS literate,
+                   respondent_weight AS w
+            FROM literacy_assessment JOIN household USING (survey_year, hhid))
+        SELECT tier, count(literate), round(100 * sum(w) FILTER (WHERE literate) / sum(w) FILTER (WHERE literate IS NOT NULL), 1)
+        FROM assessed WHERE literate IS NOT NULL GROUP BY tier ORDER BY min(score)""").collect()
     ours = rates.rate_by_tier(spark.table("literacy_assessment"), spark.table("household")).collect()
     assert [(r[0], r[1], float(r[2])) for r in tiers] == [tuple(r) for r in ours]
     assert spark.sql("SELECT * FROM v_person_profile WHERE hhid = 7 AND line_no = 2").count() == 1

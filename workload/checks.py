@@ -156,15 +156,16 @@ def foreign_key(spark, sf_dir):
 
 @query("row_reconciliation", f"""WITH {cleaning.DISTINCT}, kept AS (SELECT DISTINCT l_orderkey, l_linenumber FROM firsts)
     SELECT 'lineitem' AS "table", 'row_reconciliation' AS "check", CAST(0 AS bigint) AS failing_rows,
-           concat('raw ', (SELECT count(*) FROM copied), ' = staged ', (SELECT count(*) FROM kept),
-                  ' + duplicates removed ', (SELECT count(*) FROM copied) - (SELECT count(*) FROM kept)) AS detail""")
+           concat((SELECT count(*) FROM copied), ' raw rows; ', (SELECT count(*) FROM kept), ' staged; ',
+                  (SELECT count(*) FROM copied) - (SELECT count(*) FROM kept), ' removed') AS detail""")
 def row_reconciliation(spark, sf_dir):
     raw = cleaning.copied_lines(spark, sf_dir).count()
     stats = cleaning.deduplicated(spark, sf_dir).stats.first()
     removed = stats.exact_duplicates_removed + stats.key_duplicates_removed
     result = quality.check_row_reconciliation("lineitem", raw, stats.rows_out, removed)
     return quality.results_frame(spark, [result]).select(
-        "table", "check", "failing_rows", F.replace("detail", F.lit(",")).alias("detail")
+        "table", "check", "failing_rows", F.replace(
+            F.replace("detail", F.lit(", "), F.lit("; ")), F.lit(",")).alias("detail")
     )
 
 
