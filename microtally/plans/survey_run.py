@@ -13,7 +13,7 @@ from microtally.contract import SURVEY_CONTRACT
 from microtally.operators import curate, estimates, formats, load, profiling, quality, raw_gate, rates, staging
 from microtally.operators.joins import check_counts
 from microtally.functions.text import blank_to_null
-from microtally.session import path_exists
+from microtally.session import in_parallel, path_exists
 from microtally.settings import MIN_REGIONS, PARTITION_COLUMN, SURVEY_FILES, SURVEY_YEAR
 from microtally.sources import codebook, datasets, files, region_list, text_tables
 
@@ -103,14 +103,18 @@ class SurveyRun:
         return self._report("raw_gate", results)
 
     def profile(self) -> list[str]:
-        for row in self.registered():
-            raw = text_tables.read_text_table(self.spark, row.location, row.encoding)
-            report = profiling.full_profile(raw, row.table, row.location.rsplit("/", 1)[-1])
-            report.coalesce(1).write.mode("overwrite").json(self.path("reports/profile", row.table))
-        return list(SURVEY_FILES)
+        return in_parallel(self.spark, self._profile_table, self.registered())
+
+    def _profile_table(self, row) -> str:
+        raw = text_tables.read_text_table(self.spark, row.location, row.encoding)
+        report = profiling.full_profile(raw, row.table, row.location.rsplit("/", 1)[-1])
+        report.coalesce(1).write.mode("overwrite").json(self.path("reports/profile", row.table))
+        return row.table
 
     def stage(self) -> dict[str, int]:
-        stats = [stage_table(self, row.table, row.location, row.encoding) for row in self.registered()]
+        stats = in_parallel(
+            self.spark, lambda row: stage_table(self, row.table, row.location, row.encoding), self.registered()
+        )
         columns = "`table` string, rows_in long, exact_duplicates_removed long, rows_sharing_a_key long, " \
                   "key_duplicates_removed long, rows_out long"
         report = self.spark.createDataFrame([tuple(s.values()) for s in stats], columns)
@@ -146,7 +150,8 @@ class SurveyRun:
             "member": lambda: curate.build_member(self.staged("v1_member"), *arguments),
             "literacy_assessment": lambda: curate.build_assessment(self.staged("v1_literacy"), *arguments),
         }
-        counts = {name: self._write(make(), self.path("curated", name)) for name, make in build.items()}
+        written = in_parallel(self.spark, lambda name: self._write(build[name](), self.path("curated", name)), build)
+        counts = dict(zip(build, written))
         profile = curate.build_person_profile(
             self.curated("household"), self.curated("member"), self.curated("literacy_assessment"),
             self.curated("dim_region"),

@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from microtally.errors import SourceError
@@ -68,6 +70,16 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+# Independent tables worked on at the same time; their jobs share the executors.
+PARALLEL_TABLES = 4
+
+
+def in_parallel(spark: SparkSession, function, items) -> list:
+    """Results of ``function`` for each item, in order, with a few jobs running at once."""
+    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(function), items))
+
+
 def checkpointed(df):
     """Materialise a frame in the scratch folder and cut its lineage."""
     context = df.sparkSession.sparkContext
