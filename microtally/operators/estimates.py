@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from microtally.functions.coded import lookup
+from microtally.session import checkpointed
 from microtally.settings import TIER_ORDER, Z_95
 
 FUNCTIONAL = "Functional literacy (persons 10-64)"
@@ -152,26 +153,28 @@ def person_totals(assessment: DataFrame, household: DataFrame, design, domain: s
     return placed.groupBy(*design, domain).agg(*merge_totals("functional_", "basic_"))
 
 
-def one_outcome(totals: DataFrame, indicator: str, prefix: str, design, domain: str) -> DataFrame:
-    """Totals of one outcome in the common form, labelled with its indicator."""
-    figures = [F.col(f"{prefix}{name}").alias(name) for name in ("a", "c", "n")]
-    return totals.select(F.lit(indicator).alias("indicator"), *design, domain, *figures)
+def outcomes_as_rows(totals: DataFrame, prefixes: dict, keys) -> DataFrame:
+    """One row per indicator: ``prefixes`` maps an indicator to the prefix of its totals."""
+    rows = [
+        F.struct(F.lit(indicator).alias("indicator"), *[F.col(f"{prefix}{name}").alias(name) for name in ("a", "c", "n")])
+        for indicator, prefix in prefixes.items()
+    ]
+    return totals.select(*keys, F.inline(F.array(*rows)))
 
 
 def key_indicators(household: DataFrame, assessment: DataFrame, regions: DataFrame, batch_id: str) -> DataFrame:
     """Headline rates with 95% intervals: six blocks in their published order.
 
     Persons are scanned, joined and aggregated once, to region, cluster and tier, for both
-    outcomes; households once. What follows works on the totals of the clusters, all
-    indicators together.
+    outcomes; households once. The cluster totals, all indicators together, are
+    checkpointed: every block starts from them, and none goes back to the data.
     """
     strata, design, tier, per = "region_code", ["region_code", "province_code", "psu"], "digital_access_tier", ["indicator"]
     persons = person_totals(assessment, household, design, tier)
     homes = household.groupBy(*design, tier).agg(*outcome_totals("has_home_internet", "household_weight"))
-    totals = (
-        one_outcome(persons, FUNCTIONAL, "functional_", design, tier)
-        .unionByName(one_outcome(persons, BASIC, "basic_", design, tier))
-        .unionByName(one_outcome(homes, INTERNET, "", design, tier))
+    totals = checkpointed(
+        outcomes_as_rows(persons, {FUNCTIONAL: "functional_", BASIC: "basic_"}, [*design, tier])
+        .unionByName(outcomes_as_rows(homes, {INTERNET: ""}, [*design, tier]))
     )
     names = regions.select(F.col("region_code").alias("group"), F.col("region_short_name").alias("_name"))
 

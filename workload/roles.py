@@ -9,6 +9,7 @@ keys and amounts, so that every code, missing value and unmatched label occurs.
 
 from microtally.operators import curate
 from microtally.operators.staging import keep_first
+from microtally.session import scratch_path
 from workload.registry import read
 
 YEAR = 2024
@@ -212,11 +213,30 @@ def staged(spark, sf_dir, role):
     """A staging role as a frame."""
     if role == "v1_literacy":
         return _literacy(spark, sf_dir)
+    if role == "codebook":
+        return _codebook(spark, sf_dir)
+    return _projected(spark, sf_dir, role)
+
+
+def _projected(spark, sf_dir, role):
     for table in SOURCES[role]:
         read(spark, sf_dir, table).createOrReplaceTempView(table)
     return spark.sql(STAGING_SQL[role])
 
 
+_CODEBOOKS = {}
+
+
+def _codebook(spark, sf_dir):
+    """The codebook as a written table, like in a run; derived once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CODEBOOKS:
+        path = scratch_path(spark, "codebook")
+        _projected(spark, sf_dir, "codebook").coalesce(1).write.parquet(path)
+        _CODEBOOKS[key] = spark.read.parquet(path)
+    return _CODEBOOKS[key]
+
+
 def _literacy(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
     first = keep_first(lines, ["l_orderkey"], LINE_ORDER)
