@@ -31,10 +31,11 @@ def changed_types(original: DataFrame, reloaded: DataFrame) -> list[str]:
     return [name for name, kind in original.dtypes if types.get(name) != kind]
 
 
-def folder_size(spark: SparkSession, path: str) -> DataFrame:
-    """Number and total size of the data files in a folder."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.agg(F.count("*").alias("files"), F.sum("length").alias("size_bytes"))
+def format_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and total size of the data files per format."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    kind = F.element_at(F.split("path", "/"), -2).alias("format")
+    return files.groupBy(kind).agg(F.count("*").alias("files"), F.sum("length").alias("size_bytes"))
 
 
 def format_fidelity(df: DataFrame, folder: str) -> DataFrame:

@@ -14,7 +14,7 @@ from microtally.operators import curate, estimates, formats, load, profiling, qu
 from microtally.operators.joins import check_counts
 from microtally.functions.text import blank_to_null
 from microtally.session import in_parallel, path_exists
-from microtally.settings import MIN_REGIONS, PARTITION_COLUMN, SURVEY_FILES, SURVEY_YEAR
+from microtally.settings import DEMO_REGION, MIN_REGIONS, PARTITION_COLUMN, SURVEY_FILES, SURVEY_YEAR
 from microtally.sources import codebook, datasets, files, region_list, text_tables
 
 CURATED = ["dim_region", "household", "member", "literacy_assessment", "agg_literacy_digital"]
@@ -39,6 +39,7 @@ class SurveyRun:
     year: int = SURVEY_YEAR
     contract: dict = field(default_factory=lambda: SURVEY_CONTRACT)
     min_regions: int = MIN_REGIONS
+    demo_region: int = DEMO_REGION
     max_duplicate_share: float = staging.MAX_DUPLICATE_SHARE
 
     def path(self, layer: str, name: str = "") -> str:
@@ -175,10 +176,16 @@ class SurveyRun:
         tables = {name: self.curated(name) for name in CURATED}
         return load.load_tables(self.spark, self.path("warehouse"), tables, self.batch_id, self.year)
 
-    def compare_formats(self) -> DataFrame:
-        report = formats.format_fidelity(self.person_profile(), self.path("formats"))
+    def compare_formats(self) -> int:
+        """Sizes and changed types per format, and what reading one region saves."""
+        folder = self.path("formats")
+        fidelity = formats.format_fidelity(self.person_profile(), folder)
+        report = fidelity.join(formats.format_sizes(self.spark, folder), "format")
         report.coalesce(1).write.mode("overwrite").json(self.path("reports/formats", f"batch={self.batch_id}"))
-        return report
+        dataset = self.spark.read.parquet(self.path("curated", "person_profile"))
+        pruning = formats.pruning_report(dataset, self.demo_region)
+        pruning.coalesce(1).write.mode("overwrite").json(self.path("reports/pruning", f"batch={self.batch_id}"))
+        return len(formats.WRITERS)
 
     def estimate(self) -> int:
         table = estimates.key_indicators(

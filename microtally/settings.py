@@ -74,4 +74,7 @@ LINEAGE = ["source_file", "source_line", "batch_id", "ingested_at"]
 # Fixed value: column the person table is partitioned by.
 PARTITION_COLUMN = "region_code"
 
+# Fixed value: region read alone in the partition pruning report.
+DEMO_REGION = 13
+
 WEIGHT_TYPE = "decimal(14,8)"

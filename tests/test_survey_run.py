@@ -157,6 +157,17 @@ def test_estimates_and_chart_tables_are_published(finished, spark):
     assert charts.columns[0] == "region" and charts.count() == len(REGIONS)
 
 
+def test_format_and_pruning_reports(finished, spark):
+    run, report, counts, _ = finished
+    people = counts["Volume1_Member.csv"]
+    formats = {r.format: r for r in spark.read.json(run.path("reports/formats")).collect()}
+    assert set(formats) == {"csv", "json", "parquet"} and report["formats"] == 3
+    assert all(r.rows == people and r.size_bytes > 0 for r in formats.values())
+    assert formats["parquet"].changed_columns == 0 < formats["csv"].changed_columns
+    pruning = {r.scope: r for r in spark.read.json(run.path("reports/pruning")).collect()}
+    assert pruning["all"].rows == people and pruning["one partition"].files < pruning["all"].files
+
+
 def broken(finished, tmp_path, name, change):
     folder = finished[3]
     copy = tmp_path / "inputs"
