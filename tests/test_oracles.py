@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from workload.check import compare, connect
+from workload.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def tables():
 
 
 def test_every_query_has_reference_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("key", list(queries()))
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, tables, key):
     assert compare(spark, tables, queries()[key], oracle_sql()[key], SF_DIR) is None
 
