@@ -1,3 +1,3 @@
 """Imports every training-data operator, which registers its query."""
 
-from microtally.llm import mixing  # noqa: F401
+from microtally.llm import byte_bpe, embedding_dedup, html_extraction, mixing, quality_classifier, quality_rules, simhash, toxicity  # noqa: F401
