@@ -34,8 +34,9 @@ SAMPLE_FEATURES = 20_000
 
 BITS = 20
 STEMS = (4, 6)
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.0, 1.0
+# A document is visited 6 times at least, and as often as makes VISITS visits, 40 times at most.
+VISITS, LEAST_EPOCHS, MOST_EPOCHS = 50_000, 6, 40
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 1.0
 BATCH_ROWS = 256
 
 # Bytes that part words become a blank, A-Z become a-z.
@@ -73,9 +74,10 @@ def _probability(total):
     return 1.0 / (1.0 + np.exp(-np.clip(total, -35.0, 35.0)))
 
 
-def fit_ftrl(examples, buckets=1 << BITS, epochs=EPOCHS, alpha=ALPHA, beta=BETA, l1=L1, l2=L2):
+def fit_ftrl(examples, buckets=1 << BITS, epochs=None, alpha=ALPHA, beta=BETA, l1=L1, l2=L2):
     """Weights and bias from ``(features, label)`` pairs, visited in a fixed order."""
     z, n = np.zeros(buckets + 1), np.zeros(buckets + 1)
+    epochs = epochs or min(max(VISITS // max(len(examples), 1), LEAST_EPOCHS), MOST_EPOCHS)
 
     def weights(at):
         pull = np.abs(z[at]) - l1
