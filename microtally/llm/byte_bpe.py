@@ -169,12 +169,13 @@ def _vocabulary(spark, path):
     return spark.sparkContext.broadcast(content)
 
 
-def tokenize(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, offsets=False, into="tokens"):
-    """The rows of ``docs`` with a struct ``into``: ``ids`` and, if asked, the ``offsets`` of the tokens in characters."""
+def tokenize(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, offsets=False, digests=False, into="tokens"):
+    """The rows of ``docs`` with a struct ``into``: ``ids`` and, if asked, where the tokens start and end in characters,
+    and the SHA-256 of the decoded bytes."""
     spark = docs.sparkSession
     in_batches(spark, BATCH_ROWS)
     content = _vocabulary(spark, vocabulary)
-    kind = "ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "")
+    kind = "ids array<int>" + ", starts array<int>, ends array<int>" * offsets + ", decoded_sha256 string" * digests
 
     @F.pandas_udf(kind)
     def encode(texts: pd.Series) -> pd.DataFrame:
@@ -186,6 +187,8 @@ def tokenize(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, offsets=
             spans = [coder.offsets(each, value) for each, value in zip(ids, values)]
             out["starts"] = [np.array([a for a, _ in each], dtype=np.int32) for each in spans]
             out["ends"] = [np.array([b for _, b in each], dtype=np.int32) for each in spans]
+        if digests:
+            out["decoded_sha256"] = [hashlib.sha256(coder.decode(each)).hexdigest() for each in ids]
         return pd.DataFrame(out)
 
     return docs.select(*[F.col(f"`{name}`") for name in docs.columns], encode(F.col(text)).alias(into))

@@ -1,3 +1,14 @@
 """Imports every training-data operator, which registers its query."""
 
-from microtally.llm import byte_bpe, embedding_dedup, html_extraction, mixing, quality_classifier, quality_rules, simhash, toxicity  # noqa: F401
+from microtally.llm import (  # noqa: F401
+    byte_bpe,
+    chat_format,
+    embedding_dedup,
+    html_extraction,
+    license_scan,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    toxicity,
+)
