@@ -14,6 +14,7 @@ WHITESPACE = (
 # A decimal number without type suffix, hexadecimal, underscore, NaN or infinity.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_INTEGER = r"^[+-]?[0-9]{1,18}$"
+LONG_INTEGER = r"^[+-]?[0-9]+$"
 
 LABEL_PREFIX = r"^\s*\d+\s*-?\s*"
 

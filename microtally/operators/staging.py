@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from microtally.errors import DuplicateShareError, SourceError
-from microtally.functions.text import PLAIN_INTEGER, blank_to_null, is_number
-from microtally.operators.joins import salted_join
+from microtally.functions.text import LONG_INTEGER, PLAIN_INTEGER, blank_to_null, is_number
 from microtally.settings import MAX_DUPLICATE_SHARE
 from microtally.sources.text_tables import clean_names
 
 FILE_ORDER = ["source_file", "source_line"]
 
-# Text numbers are turned into integers by way of this type, which keeps every digit.
-EXACT = "decimal(38,18)"
-LONG_LIMIT = 9.2e18
+# Whole numbers are compared and cast by way of these types, which keep every digit.
+EXACT = "decimal(38,6)"
+WIDE = "decimal(38,0)"
+LONG_MIN, LONG_MAX = "-9223372036854775808", "9223372036854775807"
+
+# From here on a double no longer tells every whole number from its neighbours.
+DOUBLE_EXACT = 2.0**53
 
 
 def standardise(df: DataFrame) -> DataFrame:
@@ -24,23 +27,40 @@ def standardise(df: DataFrame) -> DataFrame:
     return df.select(*[blank_to_null(F.col(f"`{old}`")).alias(new) for old, new in zip(df.columns, names)])
 
 
-# What a cell holds; a missing cell is of no kind.
-PLAIN, WHOLE, FRACTION, TEXT = 1, 2, 3, 4
+# What a cell holds; a missing cell is of no kind. ``BIG`` is a whole number beyond a long.
+PLAIN, WHOLE, FRACTION, TEXT, BIG = 1, 2, 3, 4, 5
+
+
+KINDS = {"plain": PLAIN, "whole": WHOLE, "fraction": FRACTION, "text": TEXT, "big": BIG}
+
+
+def _fits_long(number):
+    return number.between(F.lit(LONG_MIN).cast(WIDE), F.lit(LONG_MAX).cast(WIDE))
 
 
 def cell_kind(cell):
-    """Plain integer, whole number in another form, other number, or text.
+    """Plain integer, whole number in another form, whole number beyond a long, other number, or text.
 
-    Patterns decide what can be cast: a failing ``try_cast`` costs far more than a match.
+    Patterns decide what can be cast: a failing ``try_cast`` costs far more than a match. Whole
+    numbers are never judged by their double: large ones are cast to decimals, and one with more
+    than 32 digits before the point is text.
     """
     number = cell.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < LONG_LIMIT)
+    digits, exact = cell.try_cast(WIDE), cell.try_cast(EXACT)
+    small = F.when(number == F.floor(number), WHOLE).otherwise(FRACTION)
+    large = (
+        F.when(exact.isNull(), TEXT)
+        .when(exact != F.floor(exact), FRACTION)
+        .when(_fits_long(exact), WHOLE)
+        .otherwise(BIG)
+    )
     return (
         F.when(cell.isNull(), 0)
         .when(cell.rlike(PLAIN_INTEGER), PLAIN)
         .when(~is_number(cell), TEXT)
-        .when(whole, WHOLE)
-        .otherwise(FRACTION)
+        .when(cell.rlike(LONG_INTEGER), F.when(digits.isNull(), TEXT).when(_fits_long(digits), PLAIN).otherwise(BIG))
+        .when(F.abs(number) < DOUBLE_EXACT, small)
+        .otherwise(large)
     )
 
 
@@ -52,10 +72,9 @@ def with_kinds(df: DataFrame, columns) -> DataFrame:
 
 def type_counters(columns) -> list:
     """Aggregates over the kinds that decide the type of each column, all in one pass."""
-    kinds = {"plain": PLAIN, "whole": WHOLE, "fraction": FRACTION, "text": TEXT}
     return [
         F.count_if(F.col(f"`{name}|kind`") == code).alias(f"{name}|{kind}")
-        for name in columns for kind, code in kinds.items()
+        for name in columns for kind, code in KINDS.items()
     ]
 
 
@@ -65,16 +84,22 @@ def add_up(counts: DataFrame) -> DataFrame:
 
 
 def decide_types(totals: dict, columns) -> dict[str, str]:
-    """``integer``, ``exponent`` (integers not all written as plain digits) or ``double``.
+    """``integer``, ``exponent`` (integers not all written as plain digits), ``wide`` or ``double``.
 
-    A column with text in it, or without any value, is left out and stays text.
+    A column with text in it, or without any value, is left out and stays text. So does one that
+    mixes fractions with whole numbers beyond a long, which no number type here can hold exactly.
     """
     types = {}
     for name in columns:
-        plain, whole, fraction, text = (totals[f"{name}|{kind}"] or 0 for kind in ("plain", "whole", "fraction", "text"))
-        if text or not plain + whole + fraction:
+        found = {kind: totals[f"{name}|{kind}"] or 0 for kind in KINDS}
+        if found["text"] or not any(found.values()) or found["big"] and found["fraction"]:
             continue
-        types[name] = "double" if fraction else ("exponent" if whole else "integer")
+        if found["fraction"]:
+            types[name] = "double"
+        elif found["big"]:
+            types[name] = "wide"
+        else:
+            types[name] = "exponent" if found["whole"] else "integer"
     return types
 
 
@@ -87,11 +112,13 @@ def infer_types(df: DataFrame, keep_text=()) -> dict[str, str]:
 
 def apply_types(df: DataFrame, types: dict) -> DataFrame:
     """Cast the columns named in ``types``; the others pass through."""
+    def whole(cell, kind):
+        return F.when(cell.rlike(LONG_INTEGER), cell.cast(kind)).otherwise(cell.cast(EXACT).cast(kind))
+
     casts = {
         "integer": lambda cell: cell.cast("long"),
-        "exponent": lambda cell: F.when(cell.rlike(PLAIN_INTEGER), cell.cast("long")).otherwise(
-            cell.cast(EXACT).cast("long")
-        ),
+        "exponent": lambda cell: whole(cell, "long"),
+        "wide": lambda cell: whole(cell, WIDE),
         "double": lambda cell: cell.cast("double"),
     }
     return df.select(
@@ -100,10 +127,13 @@ def apply_types(df: DataFrame, types: dict) -> DataFrame:
     )
 
 
+COLUMN_TYPES = {"integer": "long", "exponent": "long", "wide": WIDE, "double": "double"}
+
+
 def convert_types(df: DataFrame, keep_text=()) -> tuple[DataFrame, dict[str, str]]:
-    """Type a cleaned text table: whole numbers long, other numbers double, the rest text."""
+    """Type a cleaned text table: whole numbers long or, beyond it, decimal; other numbers double; the rest text."""
     types = infer_types(df, keep_text)
-    return apply_types(df, types), {name: "double" if kind == "double" else "long" for name, kind in types.items()}
+    return apply_types(df, types), {name: COLUMN_TYPES[kind] for name, kind in types.items()}
 
 
 def keep_first(df: DataFrame, key, order) -> DataFrame:
@@ -192,18 +222,23 @@ def dedup_counters() -> list:
 
 
 def _rows_sharing_a_key(distinct: DataFrame, key) -> DataFrame:
-    """Rows of the repeated keys; a key shared by most of the rows is spread over many tasks."""
-    repeated = distinct.groupBy(*key).count().where("count > 1").select(*key)
-    return salted_join(distinct, repeated, list(key), "left_semi")
+    """Rows of the repeated keys, null keys included.
+
+    The keys are counted on their own columns; rows of keys that occur once meet the few repeated
+    keys and go no further. Adaptive execution splits a key shared by most of the rows.
+    """
+    repeated = distinct.groupBy(*key).count().where("count > 1").select(*[F.col(name).alias(f"_key_{name}") for name in key])
+    same = [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in key]
+    return distinct.join(repeated, same, "left_semi")
 
 
 def check_duplicate_share(table: str, stats: dict, limit: float = MAX_DUPLICATE_SHARE) -> float:
-    """Share of rows removed as duplicates; fail above the limit."""
-    removed = stats["exact_duplicates_removed"] + stats["key_duplicates_removed"]
-    share = removed / stats["rows_in"] if stats["rows_in"] else 0.0
-    if share > limit:
-        raise DuplicateShareError(
-            f"{table}: {removed:,} of {stats['rows_in']:,} rows ({share:.2%}) are duplicates, limit {limit:.2%}; "
-            "check the key and the source file"
-        )
-    return share
+    """Part of the rows that de-duplication took away; above ``limit`` the table is refused."""
+    lost = stats["rows_in"] - stats["rows_out"]
+    part = lost / max(stats["rows_in"], 1)
+    if part <= limit:
+        return part
+    raise DuplicateShareError(
+        f"de-duplication took {lost:,} of {stats['rows_in']:,} rows of {table}, {part:.2%} where {limit:.2%} are allowed: "
+        "does its key identify a row, and is the source complete?"
+    )
