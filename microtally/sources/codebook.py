@@ -17,8 +17,8 @@ INLINE_LABELS = 64
 def parse_codebook(sheets: DataFrame) -> DataFrame:
     """One row per source, value set, code range and label.
 
-    ``sheets`` has ``source``, ``row`` (order within the source) and the text cells ``c0``
-    to ``c4``. A filled ``c0`` starts a value set (name, title); the rows below it hold
+    ``sheets`` has ``source``, ``row`` (order within the source), the text cells ``c0`` to ``c4``
+    and, if there are several sources, ``volume`` (order of the sources). A filled ``c0`` starts a value set (name, title); the rows below it hold
     label, from and to.
     """
     header = F.when(
@@ -30,6 +30,7 @@ def parse_codebook(sheets: DataFrame) -> DataFrame:
     return filled.where(
         F.col("c0").isNull() & (F.col("_set.value_set") != "") & F.col("c3").isNotNull()
     ).select(
+        *[name for name in ("volume",) if name in sheets.columns],
         "source",
         "row",
         F.col("_set.value_set").alias("value_set"),
@@ -42,8 +43,11 @@ def parse_codebook(sheets: DataFrame) -> DataFrame:
 
 
 def union_sheets(sheets: dict) -> DataFrame:
-    """Sheets of several sources as one frame."""
-    tagged = [sheet.withColumn("source", F.lit(source)) for source, sheet in sheets.items()]
+    """Sheets of several sources as one frame; ``volume`` is the place of the source in ``sheets``."""
+    tagged = [
+        sheet.withColumn("source", F.lit(source)).withColumn("volume", F.lit(place))
+        for place, (source, sheet) in enumerate(sheets.items())
+    ]
     return reduce(DataFrame.unionByName, tagged)
 
 
@@ -54,12 +58,17 @@ def codebook_summary(codebook: DataFrame) -> DataFrame:
 
 
 def code_labels(codebook: DataFrame) -> DataFrame:
-    """``variable, code, label`` of single codes; the last entry of a code wins."""
+    """``variable, code, label`` of single codes; the last entry of a code wins.
+
+    Entries stand in the order of their volume and row. A codebook without volumes has one, or its
+    sources count in the order of their names.
+    """
+    order = [name for name in ("volume", "source", "row") if name in codebook.columns]
     usable = (F.col("value_from") == F.col("value_to")) & (F.col("value_label") != "")
     return (
         codebook.where(usable)
         .groupBy("variable", F.col("value_from").alias("code"))
-        .agg(strip_label_prefix(F.max_by("value_label", "row")).alias("label"))
+        .agg(strip_label_prefix(F.max_by("value_label", F.struct(*order))).alias("label"))
     )
 
 
