@@ -47,7 +47,7 @@ def build_dim_region(regions: DataFrame) -> DataFrame:
         F.col("name").alias("region_short_name"),
         F.initcap("islandGroupCode").alias("island_group"),
         F.col("psgc10DigitCode").alias("psgc_code"),
-    ).orderBy("region_code")
+    )
 
 
 def access_score() -> "F.Column":

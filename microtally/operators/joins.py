@@ -5,14 +5,14 @@ extra pass over the data. A side declared unique is first reduced to one row per
 before its shuffle, which the join then reuses.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from microtally.errors import JoinContractError
 
 
-# Rows a lookup table may have to be sent to every executor.
-BROADCAST_ROWS = 200_000
+# Bytes a lookup table may have, counted over its cells as text and eight for each, to be sent to every executor.
+BROADCAST_BYTES = 32 << 20
 
 # Tasks a hot key is spread over.
 SALTS = 32
@@ -59,32 +59,38 @@ def join_many_to_one(child: DataFrame, parent: DataFrame, key) -> DataFrame:
     return child.where(unique).join(known, key, "left")
 
 
+def small_enough(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is known to fit into ``limit`` bytes.
+
+    Its rows are measured: estimates of the optimiser take every text for twenty bytes, and know
+    nothing of rows that a generator multiplies. The result of a join does not depend on it, only
+    the way it is carried out.
+    """
+    cells = [F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(1)) + 8 for name in table.columns]
+    return (table.agg(F.sum(sum(cells[1:], cells[0]))).first()[0] or 0) <= limit
+
+
 def lookup_join(df: DataFrame, table: DataFrame, on, how: str = "left") -> DataFrame:
-    """Join to a lookup table whose size is checked first.
+    """Join to a lookup table whose size is checked first; null keys never match.
 
-    Up to ``BROADCAST_ROWS`` it is broadcast; a larger one is joined by salted keys.
-    ``on`` lists columns both sides have.
+    A small one is broadcast; a larger one is joined by salted keys. ``on`` lists columns both
+    sides have.
     """
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small_enough(table):
         return df.join(F.broadcast(table), on, how)
     return salted_join(df, table, on, how)
 
 
 def salted_join(df: DataFrame, table: DataFrame, on, how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Equi-join that spreads each key of ``df`` over ``salts`` tasks.
+    """Equi-join that spreads each key of ``df`` over ``salts`` tasks; null keys never match.
 
     ``table`` is repeated once per salt. The salt comes from the row itself, so a task
-    that runs again gives the same rows. Null keys do not match unless ``how`` is
-    ``left_semi``, where nulls equal each other.
+    that runs again gives the same rows.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn(
         "_salt", F.col("_salt").cast("long")
     )
-    if how == "left_semi":
-        renamed = copies.select(*[F.col(name).alias(f"_key_{name}") for name in [*on, "_salt"]])
-        same = [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in [*on, "_salt"]]
-        return salted.join(renamed, same, how).drop("_salt")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
@@ -99,18 +105,24 @@ def orphan_keys(child: DataFrame, columns, parent: DataFrame, parent_columns) ->
 
 
 def band_join(df: DataFrame, value: str, bands: DataFrame, out: str, width: int) -> DataFrame:
-    """Left join to the band ``[lower, upper)`` that holds the value.
+    """Left join to the band ``[lower, upper)`` that holds the value; one output row per input row.
 
-    ``bands`` has ``lower``, ``upper`` and ``label`` and does not overlap. Each band is cut
-    into the cells of ``width`` it touches, which makes this an equi-join on the cell.
-    Bounds must be multiples of ``width``, so that a cell belongs to one band.
+    ``bands`` has ``lower``, ``upper`` and ``label``; the job fails if two of them overlap. Each band
+    is cut into the cells of ``width`` it touches, which makes this an equi-join on the cell; a cell
+    on the edge of a band may belong to several, so the bounds are compared too. They need not be
+    multiples of ``width``, which only says how finely bands are cut.
     """
-    cells = bands.select(
-        F.explode(F.sequence(F.floor(F.col("lower") / width), F.ceil(F.col("upper") / width) - 1)).alias("_cell"),
-        F.col("label").alias(out),
-    )
-    celled = df.withColumn("_cell", F.floor(F.col(value) / width))
-    return lookup_join(celled, cells, ["_cell"]).drop("_cell")
+    before = F.max("upper").over(Window.orderBy("lower", "upper").rowsBetween(Window.unboundedPreceding, -1))
+    apart = bands.select("lower", "upper", F.col("label").alias(out)).where("lower < upper").withColumn("_before", before)
+    apart = apart.where(_require(F.coalesce(F.col("_before") <= F.col("lower"), F.lit(True)), "bands overlap"))
+    touched = F.explode(F.sequence(F.floor(F.col("lower") / width), F.ceil(F.col("upper") / width) - 1))
+    cells = apart.select(touched.alias("_band"), "lower", "upper", out)
+    number = F.col(value)
+    inside = (F.floor(number / width) == F.col("_band")) & (number >= F.col("_lower")) & (number < F.col("_upper"))
+    cells = cells.withColumnsRenamed({"lower": "_lower", "upper": "_upper"})
+    if small_enough(cells):
+        cells = F.broadcast(cells)
+    return df.join(cells, inside, "left").drop("_band", "_lower", "_upper")
 
 
 def check_counts(name: str, expected: int, found: int) -> None:

@@ -9,13 +9,14 @@ from microtally.settings import PARTITION_COLUMN
 # Rows one file of a partition may hold; a larger partition is split over several files.
 ROWS_PER_FILE = 5_000_000
 
-# Rows a spreadsheet can hold; a larger result is written as several CSV files.
-SPREADSHEET_ROWS = 1_000_000
 
+def read_partitioned(spark: SparkSession, path: str, value=None, key: str = PARTITION_COLUMN, schema=None) -> DataFrame:
+    """The whole dataset, or the one folder whose key equals ``value``; the key is a long.
 
-def read_partitioned(spark: SparkSession, path: str, value=None, key: str = PARTITION_COLUMN) -> DataFrame:
-    """The whole dataset, or the one folder whose key equals ``value``; the key is a long."""
-    dataset = spark.read.parquet(path)
+    With ``schema`` no file footer is read to plan the scan; without ``value`` all folders are listed.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    dataset = reader.parquet(path)
     if value is not None:
         dataset = dataset.where(F.col(key) == value)
     return dataset.withColumn(key, F.col(key).cast("long"))
@@ -44,9 +45,9 @@ def write_partitioned(df: DataFrame, path: str, key: str = PARTITION_COLUMN, sor
     )
 
 
-def write_csv_copy(df: DataFrame, path: str) -> None:
-    """A CSV copy with a header: one file if the table is small enough for a spreadsheet."""
-    if df.limit(SPREADSHEET_ROWS + 1).count() <= SPREADSHEET_ROWS:
+def write_csv_copy(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """A CSV copy with a header; ``one_file`` is for results that are known to be short."""
+    if one_file:
         df = df.coalesce(1)
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -47,7 +47,7 @@ def load_region_list(spark: SparkSession, fresh: str, snapshot: str, fields=REGI
         check_region_list(regions, fields, minimum)
     except (SourceError, PySparkException) as unusable:
         return read_snapshot(spark, snapshot, unusable)
-    regions.coalesce(1).write.mode("overwrite").parquet(snapshot)
+    regions.write.mode("overwrite").parquet(snapshot)
     return regions.withColumn("status", F.lit("fresh"))
 
 

@@ -1,5 +1,8 @@
 """Coded answers, labels, rates and table builders on small tables."""
 
+import random
+from bisect import bisect
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -16,62 +19,73 @@ def column(df, expression):
 
 
 def test_yes_no(spark):
-    df = spark.createDataFrame([(1,), (2,), (9,), (None,)], "c long").coalesce(1)
-    assert column(df, yes_no(F.col("c"))) == [True, False, None, None]
+    df = spark.range(-1, 5).selectExpr("CASE WHEN id >= 0 THEN id END AS c").coalesce(1)
+    assert column(df, yes_no(F.col("c"))) == [None, None, True, False, None, None]
+
 
+def test_bands_cover_every_age_once(spark):
+    df = spark.range(-3, AGE_TOP + 3).selectExpr("id AS a").coalesce(1)
+    lows = [low for low, _ in AGE_BANDS]
+    wanted = [AGE_BANDS[bisect(lows, age) - 1][1] if 0 <= age < AGE_TOP else None for age in range(-3, AGE_TOP + 3)]
+    assert column(df, band(F.col("a"), AGE_BANDS, AGE_TOP)) == wanted
+    assert column(spark.createDataFrame([(None,)], "a long"), band(F.col("a"), AGE_BANDS, AGE_TOP)) == [None]
 
-def test_age_bands(spark):
-    ages = [0, 9, 10, 24, 64, 65, 98, None, 199, 200, -1]
-    df = spark.createDataFrame([(a,) for a in ages], "a long").coalesce(1)
-    assert column(df, band(F.col("a"), AGE_BANDS, AGE_TOP)) == [
-        "0-9", "0-9", "10-14", "15-24", "55-64", "65+", "65+", None, "65+", None, None]
 
+def test_flags_of_three_values(spark):
+    values = (True, False, None)
+    rows = [(a, b, c) for a in values for b in values for c in values]
+    df = spark.createDataFrame(rows, "a boolean, b boolean, c boolean").coalesce(1)
+    flags = [F.col(name) for name in "abc"]
+    assert column(df, any_flag(*flags)) == [True if True in row else None if None in row else False for row in rows]
+    assert column(df, complete_sum(*flags)) == [None if None in row else sum(row) for row in rows]
 
-def test_flags_scores_and_tiers(spark):
-    rows = [(True, False), (None, True), (None, False), (False, False)]
-    df = spark.createDataFrame(rows, "a boolean, b boolean").coalesce(1)
-    assert column(df, any_flag(F.col("a"), F.col("b"))) == [True, True, None, False]
-    assert column(df, complete_sum(F.col("a"), F.col("b"))) == [1, None, None, 0]
-    scores = spark.createDataFrame([(s,) for s in (0, 1, 2, 3, 4, 5, 6, None)], "s long").coalesce(1)
-    assert column(scores, lookup(F.col("s"), ACCESS_TIERS)) == [
-        "No access", "Low", "Low", "Moderate", "High", "High", None, None]
-    assert column(scores, code_flag(F.col("s"), [1, 2, 3], [4])) == [None, True, True, True, False, None, None, None]
-    assert column(scores, sentinel_to_null(F.col("s"), 6)) == [0, 1, 2, 3, 4, 5, None, None]
 
+def test_codes_become_tiers_flags_and_nulls(spark):
+    df = spark.createDataFrame([(n,) for n in (*range(-1, 8), None)], "s long").coalesce(1)
+    codes = [*range(-1, 8), None]
+    assert column(df, lookup(F.col("s"), ACCESS_TIERS)) == [ACCESS_TIERS.get(code) for code in codes]
+    assert column(df, code_flag(F.col("s"), [0, 6], [7])) == [{0: True, 6: True, 7: False}.get(code) for code in codes]
+    assert column(df, sentinel_to_null(F.col("s"), 5)) == [None if code == 5 else code for code in codes]
 
-BOOK = "variable string, value_from long, value_to long, value_label string, row long"
+
+BOOK = "source string, variable string, value_from long, value_to long, value_label string, row long, volume int"
 
 
 def book(spark):
+    """Two volumes: the second is later, though its rows have smaller numbers and its name sorts first."""
     return spark.createDataFrame([
-        ("sex", 1, 1, "1 - Male", 1), ("sex", 2, 2, "2 - Female", 2), ("age", 0, 98, None, 3),
-        ("area", 1, 1, "01 - Old", 4), ("area", 1, 1, "01 -  Urban ", 5), ("area", 2, 2, "", 6),
-        ("area", 3, 3, "4Ps member", 7),
+        ("main", "roof", 1, 1, "1 - Tiles", 40, 0), ("main", "roof", 2, 2, "2 - Reed", 41, 0), ("main", "roof", 3, 3, "3 - Tin", 42, 0),
+        ("main", "wall", 1, 1, "01 - Mud", 60, 0), ("main", "wall", 1, 1, "01 -  Brick ", 61, 0), ("main", "wall", 2, 2, "", 62, 0),
+        ("main", "wall", 4, 4, "2x4 frame", 63, 0), ("main", "rooms", 1, 40, None, 70, 0),
+        ("added", "roof", 2, 2, "2 - Thatch", 5, 1), ("added", "roof", 3, 3, "3 - Metal", 42, 1),
     ], BOOK)
 
 
 def test_code_labels(spark):
-    labels = codebook.label_maps(book(spark), ["sex", "age", "area"])
-    # The last entry of a code wins; a label that itself starts with a digit loses it.
-    assert labels == {"sex": {1: "Male", 2: "Female"}, "age": {}, "area": {1: "Urban", 3: "Ps member"}}
+    labels = codebook.label_maps(book(spark), ["roof", "wall", "rooms"])
+    # The last entry of the last volume wins; a label that itself starts with a digit loses it.
+    assert labels == {"roof": {1: "Tiles", 2: "Thatch", 3: "Metal"}, "wall": {1: "Brick", 4: "x4 frame"}, "rooms": {}}
 
 
 @pytest.mark.parametrize("limit", [64, 1])
 def test_decode_is_the_same_by_map_and_by_join(spark, monkeypatch, limit):
     monkeypatch.setattr(codebook, "INLINE_LABELS", limit)
-    df = spark.createDataFrame([(1,), (2,), (7,), (None,)], "code long")
-    decoded = codebook.decode(df, book(spark), {"label": ("code", "sex"), "other": ("code", "age")})
+    df = spark.createDataFrame([(1,), (2,), (9,), (None,)], "code long")
+    decoded = codebook.decode(df, book(spark), {"label": ("code", "roof"), "other": ("code", "rooms")})
     assert {(r.code, r.label, r.other) for r in decoded.collect()} == {
-        (1, "Male", None), (2, "Female", None), (7, None, None), (None, None, None)}
+        (1, "Tiles", None), (2, "Thatch", None), (9, None, None), (None, None, None)}
 
 
 def test_weighted_rate(spark):
-    df = spark.createDataFrame([(True, 3.0), (False, 1.0), (None, 100.0)], "f boolean, w double")
-    assert df.agg(weighted_rate(F.col("f"), F.col("w"))).first()[0] == 75.0
-    assert df.where("f IS NULL").agg(weighted_rate(F.col("f"), F.col("w"))).first()[0] is None
-    assert df.where("NOT f").agg(weighted_rate(F.col("f"), F.col("w"))).first()[0] == 0.0
-    assert df.where("NOT f").agg(weighted_share(F.col("f"), F.col("w"))).first()[0] is None
-    assert df.limit(0).agg(weighted_rate(F.col("f"), F.col("w"))).first()[0] is None
+    draw = random.Random(8)
+    rows = [(draw.choice([True, False, None]), draw.randrange(1, 500) / 4) for _ in range(300)]
+    df = spark.createDataFrame(rows, "f boolean, w double")
+    yes, no = (sum(w for flag, w in rows if flag is value) for value in (True, False))
+    assert df.agg(weighted_rate(F.col("f"), F.col("w"))).first()[0] == pytest.approx(100 * yes / (yes + no), abs=0.01)
+    empty = [df.where("f IS NULL"), df.limit(0)]
+    assert [frame.agg(weighted_rate(F.col("f"), F.col("w"))).first()[0] for frame in empty] == [None, None]
+    none = df.where("NOT f")
+    assert none.agg(weighted_rate(F.col("f"), F.col("w")), weighted_share(F.col("f"), F.col("w"))).first()[:] == (0.0, None)
 
 
 def test_dim_region(spark):
@@ -79,7 +93,7 @@ def test_dim_region(spark):
         ("r13", "NCR", "National Capital Region", "luzon", "1300000000"),
         ("r05", "Bicol", "Region V", "luzon", "0500000000"),
     ], "code string, name string, regionName string, islandGroupCode string, psgc10DigitCode string")
-    rows = [tuple(row) for row in curate.build_dim_region(regions).collect()]
+    rows = sorted(tuple(row) for row in curate.build_dim_region(regions).collect())
     assert rows == [
         (5, "Region V - Bicol", "Bicol", "Luzon", "0500000000"),
         (13, "National Capital Region", "NCR", "Luzon", "1300000000")]
@@ -113,16 +127,38 @@ def test_band_join_equals_the_expression(spark):
     assert joined.count() == 235 and wrong.count() == 0
 
 
-@pytest.mark.parametrize("rows", [200_000, 1])
-def test_lookup_join_is_the_same_beyond_the_broadcast_size(spark, monkeypatch, rows):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", rows)
+@pytest.mark.parametrize("width", [1, 7, 10, 1000])
+def test_bands_need_not_fit_their_cells(spark, width):
+    values = spark.range(-5, 60).selectExpr("id AS v").unionAll(spark.sql("SELECT CAST(NULL AS bigint)"))
+    bands = [(0, 15, "a"), (15, 25, "b"), (30, 31, "c"), (31, 55, "d")]
+    joined = joins.band_join(values, "v", spark.createDataFrame(bands, "lower long, upper long, label string"), "band", width)
+    wanted = {v: next((name for low, high, name in bands if low <= v < high), None) for v in range(-5, 60)}
+    rows = joined.collect()
+    assert len(rows) == 66 and {row.v: row.band for row in rows} == {**wanted, None: None}
+
+
+def test_overlapping_bands_fail(spark):
+    bands = spark.createDataFrame([(0, 20, "a"), (5, 7, "b"), (10, 12, "c")], "lower long, upper long, label string")
+    with pytest.raises(PySparkException, match="overlap"):
+        joins.band_join(spark.range(5).selectExpr("id AS v"), "v", bands, "band", 10).collect()
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "inner"])
+def test_lookup_join_is_the_same_beyond_the_broadcast_size(spark, monkeypatch, how):
     df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 50 = 1 THEN NULL ELSE id END AS k")
-    table = spark.range(0, 3000, 2).selectExpr("id + 1 AS k", "concat('v', id) AS v")
-    found = joins.lookup_join(df, table, ["k"])
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert ("_salt" in plan) == (rows == 1)
-    wrong = found.where("NOT (v <=> CASE WHEN k % 2 = 1 THEN concat('v', k - 1) END)")
-    assert found.count() == 3000 and wrong.count() == 0
+    table = spark.range(0, 3000, 2).selectExpr("CASE WHEN id > 10 THEN id + 1 END AS k", "concat('v', id) AS v").dropDuplicates(["k"])
+    found = {}
+    for limit in (1 << 30, 1):
+        monkeypatch.setattr(joins, "small_enough", lambda frame, bound=0, limit=limit: limit > 1)
+        joined = joins.lookup_join(df, table, ["k"], how)
+        assert ("_salt" in joined._jdf.queryExecution().executedPlan().toString()) == (limit == 1)
+        found[limit] = sorted(map(repr, joined.collect()))
+    assert found[1] == found[1 << 30]
+
+
+def test_size_of_a_lookup_is_measured_in_bytes(spark):
+    wide = spark.range(1000).selectExpr("id AS k", "repeat('x', 1000) AS v")
+    assert joins.small_enough(wide) and not joins.small_enough(wide, 100_000) and joins.small_enough(wide.select("k"), 100_000)
 
 
 def test_skewed_parent_lookup_is_split_and_keeps_every_row(spark):
