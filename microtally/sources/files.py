@@ -1,6 +1,5 @@
 """Source files: lookup, checksum, encoding, line counts, manifest and change detection."""
 
-import fnmatch
 import re
 from datetime import datetime, timezone
 
@@ -11,7 +10,8 @@ from microtally.errors import SourceError
 from microtally.session import checkpointed, path_exists
 from microtally.sources.text_tables import read_text_table
 
-CHUNK_BYTES = 4 << 20
+# A file up to this size is hashed by one task in one piece; Spark's limit for a cell is 2 GB.
+WHOLE_FILE_BYTES = 1 << 30
 
 # Local files are reported with one slash or with three.
 LOCAL_PREFIX = "^file:/+"
@@ -49,48 +49,40 @@ def list_files(spark: SparkSession, paths) -> DataFrame:
 
 
 def find_source(spark: SparkSession, folder: str, pattern: str) -> str:
-    """Path of the one entry of ``folder`` matching a glob, ignoring case.
+    """Path of the one entry of ``folder`` matching a glob, in any case of letters.
 
-    An entry is a file, or a folder of part files that all have the same header.
+    An entry is a file, or a folder of part files that all have the same header. The file system
+    does the matching: letters become classes of both cases.
     """
-    if not path_exists(spark, folder):
-        raise SourceError(f"source folder not found: {folder}")
-    found = sorted(
-        (status.getPath().getName(), status.getPath().toString()) for status in list_status(spark, folder)
-        if fnmatch.fnmatch(status.getPath().getName().lower(), pattern.lower())
-    )
-    if not found:
-        raise SourceError(f"no file matching '{pattern}' in {folder}")
-    if len(found) > 1:
-        raise SourceError(f"pattern '{pattern}' matches several files: {[name for name, _ in found]}")
-    return found[0][1]
-
-
-def checksums(files: DataFrame) -> DataFrame:
-    """SHA-256 of each file, read in chunks by one task per file.
-
-    The hash of a file is sequential by nature; memory stays at one chunk whatever the
-    file size, where a binary column would hold whole files.
+    either = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in pattern)
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    filesystem = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(place):
+        raise SourceError(f"{folder} does not exist, so {pattern} cannot be looked for")
+    entries = [str(entry.getPath()) for entry in filesystem.globStatus(spark._jvm.org.apache.hadoop.fs.Path(place, either)) or []]
+    if len(entries) != 1:
+        names = ", ".join(sorted(entry.rsplit("/", 1)[-1] for entry in entries))
+        raise SourceError(f"{pattern} must name one entry of {folder}, not {f'{len(entries)} entries: {names}' if entries else 'nothing'}")
+    return entries[0]
+
+
+def checksums(spark: SparkSession, files: DataFrame, paths) -> DataFrame:
+    """``path, sha256`` of each file, read by Spark from whatever store the paths name.
+
+    Files up to ``WHOLE_FILE_BYTES`` are hashed as a whole. Larger ones are scanned in splits by many
+    tasks: their digest is that of the number of lines and of sums over the hashes of all lines, with
+    ``lines:`` before it. It notices every line that is changed, added or lost, not a new order.
     """
-
-    def hash_batches(batches):
-        import hashlib
-
-        import pandas as pd
-        from pyarrow import fs
-
-        for batch in batches:
-            hashes = []
-            for uri in batch["uri"]:
-                filesystem, name = fs.FileSystem.from_uri(uri)
-                digest = hashlib.sha256()
-                with filesystem.open_input_stream(name, compression=None) as stream:
-                    while chunk := stream.read(CHUNK_BYTES):
-                        digest.update(chunk)
-                hashes.append(digest.hexdigest())
-            yield pd.DataFrame({"uri": batch["uri"], "sha256": hashes})
-
-    return files.select("uri").repartition("uri").mapInPandas(hash_batches, "uri string, sha256 string")
+    content = spark.read.format("binaryFile").load(paths).where(F.col("length") <= WHOLE_FILE_BYTES)
+    whole = content.select("path", F.sha2("content", 256).alias("sha256"))
+    large = [row.path for row in files.where(F.col("size_bytes") > WHOLE_FILE_BYTES).select("path").collect()]
+    if not large:
+        return whole
+    facts = [F.count("*"), *[F.sum(F.xxhash64("value", F.lit(seed)).cast("decimal(38,0)")) for seed in range(3)]]
+    digest = F.concat(F.lit("lines:"), F.sha2(F.concat_ws("|", *[fact.cast("string") for fact in facts]), 256))
+    lines = spark.read.option("lineSep", "\n").text(large)
+    split = lines.groupBy(scanned_uri().alias("uri")).agg(digest.alias("sha256"))
+    return whole.unionByName(files.join(split, "uri").select("path", "sha256"))
 
 
 def scanned_uri():
@@ -132,7 +124,7 @@ def describe_files(spark: SparkSession, paths) -> DataFrame:
     """Listing, checksum, encoding and data lines of some files."""
     files = list_files(spark, paths)
     return (
-        files.join(checksums(files), "uri", "left")
+        files.join(checksums(spark, files, paths), "path", "left")
         .join(text_facts(spark, paths), "uri", "left")
         .fillna({"encoding": "utf-8-sig", "data_lines": 0})
     )
