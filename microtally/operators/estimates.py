@@ -22,6 +22,7 @@ from microtally.functions.coded import lookup
 from microtally.session import checkpointed
 from microtally.settings import TIER_ORDER, Z_95
 
+# Names of the indicators and breakdowns in the published table.
 FUNCTIONAL = "Functional literacy (persons 10-64)"
 BASIC = "Basic literacy (persons 10-64)"
 INTERNET = "Households with home internet"

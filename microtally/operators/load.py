@@ -4,7 +4,8 @@ A load writes each table into folders of its own run and then appends one audit
 audit row publishes it: readers take, per survey year, the folders of the latest run
 listed there. A load that fails half-way has no audit row and stays invisible, other years
 are never touched, and loading a batch again replaces its year instead of doubling it.
-Folders of replaced runs stay until somebody removes them. One loader runs at a time.
+Folders of replaced runs stay until somebody removes those :func:`unpublished_runs` lists. Two loads
+at once cannot take the same folder: the second one fails.
 """
 
 from datetime import datetime, timezone
@@ -12,6 +13,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from microtally.errors import JoinContractError
+from microtally.operators import quality
 from microtally.operators.joins import unique_by
 from microtally.session import path_exists
 from microtally.settings import LOAD_PLAN, SURVEY_YEAR
@@ -82,16 +85,57 @@ def read_warehouse(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(*folders)
 
 
+# Columns of a loaded table that identify a row beside its primary key.
+ALSO_UNIQUE = {"dim_region": [["psgc_code"]]}
+
+# Declared types of loaded columns that differ from those of the curated tables.
+DECLARED = {
+    "survey_year": "smallint", "region_code": "smallint", "region_code_nir": "smallint", "province_code": "smallint",
+    "line_no": "smallint", "age": "smallint", "relationship_code": "smallint", "education_level_code": "smallint",
+    "result_code": "smallint", "functional_literacy_level_code": "smallint", "digital_access_score": "smallint",
+    "persons_sampled": "int", "psu": "int", "functional_literacy_rate": "decimal(5,2)", "basic_literacy_rate": "decimal(5,2)",
+}
+
+
+def load_rules(contract: dict) -> dict:
+    """What a table must hold to be published: the contract, and all keys unique."""
+    return {item["table"]: contract["tables"][item["table"]] for item in LOAD_PLAN}
+
+
+def declared_types(df: DataFrame, types=DECLARED) -> DataFrame:
+    """The columns under their declared types; a value that does not fit fails the job."""
+    return df.select(*[F.col(name).cast(types[name]) if name in types else F.col(name) for name in df.columns])
+
+
+def check_rules(tables: dict, rules: dict) -> list:
+    """Checks of the tables about to be published; the first error among them stops the load."""
+    results = []
+    for table, spec in rules.items():
+        results += quality.validate_table(tables[table], table, spec, tables)
+        for key in ALSO_UNIQUE.get(table, []):
+            repeats = quality.rows_sharing_keys(tables[table].dropna(subset=key), key).first().failing_rows
+            results.append(quality.result(table, "unique", ",".join(key), repeats, f"{repeats:,} rows with a repeated key"))
+    return quality.raise_if_failed("load", results)
+
+
 def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, year: int = SURVEY_YEAR,
-                plan=LOAD_PLAN) -> dict[str, int]:
-    """Write all tables of the plan, then publish them together with one audit row."""
+                plan=LOAD_PLAN, rules: dict | None = None) -> dict[str, int]:
+    """Write all tables of the plan, then publish them together with one audit row.
+
+    ``rules`` are checked before anything is written. A folder that another load has taken in the
+    meantime fails this one.
+    """
     started = datetime.now(timezone.utc)
-    known = read_audit(spark, root).agg(F.max("run_id").alias("last")).first()
-    run_id = (known.last or 0) + 1
+    missing = [item["table"] for item in plan if item["table"] not in tables]
+    if missing:
+        raise JoinContractError(f"tables to load are missing: {missing}")
+    if rules:
+        check_rules(tables, rules)
+    run_id = _next_run(spark, root, plan)
     counts = {}
     for item in plan:
         table = item["table"]
-        rows = tag_batch(tables[table], batch_id)
+        rows = declared_types(tag_batch(tables[table], batch_id))
         if item["strategy"] == "upsert":
             rows = _merge_lookup(spark, root, table, rows, item["key"])
         else:
@@ -101,6 +145,27 @@ def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, yea
     return counts
 
 
+def _next_run(spark: SparkSession, root: str, plan) -> int:
+    """A number no load has used, published or not."""
+    last = read_audit(spark, root).agg(F.max("run_id")).first()[0] or 0
+    run_id = last + 1
+    while any(path_exists(spark, table_path(root, item["table"], run_id)) for item in plan):
+        run_id += 1
+    return run_id
+
+
+def unpublished_runs(spark: SparkSession, root: str, plan=LOAD_PLAN) -> list[str]:
+    """Folders no reader sees: of loads that failed, and of runs that were replaced."""
+    seen, found = set(current_runs(spark, root)), []
+    for item in plan:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{item['table']}/run_id=*")
+        for entry in folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []:
+            run = int(entry.getPath().getName().split("=")[1])
+            if run not in seen:
+                found.append(entry.getPath().toString())
+    return sorted(found)
+
+
 def _merge_lookup(spark, root, table, rows, key):
     if not current_runs(spark, root):
         return unique_by(rows, key, table)
@@ -116,7 +181,7 @@ def _one_year(rows, table, year):
 def _write_counted(rows: DataFrame, path: str) -> int:
     """Write and count in one job."""
     seen = Observation()
-    rows.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(path)
+    rows.observe(seen, F.count("*").alias("rows")).write.mode("errorifexists").parquet(path)
     return seen.get["rows"]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from microtally.functions.text import is_number, strip
+from microtally.session import checkpointed
 
 TOP_VALUES = 5
 MAX_EXAMPLES = 5
@@ -111,8 +112,12 @@ def profile_table(df: DataFrame) -> DataFrame:
 
 
 def full_profile(df: DataFrame, table: str, file: str) -> DataFrame:
-    """The profile of one file as a single nested row, ready to be written as JSON."""
-    counts = value_counts(df)
+    """The profile of one file as a single nested row, ready to be written as JSON.
+
+    The table is read twice: once for its distinct cells, which are written down for the four parts
+    that follow from them, and once for repeated rows.
+    """
+    counts = checkpointed(value_counts(df))
     tops = top_values(counts).groupBy("column").agg(
         F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("top_values")
     )
@@ -120,10 +125,9 @@ def full_profile(df: DataFrame, table: str, file: str) -> DataFrame:
         F.array_sort(F.collect_list("value")).alias("non_numeric_examples")
     )
     columns = profile_columns(counts).join(tops, "column", "left").join(examples, "column", "left")
-    profiles = columns.select(F.struct("*").alias("profile")).agg(F.collect_list("profile").alias("column_profiles"))
-    tagged = profiles.withColumn("table", F.lit(table))
-    return profile_table(df).withColumn("table", F.lit(table)).join(tagged, "table").select(
-        "table", F.lit(file).alias("file"), "rows", "columns", "exact_duplicate_rows", "column_profiles"
-    )
+    whole = profile_table(df).select(F.struct("*").alias("whole"), F.lit(None).alias("profile"))
+    parts = columns.select(F.lit(None).alias("whole"), F.struct("*").alias("profile"))
+    both = whole.unionByName(parts).agg(F.max("whole").alias("whole"), F.collect_list("profile").alias("column_profiles"))
+    return both.select(F.lit(table).alias("table"), F.lit(file).alias("file"), "whole.*", "column_profiles")
 
 

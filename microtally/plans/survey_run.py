@@ -17,6 +17,9 @@ from microtally.session import in_parallel, path_exists
 from microtally.settings import DEMO_REGION, MIN_REGIONS, PARTITION_COLUMN, SURVEY_FILES, SURVEY_YEAR
 from microtally.sources import codebook, datasets, files, region_list, text_tables
 
+# Codebooks stand in the manifest under this and the name of their source.
+CODEBOOK_PREFIX = "codebook_"
+
 CURATED = ["dim_region", "household", "member", "literacy_assessment", "agg_literacy_digital"]
 
 
@@ -41,6 +44,7 @@ class SurveyRun:
     min_regions: int = MIN_REGIONS
     demo_region: int = DEMO_REGION
     max_duplicate_share: float = staging.MAX_DUPLICATE_SHARE
+    keep_as_text: dict = field(default_factory=dict)
 
     def path(self, layer: str, name: str = "") -> str:
         return f"{self.root}/{layer}/{name}".rstrip("/")
@@ -65,7 +69,8 @@ class SurveyRun:
 
     def registered(self) -> list:
         """Per table: where it is, its encoding and its number of data lines."""
-        rows = self.manifest().groupBy("table", "location").agg(
+        surveyed = self.manifest().where(F.col("table").isin(list(SURVEY_FILES)))
+        rows = surveyed.groupBy("table", "location").agg(
             files.common_encoding(), F.sum("data_lines").alias("data_lines")
         )
         return sorted(rows.collect(), key=lambda row: list(SURVEY_FILES).index(row.table))
@@ -81,15 +86,17 @@ class SurveyRun:
         return self.spark.read.parquet(self.path("raw", "regions")).count()
 
     def ingest(self) -> int:
-        """Register the source files; all must be there before any is read."""
+        """Register the source files and the codebooks; all must be there before any is read."""
         paths = {table: self.locate(table) for table in SURVEY_FILES}
+        paths |= {f"{CODEBOOK_PREFIX}{source}": path for source, path in self.sheets.items()}
         previous = self._previous_manifest()
         manifest = files.file_manifest(self.spark, paths, self.source, previous).withColumn(
             "ingested_at", F.current_timestamp()
         )
         target = self.path("manifests", f"batch={self.batch_id}")
         manifest.coalesce(1).write.mode("overwrite").json(target)
-        return files.reject_empty(self.manifest()).select("table").distinct().count()
+        registered = files.reject_empty(self.manifest()).where(F.col("table").isin(list(SURVEY_FILES)))
+        return registered.select("table").distinct().count()
 
     def _previous_manifest(self) -> DataFrame | None:
         """The last registered state of each table."""
@@ -100,7 +107,12 @@ class SurveyRun:
         return earlier.groupBy("table", "file").agg(F.max_by("sha256", "ingested_at").alias("sha256"))
 
     def validate_raw(self) -> list:
-        results = raw_gate.check_raw_files(self.spark, self.locate, self.contract["raw_files"], self.manifest())
+        registered = self.path("manifests", f"batch={self.batch_id}")
+        manifest = self.manifest() if path_exists(self.spark, registered) else None
+        results = raw_gate.check_raw_files(self.spark, self.locate, self.contract["raw_files"], manifest)
+        if manifest is not None:
+            books = {f"{CODEBOOK_PREFIX}{source}": path for source, path in self.sheets.items()}
+            quality.raise_if_failed("codebooks", raw_gate.check_registered(self.spark, books, manifest))
         return self._report("raw_gate", results)
 
     def profile(self) -> list[str]:
@@ -117,10 +129,13 @@ class SurveyRun:
             self.spark, lambda row: stage_table(self, row.table, row.location, row.encoding), self.registered()
         )
         columns = "`table` string, rows_in long, exact_duplicates_removed long, rows_sharing_a_key long, " \
-                  "key_duplicates_removed long, rows_out long"
-        report = self.spark.createDataFrame([tuple(s.values()) for s in stats], columns)
-        report.coalesce(1).write.mode("overwrite").json(self.path("reports/dedup", f"batch={self.batch_id}"))
+                  "key_duplicates_removed long, rows_out long, typed_columns long, key array<string>, output string, " \
+                  "codebook_labels long"
         self._stage_codebook()
+        labels = self.staged("codebook").count()
+        report = self.spark.createDataFrame(
+            [(*s.values(), SURVEY_FILES[s["table"]]["key"], self.staged_path(s["table"]), labels) for s in stats], columns)
+        report.coalesce(1).write.mode("overwrite").json(self.path("reports/dedup", f"batch={self.batch_id}"))
         return {s["table"]: s["rows_out"] for s in stats}
 
     def _stage_codebook(self) -> None:
@@ -161,7 +176,7 @@ class SurveyRun:
         check_counts("person_profile", counts["member"], counts["person_profile"])
         aggregate = curate.build_aggregate(self.person_profile(), self.year, self.batch_id)
         counts["agg_literacy_digital"] = self._write(aggregate, self.path("curated", "agg_literacy_digital"))
-        datasets.write_csv_copy(self.curated("agg_literacy_digital"), self.path("published", "agg_literacy_digital_csv"))
+        datasets.write_csv_copy(self.curated("agg_literacy_digital"), self.path("published", "agg_literacy_digital_csv"), one_file=True)
         return counts
 
     def person_profile(self, region_code=None) -> DataFrame:
@@ -174,7 +189,8 @@ class SurveyRun:
 
     def load(self) -> dict[str, int]:
         tables = {name: self.curated(name) for name in CURATED}
-        return load.load_tables(self.spark, self.path("warehouse"), tables, self.batch_id, self.year)
+        return load.load_tables(
+            self.spark, self.path("warehouse"), tables, self.batch_id, self.year, rules=load.load_rules(self.contract))
 
     def compare_formats(self) -> int:
         """Sizes and changed types per format, and what reading one region saves."""
@@ -193,7 +209,7 @@ class SurveyRun:
         )
         datasets.write_table(table.coalesce(1), self.path("published", "key_estimates"))
         saved = self.published("key_estimates")
-        datasets.write_csv_copy(saved, self.path("published", "key_estimates_csv"))
+        datasets.write_csv_copy(saved, self.path("published", "key_estimates_csv"), one_file=True)
         return saved.count()
 
     def published(self, name: str) -> DataFrame:
@@ -208,7 +224,7 @@ class SurveyRun:
             "sample_sizes": rates.sample_sizes(self.curated("agg_literacy_digital"), self.curated("dim_region")),
         }
         for name, table in tables.items():
-            datasets.write_csv_copy(table, self.path("published/charts", name))
+            datasets.write_csv_copy(table, self.path("published/charts", name), one_file=True)
         return list(tables)
 
     # ---------- helpers ----------
@@ -257,11 +273,13 @@ def stage_table(run: SurveyRun, table: str, path: str, encoding: str) -> dict:
     scanned = text_tables.scan_blocks(spark, path, encoding)
     marks = [text_tables.FILE, text_tables.BLOCK, text_tables.ROW, "source_file"]
     names = [name for name in scanned.columns if name not in marks]
+    typed_names = [name for name in names if name not in run.keep_as_text.get(table, ())]
     clean = scanned.select(*[blank_to_null(F.col(f"`{name}`")).alias(name) for name in names], *marks)
-    blocks = text_tables.block_facts(staging.with_kinds(clean, names), *staging.type_counters(names))
-    types = staging.decide_types(staging.add_up(blocks).first().asDict(), names)
+    kinds = staging.with_kinds(clean.select(*typed_names, *marks), typed_names)
+    blocks = text_tables.block_facts(kinds, *staging.type_counters(typed_names))
+    types = staging.decide_types(staging.add_up(blocks).first().asDict(), typed_names)
     typed = staging.apply_types(text_tables.number_rows(clean, blocks), types)
-    return write_staged(run, table, staging.deduplicate(typed, key, names))
+    return {**write_staged(run, table, staging.deduplicate(typed, key, names)), "typed_columns": len(types)}
 
 
 def write_staged(run: SurveyRun, table: str, deduplicated: staging.Deduplicated) -> dict:
