@@ -79,7 +79,7 @@ RULES = (
 )
 
 # Every known sentence has one of these, in any case of letters.
-HINT = r"(?i)licen[sc]e|public domain|permission|redistribut|warranty|copyright|cc[^a-z0-9]+by"
+HINT = r"(?i)licen[sc]e|unencumbered|permission|redistribut|warranty|copyright|cc[^a-z0-9]+by"
 # A point between digits, as in version numbers, ends no sentence: an end is followed by white space.
 SENTENCE_END = r"([.!?;:])[\x20\x09-\x0D]+"
 EMPTY_LINE = r"\n[\x20\x09-\x0D]*\n"
@@ -101,7 +101,7 @@ def _identifier(sentence):
     for name, pattern in SENTENCES:
         hit = plain.rlike(f"^(?:{pattern})$")
         found = F.when(hit, F.lit(name)) if found is None else found.when(hit, F.lit(name))
-    return F.when(sentence.rlike(HINT) | sentence.rlike("(?i)apache|software|compliance|liable"), found)
+    return F.when(sentence.rlike(HINT), found)
 
 
 def _sequence(text):
@@ -144,7 +144,7 @@ def _sql():
     steps, previous = [], "sequences"
     for number, (name, rule) in enumerate(RULES):
         pattern = _pattern(rule).replace(" ", " +")
-        steps.append(f"rule{number} AS (SELECT doc_id, row_id, way, ids, CASE WHEN regexp_matches(rest, '{pattern}') THEN list_append(names, '{name}') ELSE names END AS names, "
+        steps.append(f"rule{number} AS MATERIALIZED (SELECT doc_id, row_id, way, ids, CASE WHEN regexp_matches(rest, '{pattern}') THEN list_append(names, '{name}') ELSE names END AS names, "
                      f"regexp_replace(rest, '{pattern}', ' ', 'g') AS rest FROM {previous})")
         previous = f"rule{number}"
     return f"""
@@ -162,7 +162,7 @@ ways AS (
     SELECT row_id, way, place, CASE {cases} END AS id FROM sentences
 ), joined AS (
     SELECT row_id, way, string_agg(id, ' ' ORDER BY place) AS ids FROM known WHERE id IS NOT NULL GROUP BY row_id, way
-), sequences AS (
+), sequences AS MATERIALIZED (
     SELECT w.doc_id, w.row_id, w.way, coalesce(j.ids, '') AS ids, CAST([] AS VARCHAR[]) AS names, ' ' || replace(coalesce(j.ids, ''), ' ', '  ') || ' ' AS rest
     FROM ways w LEFT JOIN joined j USING (row_id, way)
 ), {', '.join(steps)}
