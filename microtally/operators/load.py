@@ -102,7 +102,7 @@ def load_rules(contract: dict) -> dict:
     return {item["table"]: contract["tables"][item["table"]] for item in LOAD_PLAN}
 
 
-def declared_types(df: DataFrame, types=DECLARED) -> DataFrame:
+def declared_types(df: DataFrame, types) -> DataFrame:
     """The columns under their declared types; a value that does not fit fails the job."""
     return df.select(*[F.col(name).cast(types[name]) if name in types else F.col(name) for name in df.columns])
 
@@ -119,11 +119,11 @@ def check_rules(tables: dict, rules: dict) -> list:
 
 
 def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, year: int = SURVEY_YEAR,
-                plan=LOAD_PLAN, rules: dict | None = None) -> dict[str, int]:
+                plan=LOAD_PLAN, rules: dict | None = None, types: dict | None = None) -> dict[str, int]:
     """Write all tables of the plan, then publish them together with one audit row.
 
-    ``rules`` are checked before anything is written. A folder that another load has taken in the
-    meantime fails this one.
+    ``rules`` are checked before anything is written, and columns get their declared ``types``. A folder
+    that another load has taken in the meantime fails this one.
     """
     started = datetime.now(timezone.utc)
     missing = [item["table"] for item in plan if item["table"] not in tables]
@@ -135,7 +135,7 @@ def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, yea
     counts = {}
     for item in plan:
         table = item["table"]
-        rows = declared_types(tag_batch(tables[table], batch_id))
+        rows = declared_types(tag_batch(tables[table], batch_id), types or {})
         if item["strategy"] == "upsert":
             rows = _merge_lookup(spark, root, table, rows, item["key"])
         else:

@@ -8,6 +8,7 @@ same as joining first.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from microtally.errors import JoinContractError
 from microtally.functions.weighted import ratio_pct, weighted_share, weighted_total
 from microtally.settings import ELIGIBLE_AGE_BANDS, TIER_ORDER
 
@@ -28,15 +29,17 @@ def load_check(tables: dict) -> DataFrame:
         "literacy_records": "literacy_assessment",
         "aggregate_rows": "agg_literacy_digital",
     }
-    names = {out: table for out, table in counted.items() if table in tables}
+    missing = sorted(set(counted.values()) - set(tables))
+    if missing:
+        raise JoinContractError(f"tables to count are missing: {missing}")
     counts = [
         tables[table].agg(F.count("*").alias("n")).select(F.lit(out).alias("counter"), "n")
-        for out, table in names.items()
+        for out, table in counted.items()
     ]
     stacked = counts[0]
     for count in counts[1:]:
         stacked = stacked.unionByName(count)
-    return stacked.groupBy().pivot("counter", list(names)).agg(F.max("n"))
+    return stacked.groupBy().pivot("counter", list(counted)).agg(F.max("n"))
 
 
 def rate_overall(assessment: DataFrame) -> DataFrame:
@@ -112,7 +115,7 @@ def divide_by_region(assessment: DataFrame, household: DataFrame, regions: DataF
         regions.select("region_code", "region_name")
         .join(internet_by(household, "region_code"), "region_code")
         .join(literacy, "region_code")
-        .orderBy(F.desc_nulls_first("households_with_home_internet_pct"))
+        .orderBy(F.desc_nulls_first("households_with_home_internet_pct"), "region_name")
         .select(
             "region_name", "n_households", "households_with_home_internet_pct",
             F.col("persons_sampled").alias("n_persons"), "functional_literacy_rate_pct",

@@ -190,7 +190,8 @@ class SurveyRun:
     def load(self) -> dict[str, int]:
         tables = {name: self.curated(name) for name in CURATED}
         return load.load_tables(
-            self.spark, self.path("warehouse"), tables, self.batch_id, self.year, rules=load.load_rules(self.contract))
+            self.spark, self.path("warehouse"), tables, self.batch_id, self.year,
+            rules=load.load_rules(self.contract), types=load.DECLARED)
 
     def compare_formats(self) -> int:
         """Sizes and changed types per format, and what reading one region saves."""

@@ -93,16 +93,45 @@ def infer_types(spark, sf_dir):
     return typed
 
 
+LARGE_SQL = """SELECT o_orderkey, CAST(9223372036854775807 - o_orderkey AS varchar) AS near_limit,
+    CAST(12345678901234567890 + CAST(o_orderkey AS hugeint) AS varchar) AS twenty_digits FROM orders"""
+
+
+def large_ids(spark, sf_dir):
+    """Orders under ids just below 2^63 and of twenty digits, as text."""
+    key = F.col("o_orderkey")
+    wide = (F.lit("12345678901234567890").cast("decimal(38,0)") + key).cast("decimal(38,0)")
+    text = read(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.lit(9223372036854775807) - key).cast("string").alias("near_limit"), wide.cast("string").alias("twenty_digits"))
+    cells = text.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "near_limit", "twenty_digits")
+    return staging.convert_types(cells)
+
+
+@query("infer_large_integers", LARGE_SQL)
+def infer_large_integers(spark, sf_dir):
+    typed, types = large_ids(spark, sf_dir)
+    assert types == {"o_orderkey": "long", "near_limit": "long", "twenty_digits": "decimal(38,0)"}
+    return typed.select("o_orderkey", *[F.col(name).cast("string").alias(name) for name in ("near_limit", "twenty_digits")])
+
+
+@query("dedup_large_keys", "SELECT count(*) AS rows_out, CAST(0 AS bigint) AS key_duplicates_removed FROM orders")
+def dedup_large_keys(spark, sf_dir):
+    typed, _ = large_ids(spark, sf_dir)
+    key = ["near_limit", "twenty_digits"]
+    found = staging.deduplicate(typed, key, key, ["o_orderkey"])
+    return found.stats.select("rows_out", "key_duplicates_removed")
+
+
 @query("type_counts", f"""
     SELECT count(*) FILTER (WHERE regexp_full_match(t, '[+-]?[0-9]{{1,18}}')) AS plain,
            count(*) FILTER (WHERE {NUMBER_SQL.format('t')} AND NOT regexp_full_match(t, '[+-]?[0-9]{{1,18}}')
                             AND floor(TRY_CAST(t AS double)) = TRY_CAST(t AS double)) AS whole,
            count(*) FILTER (WHERE {NUMBER_SQL.format('t')} AND floor(TRY_CAST(t AS double)) <> TRY_CAST(t AS double)) AS fraction,
-           count(*) FILTER (WHERE NOT {NUMBER_SQL.format('t')}) AS text
+           count(*) FILTER (WHERE NOT {NUMBER_SQL.format('t')}) AS text, CAST(0 AS bigint) AS big
     FROM (SELECT nullif(trim({MIXED_SQL}), '') AS t FROM events)""")
 def type_counts(spark, sf_dir):
     kinds = staging.with_kinds(staging.standardise(text_events(spark, sf_dir)), ["mixed_raw"])
-    return kinds.agg(*staging.type_counters(["mixed_raw"])).toDF("plain", "whole", "fraction", "text")
+    return kinds.agg(*staging.type_counters(["mixed_raw"])).toDF("plain", "whole", "fraction", "text", "big")
 
 
 def write_text_orders(spark, sf_dir):

@@ -36,6 +36,16 @@ def decode_labels_join(spark, sf_dir):
     )
 
 
+@query("decode_two_volumes", r"""
+    SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN r_name WHEN n_nationkey IN (1, 2) THEN concat('revised ', r_name)
+                             WHEN n_nationkey = 3 THEN r_name END AS label
+    FROM nation LEFT JOIN region ON r_regionkey = n_nationkey""")
+def decode_two_volumes(spark, sf_dir):
+    """Codes 1 and 2 have another label in the later volume, on a row with a smaller number."""
+    book = roles.staged(spark, sf_dir, "codebook")
+    return decode(read(spark, sf_dir, "nation").select("n_nationkey"), book, {"label": ("n_nationkey", "fllevel")})
+
+
 @query("yes_no", f"""
     SELECT l_linenumber, {YES.format('l_linenumber')} AS flag, l_linenumber = 1 AS completed, count(*) AS n
     FROM lineitem GROUP BY l_linenumber""")
@@ -54,10 +64,10 @@ def age_band(spark, sf_dir):
 
 @query("band_range_join", """
     SELECT o_orderkey, CASE WHEN o_totalprice < 0 OR o_totalprice >= 400000 THEN NULL
-           WHEN o_totalprice < 50000 THEN 'small' WHEN o_totalprice < 150000 THEN 'medium' ELSE 'large' END AS size_band
+           WHEN o_totalprice < 47500 THEN 'small' WHEN o_totalprice < 151234 THEN 'medium' ELSE 'large' END AS size_band
     FROM orders""")
 def band_range_join(spark, sf_dir):
-    bounds = [("small", 0, 50000), ("medium", 50000, 150000), ("large", 150000, 400000)]
+    bounds = [("small", 0, 47500), ("medium", 47500, 151234), ("large", 151234, 400000)]
     bands = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("label"), F.lit(low).alias("lower"), F.lit(high).alias("upper"))
         for name, low, high in bounds

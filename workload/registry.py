@@ -1,5 +1,8 @@
 """Query registry: key, Spark callable and, where SQL can say it, the reference SQL."""
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 QUERIES = {}
 ORACLES = {}
 
@@ -25,3 +28,9 @@ def read(spark, sf_dir, table):
 
 
 _FRAMES = {}
+
+
+def in_order(frame):
+    """A short result with the place of each row, so that its order is part of what is compared."""
+    placed = frame.coalesce(1).withColumn("_seen", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("_seen"))).drop("_seen")

@@ -1,22 +1,17 @@
 """Survey roles of the test tables.
 
-A customer is a household, an order a person of it, the first line item of an order that
+A customer is a household, an order a person of it, all line items of an order together that
 person's assessment, a nation a province and a region a region. Codes are computed from
 keys and amounts, so that every code, missing value and unmatched label occurs.
 """
 
-
-
 from microtally.operators import curate
-from microtally.operators.staging import keep_first
 from microtally.session import scratch_path
 from workload.registry import read
 
 YEAR = 2024
 BATCH = "batch-1"
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
-
 # Each role as SQL over the test tables; Spark reads the same text where it is a plain
 # projection, DuckDB always does.
 STAGING_SQL = {
@@ -46,27 +41,27 @@ STAGING_SQL = {
                CASE WHEN o_orderkey % 10 > 0 THEN CAST(substr(o_orderpriority, 1, 1) AS bigint) END AS hgc_level,
                o_orderkey % 6 AS attend_school, o_totalprice AS mem_rfact
         FROM orders""",
-    "first_line": """
-        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-                     l_quantity, l_extendedprice, l_returnflag, l_linestatus) AS rn FROM lineitem) numbered
-        WHERE rn = 1""",
+    "order_lines": """
+        SELECT l_orderkey, max(l_linenumber) AS l_linenumber, min(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey,
+               sum(l_quantity) AS l_quantity, max(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus
+        FROM lineitem GROUP BY l_orderkey""",
     "v1_literacy": """
         SELECT o_custkey AS hhid, l_orderkey AS lno_f2, CAST(l_linenumber AS bigint) AS result_code_f2,
                CAST(floor(o_totalprice) AS bigint) % 100 AS age_f2,
                CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 END AS bigint) AS reading,
                CAST(CASE l_linestatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 END AS bigint) AS reading59,
-               CAST(CASE WHEN l_quantity > 30 THEN 1 WHEN l_quantity > 10 THEN 2 END AS bigint) AS writing,
+               CAST(CASE WHEN l_quantity > 90 THEN 1 WHEN l_quantity > 20 THEN 2 END AS bigint) AS writing,
                l_partkey % 3 AS writing59,
                CAST(CASE WHEN l_linenumber < 4 THEN l_linenumber END AS bigint) AS compute,
                l_suppkey % 4 AS compute59,
                l_partkey % 3 AS compre, CAST(l_linenumber % 5 AS bigint) AS fllevel,
                CAST(CASE WHEN l_returnflag = 'N' OR l_linenumber = 7 THEN NULL
-                         WHEN l_quantity > 10 THEN 1 ELSE 2 END AS bigint) AS bliterate,
-               CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 END AS bigint) AS fliterate,
+                         WHEN l_quantity > 60 THEN 1 ELSE 2 END AS bigint) AS bliterate,
+               CAST(CASE WHEN l_returnflag <> 'N' OR l_linenumber < 3 THEN 1 + l_partkey % 2 END AS bigint) AS fliterate,
                l_quantity AS resp_rfact_f2
-        FROM first_line JOIN orders ON o_orderkey = l_orderkey""",
+        FROM order_lines JOIN orders ON o_orderkey = l_orderkey""",
     "codebook": """
+        SELECT *, CAST(0 AS integer) AS volume FROM (
         SELECT 'hgc_level' AS variable, CAST(substr(o_orderpriority, 1, 1) AS bigint) AS value_from,
                CAST(substr(o_orderpriority, 1, 1) AS bigint) AS value_to, o_orderpriority AS value_label,
                CAST(1 AS bigint) AS row
@@ -85,7 +80,10 @@ STAGING_SQL = {
         SELECT 'result_code_f2', n_nationkey, n_nationkey, concat('0', n_nationkey, ' - ', n_name), 5
         FROM nation WHERE n_nationkey BETWEEN 1 AND 6
         UNION ALL
-        SELECT 'age', 0, 98, r_name, 6 FROM region""",
+        SELECT 'age', 0, 98, r_name, 6 FROM region) AS main_volume
+        UNION ALL
+        SELECT 'fllevel', CAST(r_regionkey AS bigint), CAST(r_regionkey AS bigint), concat(r_regionkey, ' - revised ', r_name),
+               CAST(1 AS bigint), CAST(1 AS integer) FROM region WHERE r_regionkey IN (1, 2)""",
     "dim_region": """
         SELECT CAST(r_regionkey + 1 AS bigint) AS region_code, concat('Region ', r_regionkey + 1, ' - ', r_name) AS region_name,
                r_name AS region_short_name FROM region""",
@@ -167,10 +165,10 @@ CURATED_SQL = {
         GROUP BY region_code, age_group, digital_access_tier""",
 }
 
-LABELS_OF = f"SELECT variable, value_from AS code, max({LABEL}) AS label FROM codebook WHERE value_from = value_to GROUP BY 1, 2"
+LABELS_OF = f"SELECT variable, value_from AS code, arg_max({LABEL}, 1000 * volume + row) AS label FROM codebook WHERE value_from = value_to GROUP BY 1, 2"
 ROLE_SQL = {**STAGING_SQL, "labels_of": LABELS_OF, **CURATED_SQL}
 NEEDS = {
-    "v1_literacy": ["first_line"],
+    "v1_literacy": ["order_lines"],
     "labels_of": ["codebook"],
     "household": ["v1_household", "v1_household_questions", "labels_of"],
     "member": ["v1_member", "labels_of"],
@@ -238,10 +236,9 @@ def _codebook(spark, sf_dir):
 
 
 def _literacy(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    first = keep_first(lines, ["l_orderkey"], LINE_ORDER)
-    first.createOrReplaceTempView("first_line")
-    read(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    for table in ("lineitem", "orders"):
+        read(spark, sf_dir, table).createOrReplaceTempView(table)
+    spark.sql(STAGING_SQL["order_lines"]).createOrReplaceTempView("order_lines")
     return spark.sql(STAGING_SQL["v1_literacy"])
 
 
