@@ -36,9 +36,9 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 # Pieces, and stretches between blanks, of which a task remembers the ids.
-MEMORY = 300_000
+MEMORY = 600_000
 # Characters of what is remembered; beyond either bound a task forgets and starts again.
-MEMORY_CHARS = 8_000_000
+MEMORY_CHARS = 16_000_000
 # Rows handed to Python at once.
 BATCH_ROWS = 256
 
@@ -47,6 +47,8 @@ BATCH_ROWS = 256
 CROWDED = ("  ", " \n", "\n ", "\n\n")
 RARE = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 LONE_BLANK = re.compile(r"(?<=\S)(?= \S)")
+# A word in Latin letters and the marks behind it: two matches of the pattern.
+PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?#$%&*|-]*)")
 
 
 def byte_characters():
@@ -89,36 +91,42 @@ class ByteBpe:
         self.cutter = pre_tokenizers.Split(Regex(pattern), "isolated")
         self.tokens = {ranks[token]: token for token in by_rank}
         self.names = {rank: str(rank) for rank in self.tokens}
-        self.pieces, self.stretches, self.held = {}, {}, 0
+        self.known, self.held = {"": ()}, 0
 
-    def _known(self, pieces):
-        """Makes sure that the ids of all ``pieces`` are remembered."""
-        new = list({piece for piece in pieces if piece not in self.pieces})
-        if new:
-            for piece, encoding in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-                self.pieces[piece] = tuple(encoding.ids)
-                self.held += len(piece)
-
-    def _cut(self, stretch):
-        return [piece for piece, _ in self.cutter.pre_tokenize_str(stretch)]
+    def _pieces(self, stretch):
+        """The matches of the pattern in a stretch; a word with or without marks behind it is plain to see."""
+        plain = PLAIN.fullmatch(stretch)
+        if plain is None:
+            return [piece for piece, _ in self.cutter.pre_tokenize_str(stretch)]
+        word, marks = plain.groups()
+        return (word, marks) if marks else (word,)
 
     def _learn(self, stretches):
-        """Remembers the ids of stretches not met before."""
-        cut = {stretch: self._cut(stretch) for stretch in stretches if stretch not in self.stretches}
-        self._known(chain.from_iterable(cut.values()))
+        """Remembers the ids of stretches not met before; all new pieces go to the library at once."""
+        cut = {stretch: self._pieces(stretch) for stretch in stretches}
+        new = list({piece for pieces in cut.values() for piece in pieces}.difference(self.known))
+        if new:
+            encoded = self.model.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids, owner = encoded.ids, np.array(encoded.word_ids)
+            edges = np.searchsorted(owner, np.arange(len(new) + 1)).tolist()
+            for piece, start, end in zip(new, edges, edges[1:]):
+                self.known[piece] = tuple(ids[start:end])
         for stretch, pieces in cut.items():
-            self.stretches[stretch] = tuple(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
-            self.held += len(stretch)
+            if stretch not in self.known:
+                self.known[stretch] = tuple(chain.from_iterable(map(self.known.__getitem__, pieces)))
+        self.held += sum(map(len, cut))
 
     def encode(self, texts):
         """Ids of each text, as lists; exactly those of encoding each match of the pattern."""
-        if len(self.pieces) + len(self.stretches) > MEMORY or self.held > MEMORY_CHARS:
-            self.pieces.clear()
-            self.stretches.clear()
+        if len(self.known) > MEMORY or self.held > MEMORY_CHARS:
+            self.known = {"": ()}
             self.held = 0
         plain = [self._stretches(text) for text in texts]
-        self._learn(set(chain.from_iterable(plain)))
-        return [list(chain.from_iterable(map(self.stretches.__getitem__, stretches))) for stretches in plain]
+        new = set(chain.from_iterable(plain)).difference(self.known)
+        if new:
+            self._learn(new)
+        known = self.known.__getitem__
+        return [list(chain.from_iterable(map(known, stretches))) for stretches in plain]
 
     @staticmethod
     def _stretches(text):
