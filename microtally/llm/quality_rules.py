@@ -172,7 +172,10 @@ def quality_cascade(docs, text="text", rules=RULES, order=None, facts=(), into="
         df = _with_facts(df, F.col("q$text"), steps, alive)
         have = [*have, *steps]
         df = df.withColumn("q$by", F.when(alive & rule.rejects(_fact), F.lit(rule.name)).otherwise(F.col("q$by")))
-    verdict = F.struct(F.col("q$by").isNull().alias("kept"), F.col("q$by").alias("rejected_by"), *[_fact(name).alias(name) for name in facts])
+    # A condition that is always true but not a function of the row: without it a filter on the
+    # verdict would be pushed below all steps, and every step written out again in each later one.
+    settled = F.monotonically_increasing_id() >= 0
+    verdict = F.struct((F.col("q$by").isNull() & settled).alias("kept"), F.col("q$by").alias("rejected_by"), *[_fact(name).alias(name) for name in facts])
     own = [F.col("q$row")[name].alias(name) for name in docs.columns]
     return df.select(*own, verdict.alias(into))
 

@@ -60,3 +60,9 @@ def test_empty_table(spark):
 def test_facts_are_computed_for_the_living_only(spark):
     plan = quality_rules.quality_cascade(awkward(spark), order=quality_rules.RULES)._jdf.queryExecution().optimizedPlan().toString()
     assert "PythonUDF" not in plan and "CASE WHEN isnull(q$by" in plan
+
+
+def test_a_filter_on_the_verdict_stays_above_the_steps(spark):
+    judged = quality_rules.quality_cascade(awkward(spark), into="v").filter("v.kept")
+    assert len(judged._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+    assert {row.doc_id for row in judged.collect()} == {1, 2, None, 10}
