@@ -23,13 +23,16 @@ from pyspark.sql import functions as F
 from microtally.llm.registry import query, read
 from microtally.llm.text import whole
 
-# Identifiers of license sentences and what a normalised sentence must look like.
+# Identifiers of license sentences and what a normalised sentence must look like. Sentences
+# stand as SENTENCE_END leaves them: "free software: you can ...", "Foundation; either version 2" and
+# "v. 2.0" are cut in two. SPDX tags are not among them: "SPDX-License-Identifier: MIT" leaves the name
+# alone in its piece, where it is no sentence of a license.
 SENTENCES = (
-    ("apache2.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under the apache license version 2( 0)?( the license)?"),
+    ("apache2.name", r"(.* (is|are) )?(licensed|released|distributed) under the apache license version 2( 0)?( the license)?"),
     ("apache2.comply", r"you may not use this file except in compliance with the license"),
     ("apache2.copy", r"you may obtain a copy of the license at.*"),
     ("apache2.asis", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis.*"),
-    ("mit.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under the mit license"),
+    ("mit.name", r"(.* (is|are) )?(licensed|released|distributed) under the mit license"),
     ("mit.grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files.*"),
     ("mit.notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mit.asis", r"the software is provided as is without warranty of any kind.*"),
@@ -39,19 +42,29 @@ SENTENCES = (
     ("bsd.binary", r"(2 )?redistributions in binary form must reproduce the above copyright notice.*"),
     ("bsd.endorse", r"(3 )?neither the name of .* may be used to endorse or promote products.* without specific prior written permission"),
     ("bsd.asis", r"this software is provided by the copyright holders? and contributors as is.*"),
-    ("bsd2.name", r"(licensed|released|distributed) under the (bsd 2 clause|simplified bsd) license"),
-    ("bsd3.name", r"(licensed|released|distributed) under the (bsd 3 clause|new bsd|modified bsd) license"),
-    ("gpl3.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under the gnu general public license version 3( 0)?"),
-    ("gpl2.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under the gnu general public license version 2( 0)?"),
-    ("gpl3.grant", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license.* version 3.*"),
-    ("gpl2.grant", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license.* version 2.*"),
-    ("gpl.warranty", r"this program is distributed in the hope that it will be useful but without any warranty.*"),
-    ("lgpl3.name", r"(licensed|released|distributed) under the gnu lesser general public license version 3( 0)?"),
-    ("agpl3.name", r"(licensed|released|distributed) under the gnu affero general public license version 3( 0)?"),
-    ("mpl2.name", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("ccbync4.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under( a)? cc by nc 4 0( license)?"),
-    ("ccbysa4.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under( a)? cc by sa 4 0( license)?"),
-    ("ccby4.name", r"(this (file|work|project|software) is )?(licensed|released|distributed) under( a)? cc by 4 0( license)?"),
+    ("bsd2.name", r"(.* (is|are) )?(licensed|released|distributed) under the (bsd 2 clause|simplified bsd) license"),
+    ("bsd3.name", r"(.* (is|are) )?(licensed|released|distributed) under the (bsd 3 clause|new bsd|modified bsd) license"),
+    ("gpl3.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu general public license version 3( 0)?"),
+    ("gpl2.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu general public license version 2( 0)?"),
+    ("gpl3.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu general public license.* version 3.*"),
+    ("gpl2.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu general public license.* version 2.*"),
+    ("lgpl3.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu lesser general public license.* version 3.*"),
+    ("lgpl21.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu lesser general public license.* version 2 1.*"),
+    ("agpl3.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu affero general public license.* version 3.*"),
+    ("gpl.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu general public license( as published by the free software foundation)?"),
+    ("lgpl.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu (lesser|library) general public license( as published by the free software foundation)?"),
+    ("agpl.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu affero general public license( as published by the free software foundation)?"),
+    ("gnu.version3", r"(either )?version 3 of the license.*"),
+    ("gnu.version21", r"(either )?version 2 1 of the license.*"),
+    ("gnu.version2", r"(either )?version 2 of the license.*"),
+    ("gpl.warranty", r"this (program|library|file|software) is distributed in the hope that it will be useful but without any warranty.*"),
+    ("lgpl3.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu lesser general public license version 3( 0)?"),
+    ("agpl3.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu affero general public license version 3( 0)?"),
+    ("mpl2.name", r"this source code form is subject to the terms of the mozilla public license v( 2 0)?"),
+    ("isc.grant", r"permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ccbync4.name", r"(.* (is|are) )?(licensed|released|distributed) under( a| the)? (cc by nc|creative commons attribution non ?commercial) 4 0( international)?( public)?( license)?"),
+    ("ccbysa4.name", r"(.* (is|are) )?(licensed|released|distributed) under( a| the)? (cc by sa|creative commons attribution share ?alike) 4 0( international)?( public)?( license)?"),
+    ("ccby4.name", r"(.* (is|are) )?(licensed|released|distributed) under( a| the)? (cc by|creative commons attribution) 4 0( international)?( public)?( license)?"),
     ("unlicense.grant", r"this is free and unencumbered software released into the public domain"),
 )
 
@@ -62,8 +75,18 @@ RULES = (
     ("BSD-3-Clause", "bsd.grant bsd.source bsd.binary bsd.endorse bsd.asis?"),
     ("BSD-2-Clause", "bsd.grant bsd.source bsd.binary bsd.asis?"),
     ("Apache-2.0", "apache2.name apache2.comply? apache2.copy? apache2.asis?"),
+    ("GPL-3.0", "gpl.grant gnu.version3 gpl.warranty?"),
+    ("GPL-2.0", "gpl.grant gnu.version2 gpl.warranty?"),
+    ("LGPL-3.0", "lgpl.grant gnu.version3 gpl.warranty?"),
+    ("LGPL-2.1", "lgpl.grant gnu.version21 gpl.warranty?"),
+    ("LGPL-2.0", "lgpl.grant gnu.version2 gpl.warranty?"),
+    ("AGPL-3.0", "agpl.grant gnu.version3 gpl.warranty?"),
     ("GPL-3.0", "gpl3.grant gpl.warranty?"),
     ("GPL-2.0", "gpl2.grant gpl.warranty?"),
+    ("LGPL-3.0", "lgpl3.grant gpl.warranty?"),
+    ("LGPL-2.1", "lgpl21.grant gpl.warranty?"),
+    ("AGPL-3.0", "agpl3.grant gpl.warranty?"),
+    ("ISC", "isc.grant"),
     ("MIT", "mit.name"),
     ("BSD-3-Clause", "bsd3.name"),
     ("BSD-2-Clause", "bsd2.name"),
@@ -79,7 +102,7 @@ RULES = (
 )
 
 # Every known sentence has one of these, in any case of letters.
-HINT = r"(?i)licen[sc]e|unencumbered|permission|redistribut|warranty|copyright|cc[^a-z0-9]+by"
+HINT = r"(?i)licen[sc]e|unencumbered|permission|redistribut|warranty|copyright|cc[^a-z0-9]+by|creative[^a-z0-9]+commons"
 # A point between digits, as in version numbers, ends no sentence: an end is followed by white space.
 SENTENCE_END = r"([.!?;:])[\x20\x09-\x0D]+"
 EMPTY_LINE = r"\n[\x20\x09-\x0D]*\n"

@@ -65,3 +65,49 @@ def test_every_known_sentence_has_a_hint():
 
 def test_empty_table(spark):
     assert license_scan.scan_licenses(awkward(spark, [])).count() == 0
+
+
+GNU = """{what} is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU {kind} Public License as published by
+the Free Software Foundation{either} version {version} of the License, or
+(at your option) any later version.
+
+{what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {kind} Public License for more details.
+"""
+NOTICES = [
+    (GNU.format(what="This program", mark=":", either=", either", kind="General", version="3"), "GPL-3.0"),
+    (GNU.format(what="This program", mark=";", either="; either", kind="General", version="2"), "GPL-2.0"),
+    (GNU.format(what="This program", mark=";", either="; either", kind="General", version="3"), "GPL-3.0"),
+    (GNU.format(what="This program", mark=":", either=", either", kind="General", version="2"), "GPL-2.0"),
+    (GNU.format(what="This library", mark=":", either=", either", kind="Lesser General", version="3"), "LGPL-3.0"),
+    (GNU.format(what="This library", mark=";", either="; either", kind="Lesser General", version="2.1"), "LGPL-2.1"),
+    (GNU.format(what="This library", mark=";", either="; either", kind="Library General", version="2"), "LGPL-2.0"),
+    (GNU.format(what="This program", mark=":", either=", either", kind="Affero General", version="3"), "AGPL-3.0"),
+    ("""This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""", "MPL-2.0"),
+    ("""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""", "ISC"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+    ("This code is licensed under the MIT License.", "MIT"),
+    ("The data set is released under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+]
+
+
+def test_published_notices(spark):
+    docs = awkward(spark, [(n, text, None, None, None) for n, (text, _) in enumerate(NOTICES)])
+    found = {row.doc_id: row.license.names for row in license_scan.scan_licenses(docs).collect()}
+    assert found == {n: [name] for n, (_, name) in enumerate(NOTICES)}
+
+
+def test_published_notices_agree_with_sql(spark, tmp_path):
+    commented = [("# " + text.replace("\n", "\n# "), name) for text, name in NOTICES]
+    docs = awkward(spark, [(n, text, None, None, None) for n, (text, _) in enumerate(NOTICES + commented)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    same_as_sql(QUERIES["op9_license_scan"](spark, str(tmp_path)), tables({"documents": docs}), ORACLES["op9_license_scan"])
