@@ -7,8 +7,10 @@ mark.
 
 A rendered dialogue is a row, with the turns in order. So that no conversation has to fit into one
 task, it is cut into parts of 64 turn numbers; a part in which a turn number is used again and
-again is cut further by a hash of the text. Texts are moved once to form the parts and once to
-meet the participants, not once per participant.
+again is sorted by ranges and rendered in pieces of neighbouring turns, which in their order are
+the part. The query puts the pieces of a part together, so a part is one row at every size; a cell
+of Spark holds 2 GB at most. Texts are moved once to form the parts and once to meet the
+participants, not once per participant; texts of crowded parts once more per participant.
 
 Defined results
     null text: an empty turn. Null role: a user named ``unknown``, who gets no perspective. Null turn: after
@@ -18,7 +20,7 @@ Defined results
     blank is put into them. Other columns are ignored.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from microtally.llm.registry import query, read
 
@@ -59,28 +61,68 @@ def _spans(turns, perspective):
     return F.aggregate(turns, empty, add)["spans"]
 
 
-def rotate_perspectives(turns, conversation="conv_id", turn="turn", role="role", text="text"):
-    """``conv_id, perspective, part, piece, n_turns, rendered, spans`` for every participant and part of each conversation.
-
-    ``part`` is the turn number divided by 64, ``piece`` is 0 unless a part had to be cut further.
-    """
-    said = turns.select(
+def _turns(turns, conversation, turn, role, text):
+    """Turns with their part, in a struct that sorts as the dialogue."""
+    return turns.select(
         F.col(conversation).alias("conv_id"), F.floor(F.col(turn) / PART_TURNS).cast("long").alias("part"),
         F.struct(
             F.col(turn).isNull().alias("late"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit(NOBODY)).alias("role"),
             F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|im_"), F.lit("<| im_")).alias("text")).alias("said"),
         (F.col(role).isNotNull() & (F.col(role) != SYSTEM)).alias("takes_part"))
+
+
+def _views(said):
+    """Two frames of rendered turns: of whole parts, and of the pieces of crowded parts."""
     crowded = said.groupBy("conv_id", "part").count().filter(F.col("count") > PART_ROWS)
-    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("count") / PART_ROWS).alias("pieces"))
+    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("part").alias("p"))
     same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p"))
-    dealt = said.join(crowded, same, "left").withColumn(
-        "piece", F.coalesce(F.pmod(F.xxhash64("said.text", "said.turn"), F.col("pieces")), F.lit(0)).cast("long"))
-    parts = dealt.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list("said")).alias("turns"))
     views = said.filter("takes_part").select(F.col("conv_id").alias("c"), F.col("said.role").alias("perspective")).distinct()
-    seen = parts.join(views, F.col("conv_id").eqNullSafe(F.col("c")))
-    return seen.select(
-        "conv_id", "perspective", "part", "piece", F.size("turns").cast("long").alias("n_turns"),
-        _rendered(F.col("turns"), F.col("perspective")).alias("rendered"), _spans(F.col("turns"), F.col("perspective")).alias("spans"))
+
+    def seen(dealt):
+        parts = dealt.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list("said")).alias("turns"))
+        return parts.join(views, F.col("conv_id").eqNullSafe(F.col("c"))).select(
+            "conv_id", "perspective", "part", "piece", F.size("turns").cast("long").alias("n_turns"),
+            _rendered(F.col("turns"), F.col("perspective")).alias("rendered"), _spans(F.col("turns"), F.col("perspective")).alias("spans"))
+
+    few = said.join(crowded, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
+    # Ids grow with the place in the sorted ranges, so a run of them is a run of turns.
+    many = said.join(crowded, same, "left_semi").repartitionByRange("conv_id", "part", "said").sortWithinPartitions("conv_id", "part", "said")
+    many = many.withColumn("piece", F.floor(F.monotonically_increasing_id() / PART_ROWS).cast("long"))
+    return seen(few), seen(many)
+
+
+def rotate_perspectives(turns, conversation="conv_id", turn="turn", role="role", text="text"):
+    """``conv_id, perspective, part, piece, n_turns, rendered, spans`` for every participant and part of each conversation.
+
+    ``part`` is the turn number divided by 64, ``piece`` is 0 unless a part had to be cut further. The
+    pieces of a part, in the order of their numbers, are its dialogue; spans count from the piece's start.
+    """
+    whole, pieces = _views(_turns(turns, conversation, turn, role, text))
+    return whole.unionByName(pieces)
+
+
+def _mask(spans, before):
+    """Spans as text, moved by the characters before them; null if there are none."""
+    moved = F.transform(spans, lambda span: F.concat_ws("-", before + span["start"], before + span["end"]))
+    return F.when(F.size(spans) > 0, F.array_join(moved, ","))
+
+
+def whole_dialogues(turns, **columns):
+    """``conv_id, perspective, part, n_turns, rendered, mask``: one row per participant and part, whatever its size."""
+    names = {"conversation": "conv_id", "turn": "turn", "role": "role", "text": "text"}
+    whole, pieces = _views(_turns(turns, **{**names, **columns}))
+    key = ["conv_id", "perspective", "part"]
+    whole = whole.select(*key, "n_turns", "rendered", _mask(F.col("spans"), F.lit(0).cast("long")).alias("mask"))
+    earlier = Window.partitionBy(*key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.length("rendered").cast("long")).over(earlier), F.lit(0).cast("long"))
+    placed = pieces.withColumn("before", before).select(
+        *key, "n_turns", F.struct("piece", "rendered", _mask(F.col("spans"), F.col("before")).alias("mask")).alias("one"))
+    joined = placed.groupBy(*key).agg(
+        F.sum("n_turns").alias("n_turns"), F.array_sort(F.collect_list("one")).alias("all"), F.count("one.mask").alias("masks"))
+    joined = joined.select(
+        *key, "n_turns", F.array_join("all.rendered", "").alias("rendered"),
+        F.when(F.col("masks") > 0, F.array_join("all.mask", ",")).alias("mask"))
+    return whole.unionByName(joined)
 
 
 OP8_SQL = """
@@ -111,7 +153,4 @@ FROM placed GROUP BY conv_id, perspective, part
 @query("op8_chat_format", OP8_SQL)
 def op8_chat_format(spark, sf_dir):
     """All conversations from the view of each participant, with the spans to learn from."""
-    seen = rotate_perspectives(read(spark, sf_dir, "conversations"))
-    spans = F.transform("spans", lambda span: F.concat_ws("-", span["start"], span["end"]))
-    mask = F.when(F.size("spans") > 0, F.array_join(spans, ","))
-    return seen.select("conv_id", "perspective", "part", "n_turns", "rendered", mask.alias("mask"))
+    return whole_dialogues(read(spark, sf_dir, "conversations"))

@@ -52,3 +52,32 @@ def test_a_crowded_part_is_cut_without_losing_turns(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert chat_format.rotate_perspectives(frame(spark, [])).count() == 0
+
+
+CROWD = [(1, n % 3 + 6 if n % 10 else None, (None, "ann", "bob", "system")[n % 4], f"text {n * 37 % 400}") for n in range(400)]
+CROWD += [(None, None, "cy", f"alone {n}") for n in range(50)] + ROWS
+REPEATS = [(1, 7, "ann", "again")] * 60 + [(1, n % 2 + 7, "bob", f"text {n % 9}") for n in range(50)]
+
+
+def test_a_crowded_part_is_one_dialogue_as_in_sql(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chat_format, "PART_ROWS", 10)
+    turns = frame(spark, CROWD)
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    same_as_sql(QUERIES["op8_chat_format"](spark, str(tmp_path)), tables({"conversations": turns}), ORACLES["op8_chat_format"])
+
+
+def test_the_size_of_a_part_changes_no_result(spark, tmp_path, monkeypatch):
+    frame(spark, CROWD + REPEATS).write.parquet(str(tmp_path / "conversations.parquet"))
+    found = lambda: sorted(map(repr, QUERIES["op8_chat_format"](spark, str(tmp_path)).collect()))
+    whole = found()
+    monkeypatch.setattr(chat_format, "PART_ROWS", 10)
+    assert found() == whole
+
+
+def test_pieces_in_their_order_are_the_dialogue(spark, monkeypatch):
+    rows = [(1, 7, "ann" if n % 2 else "bob", f"text {n}") for n in range(100)]
+    whole = {row.perspective: row.rendered for row in chat_format.rotate_perspectives(frame(spark, rows)).collect()}
+    monkeypatch.setattr(chat_format, "PART_ROWS", 10)
+    found = sorted(chat_format.rotate_perspectives(frame(spark, rows)).collect(), key=lambda row: row.piece)
+    assert {name: "".join(row.rendered for row in found if row.perspective == name) for name in whole} == whole
+    assert max(row.n_turns for row in found) <= 10
