@@ -100,3 +100,21 @@ def test_empty_table(spark):
 def test_long_page_is_read_whole():
     page = "<article>" + "".join(f"<p>line {n}</p>" for n in range(50_000)) + "</article>"
     assert article(page).count("\n") == 49_999
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<body class="single-post has-sidebar"><article><p>kept</p></article></body>', "kept"),
+    ('<article class="post comments-open"><p>kept</p></article>', "kept"),
+    ('<div id="content-with-sidebar"><main><p>kept</p></main></div>', "kept"),
+    ('<article><section class="related-work"><p>kept</p></section></article>', "kept"),
+    ('<div class="content-sidebar-wrap"><main><p>kept</p></main></div>', "kept"),
+    ('<body class="search"><main id="search" class="menu"><p>kept</p></main></body>', "kept"),
+    ('<article><p>kept</p><div class="post-comments">no</div><div id="siteFooter2">no</div><div class="wide related-posts">no</div></article>', "kept"),
+])
+def test_only_whole_names_put_an_element_outside(page, text):
+    assert article(page) == text
+
+
+def test_a_class_of_the_body_leaves_the_blocks_to_the_array():
+    text, words, spans = read_page('<body class="page has-sidebar"><div class="comments-open">three words here</div></body>')
+    assert text is None and words == ["three", "words", "here"] and spans == [(0, 3)]
