@@ -118,3 +118,20 @@ def test_only_whole_names_put_an_element_outside(page, text):
 def test_a_class_of_the_body_leaves_the_blocks_to_the_array():
     text, words, spans = read_page('<body class="page has-sidebar"><div class="comments-open">three words here</div></body>')
     assert text is None and words == ["three", "words", "here"] and spans == [(0, 3)]
+
+
+def texts_of(spark, pages):
+    frame = spark.createDataFrame([(n, *page) for n, page in enumerate(pages)], "page_id long, url string, html string")
+    return {row.page_id: row.text for row in html_extraction.main_text(frame.repartition(3)).collect()}
+
+
+def test_an_article_at_two_urls_of_a_host_keeps_its_text(spark):
+    story = "<div>The same long story stands here at two addresses of the paper</div>"
+    found = texts_of(spark, [("http://a.example/1", story), ("http://a.example/1?print", f"<body>{story}"), ("http://b.example/1", story)])
+    assert set(found.values()) == {"The same long story stands here at two addresses of the paper"}
+
+
+def test_a_phrase_of_few_pages_of_a_large_host_stays(spark):
+    phrase = "as we have said more than once before"
+    pages = [(f"http://a.example/{n}", f"<body>{MENU}<div>{n} {phrase if n < 3 else 'x'} end {n}</div>") for n in range(40)]
+    assert texts_of(spark, pages) == {n: f"{n} {phrase if n < 3 else 'x'} end {n}" for n in range(40)}
