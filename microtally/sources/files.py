@@ -10,7 +10,8 @@ from microtally.errors import SourceError
 from microtally.session import checkpointed, path_exists
 from microtally.sources.text_tables import read_text_table
 
-# A file up to this size is hashed by one task in one piece; Spark's limit for a cell is 2 GB.
+# A file up to this size is hashed by one task in one piece; Spark's limit for a cell is 2 GB. Larger
+# ones are streamed.
 WHOLE_FILE_BYTES = 1 << 30
 
 # Local files are reported with one slash or with three.
@@ -67,22 +68,29 @@ def find_source(spark: SparkSession, folder: str, pattern: str) -> str:
 
 
 def checksums(spark: SparkSession, files: DataFrame, paths) -> DataFrame:
-    """``path, sha256`` of each file, read by Spark from whatever store the paths name.
+    """``path, sha256`` of each file, read from whatever store the paths name.
 
-    Files up to ``WHOLE_FILE_BYTES`` are hashed as a whole. Larger ones are scanned in splits by many
-    tasks: their digest is that of the number of lines and of sums over the hashes of all lines, with
-    ``lines:`` before it. It notices every line that is changed, added or lost, not a new order.
+    The checksum is the SHA-256 of all bytes in their order at every size. Files up to
+    ``WHOLE_FILE_BYTES`` are hashed by tasks. SHA-256 has no parts that could be put together, so the
+    driver's JVM streams each larger file through the digest, one after the other.
     """
     content = spark.read.format("binaryFile").load(paths).where(F.col("length") <= WHOLE_FILE_BYTES)
     whole = content.select("path", F.sha2("content", 256).alias("sha256"))
     large = [row.path for row in files.where(F.col("size_bytes") > WHOLE_FILE_BYTES).select("path").collect()]
     if not large:
         return whole
-    facts = [F.count("*"), *[F.sum(F.xxhash64("value", F.lit(seed)).cast("decimal(38,0)")) for seed in range(3)]]
-    digest = F.concat(F.lit("lines:"), F.sha2(F.concat_ws("|", *[fact.cast("string") for fact in facts]), 256))
-    lines = spark.read.option("lineSep", "\n").text(large)
-    split = lines.groupBy(scanned_uri().alias("uri")).agg(digest.alias("sha256"))
-    return whole.unionByName(files.join(split, "uri").select("path", "sha256"))
+    streamed = [(path, streamed_sha256(spark, path)) for path in large]
+    return whole.unionByName(spark.createDataFrame(streamed, "path string, sha256 string"))
+
+
+def streamed_sha256(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file of any size, read in small blocks."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def scanned_uri():
