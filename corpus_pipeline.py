@@ -31,8 +31,8 @@ def keep_one_of_each(spark, docs, sf_dir):
 
 
 def mix(spark, docs, sf_dir):
-    """The documents in training order; a document that is used twice is there twice."""
-    return mixing.mixed_documents(docs, length="n_chars")
+    """The documents in training order, whole; a document that is used twice is there twice."""
+    return mixing.mixed_documents(docs, cut=False)
 
 
 def encode(spark, docs, sf_dir):

@@ -124,11 +124,12 @@ def plan_mix(docs, id="doc_id", text="text", source="source", **settings):
     )
 
 
-def mixed_documents(docs, id="doc_id", text="text", source="source", length=None, **settings):
+def mixed_documents(docs, id="doc_id", text="text", source="source", length=None, cut=True, **settings):
     """The training order itself: rows of ``docs``, once per time they are used, sorted by position.
 
     The columns are those of ``docs``. A document that is used in part keeps its first words,
-    joined by one space, and ``length``, if named, is its new length in characters. Rows without
+    joined by one space, and ``length``, if named, is its new length in characters. Without ``cut``
+    it is used whole, so a source is above its target by less than one document. Rows without
     words are never used. Rows that share an id and a size are paired off in any order; only
     copies of a row can be swapped by that.
     """
@@ -146,6 +147,8 @@ def mixed_documents(docs, id="doc_id", text="text", source="source", length=None
     ).filter("mix_size > 0").withColumn("mix_order", F.lit(0)).withColumn("mix_number", number).drop("mix_order")
     used = keyed.join(plan, [*same, "mix_number"]).select("mix_row", "mix_key", "mix_size", F.explode("mix_passes").alias("mix_pass"))
     used = used.orderBy(F.col("mix_pass.position"), F.col("mix_key"))
+    if not cut:
+        return used.select(*[F.col("mix_row")[name].alias(name) for name in docs.columns])
     part = F.array_join(F.slice(F.regexp_extract_all(F.col("mix_row")[text], F.lit(WORD), 0), 1, F.col("mix_pass.words").cast("int")), " ")
     kept = F.when(F.col("mix_pass.words") < F.col("mix_size"), part).otherwise(F.col("mix_row")[text])
     columns = []

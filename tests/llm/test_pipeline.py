@@ -67,3 +67,13 @@ def test_awkward_documents_go_through_every_stage(spark):
         for docs in (awkward(spark), awkward(spark, [])):
             assert stage(spark, docs, SF_DIR).count() <= 2 * docs.count()
     assert byte_bpe.VOCABULARY.endswith(".tiktoken")
+
+
+def test_mixing_uses_whole_documents(spark):
+    texts = ["one  two\nthree " * (n + 1) for n in range(40)]
+    docs = awkward(spark, [(n, text, "en", "ab"[n % 2], len(text)) for n, text in enumerate(texts)])
+    plan = mixing.plan_mix(docs).collect()
+    assert any(item.words < row["size"] for row in plan for item in row.passes)
+    mixed = corpus_pipeline.mix(spark, docs, SF_DIR).collect()
+    assert Counter(row.doc_id for row in mixed) == Counter(row.doc_id for row in plan for _ in row.passes)
+    assert all(row.text == texts[row.doc_id] and row.n_chars == len(row.text) for row in mixed)
