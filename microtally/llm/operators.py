@@ -6,6 +6,7 @@ from microtally.llm import (  # noqa: F401
     embedding_dedup,
     html_extraction,
     license_scan,
+    merkle,
     mixing,
     quality_classifier,
     quality_rules,

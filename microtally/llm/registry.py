@@ -28,6 +28,11 @@ def read(spark, sf_dir, table):
 def in_batches(spark, rows):
     """Prepares Python workers: they get this package, and at most so many rows at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    send_package(spark)
+
+
+def send_package(spark):
+    """Prepares Python workers: they get this package, once in an application."""
     if spark.sparkContext.applicationId not in _SENT:
         spark.sparkContext.addPyFile(_archive())
         _SENT.add(spark.sparkContext.applicationId)
