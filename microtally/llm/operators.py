@@ -12,4 +12,5 @@ from microtally.llm import (  # noqa: F401
     quality_rules,
     simhash,
     toxicity,
+    whitening,
 )
