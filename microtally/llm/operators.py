@@ -8,6 +8,7 @@ from microtally.llm import (  # noqa: F401
     license_scan,
     merkle,
     mixing,
+    nearest,
     quality_classifier,
     quality_rules,
     simhash,
