@@ -46,7 +46,7 @@ SHELF_ROWS, LEAST_SHELVES, BLOCK_ROWS, COLUMNS = 32_768, 24, 8_192, 16
 # Scores of one step of a scan that are held at once, and the share of survivors up to which they are handled one by one.
 AT_ONCE, SPARSE = 1 << 21, 0.2
 
-FOUND = "query long, node long, score double, ids array<long>"
+FOUND = "query long, node long, score double, ids array<long>, no_ids int"
 
 
 def _matrix(column, kind):
@@ -179,7 +179,7 @@ def scan(nodes, asks, keep, kind, doubt=DOUBT):
     """
     own, others = _matrix(asks["cells"], kind).astype(np.float64), _matrix(nodes["cells"], kind).astype(np.float64)
     queries, candidates = Turned(_matrix(asks["turned"], np.float32)), Turned(_matrix(nodes["turned"], np.float32))
-    first_ids = np.array([_place(ids[0]) for ids in nodes["ids"]], dtype=np.int64)
+    first_ids = np.array([ids[0] if len(ids) else np.iinfo(np.int64).max for ids in nodes["ids"]], dtype=np.int64)
     best = Best(len(asks), keep, asks["floor"].to_numpy(np.float64))
     probing = np.repeat(np.arange(len(asks)), [len(lists) for lists in asks["lists"]])
     probed = np.concatenate([np.asarray(lists, np.int64) for lists in asks["lists"]])
@@ -207,18 +207,13 @@ def _exact(own, a, others, b):
     return np.concatenate([np.einsum("ij,ij->i", own[a[at:at + step]], others[b[at:at + step]]) for at in range(0, len(a), step)] or [np.zeros(0)])
 
 
-def _place(id):
-    """Ids in their order, with null as the last one."""
-    return np.iinfo(np.int64).max if id is None or id != id else int(id)
-
-
 def _scanner(keep, kind, doubt):
     def meet(nodes: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(nodes) or not len(asks):
-            return pd.DataFrame({"query": [], "node": [], "score": [], "ids": []})
+            return pd.DataFrame({"query": [], "node": [], "score": [], "ids": np.zeros(0, object), "no_ids": []})
         query, node, score = scan(nodes, asks, keep, kind, doubt)
         return pd.DataFrame({"query": asks["node"].to_numpy()[query], "node": nodes["node"].to_numpy()[node], "score": score,
-                             "ids": list(nodes["ids"].to_numpy()[node])})
+                             "ids": list(nodes["ids"].to_numpy()[node]), "no_ids": nodes["no_ids"].to_numpy()[node]})
 
     return meet
 
@@ -243,7 +238,7 @@ class Index:
         self.centres = broadcast(fit_centroids(sample[np.random.default_rng(3).permutation(len(sample))], self.lists))
         width = sample.shape[1]
         self.turn = broadcast(np.linalg.qr(np.random.default_rng(5).standard_normal((width, width)))[0])
-        self.index = checkpointed(nodes.mapInArrow(self._assign(), "list int, node long, ids array<long>, cells binary, turned binary"))
+        self.index = checkpointed(nodes.mapInArrow(self._assign(), "list int, node long, ids array<long>, no_ids int, cells binary, turned binary"))
         counted = dict(tuple(row) for row in self.index.groupBy("list").count().collect())
         sizes = np.array([counted.get(each, 0) for each in range(self.lists)])
         rows = min(SHELF_ROWS, max(1, -(-size // LEAST_SHELVES)))
@@ -260,8 +255,8 @@ class Index:
                     vectors = _matrix(batch.column("cells").to_pylist(), kind).astype(np.float64)
                     turned = (vectors @ turn.value).astype(np.float32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(closest(vectors, centres.value), pa.int32()), batch.column("node"), batch.column("ids"), batch.column("cells"),
-                         pa.array([row.tobytes() for row in turned], pa.binary())], ["list", "node", "ids", "cells", "turned"])
+                        [pa.array(closest(vectors, centres.value), pa.int32()), *[batch.column(name) for name in ("node", "ids", "no_ids", "cells")],
+                         pa.array([row.tobytes() for row in turned], pa.binary())], ["list", "node", "ids", "no_ids", "cells", "turned"])
 
         return assign
 
@@ -339,9 +334,9 @@ def brute_force(index, vectors, names, kind, keep):
             rows = top.ravel()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(names, some), pa.int64()), batch.column("node").take(pa.array(rows)), pa.array(np.take_along_axis(scores, top, 1).ravel()),
-                 batch.column("ids").take(pa.array(rows)), batch.column("list").take(pa.array(rows))], ["query", "node", "score", "ids", "list"])
+                 *[batch.column(name).take(pa.array(rows)) for name in ("ids", "no_ids", "list")]], ["query", "node", "score", "ids", "no_ids", "list"])
 
-    return top_rows(index.select("node", "cells", "ids", "list").mapInArrow(compare, FOUND + ", list int"), keep)
+    return top_rows(index.select("node", "cells", "ids", "no_ids", "list").mapInArrow(compare, FOUND + ", list int"), keep)
 
 
 def nearest(vectors, asks, id="vec_id", vector="embedding", neighbours=NEIGHBOURS, recall=RECALL, doubt=DOUBT):
@@ -355,7 +350,8 @@ def nearest(vectors, asks, id="vec_id", vector="embedding", neighbours=NEIGHBOUR
     smallest = Window.partitionBy("cells").orderBy(F.asc_nulls_last("id"))
     few = cells.select("id", "cells").withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= keep)
     ids = F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda each: each.id)
-    nodes = checkpointed(few.groupBy("cells").agg(ids.alias("ids"))).withColumn("node", F.monotonically_increasing_id())
+    named = few.groupBy("cells").agg(ids.alias("all")).select("cells", F.array_compact("all").alias("ids"), F.size(F.filter("all", F.isnull)).alias("no_ids"))
+    nodes = checkpointed(named).withColumn("node", F.monotonically_increasing_id())
     queries = checkpointed(cells.filter("asks").select("id", "cells").join(nodes.select("cells", "node"), "cells"))
     out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     for (size,) in queries.select(F.octet_length("cells").alias("bytes")).distinct().orderBy("bytes").collect():
@@ -377,7 +373,7 @@ def _with_asks(batches):
 
 def _ranked(queries, found, neighbours):
     """Rows of the best nodes in their order, without the query's own row."""
-    rows = F.transform("ids", lambda each: F.struct((-F.col("score")).alias("less"), each.isNull().alias("no_id"), each.alias("vec_id"),
+    rows = F.transform(F.concat("ids", F.array_repeat(F.lit(None).cast("long"), F.col("no_ids"))), lambda each: F.struct((-F.col("score")).alias("less"), each.isNull().alias("no_id"), each.alias("vec_id"),
                                                     (F.col("node") == F.col("query")).alias("same"), F.col("score").alias("score")))
     lists = found.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list(rows))), 1, neighbours + 1).alias("best"))
     joined = queries.join(lists, "query")
