@@ -3,6 +3,14 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet and read
 again as the documents of the next. All but the last return the columns of ``docs``; the last returns
 the tokens of the training order.
+
+The order of the mix is that of the written files: stage four sorts its rows, Spark numbers the files
+by range, and rows stand in a file as sorted. Readers deal files and parts of files to tasks by size, so
+the last stage says of each row where it stood: sorted by ``shard, block, row`` its rows are the training
+order. A frame that was not read from files stands in its own order.
+
+Nulls, empty texts, ties, repeated rows and empty tables are treated by each stage as the operator it
+calls says. Rows with null scores do not occur: every text gets a score.
 """
 
 from pyspark.sql import functions as F
@@ -32,13 +40,15 @@ def keep_one_of_each(spark, docs, sf_dir):
 
 def mix(spark, docs, sf_dir):
     """The documents in training order, whole; a document that is used twice is there twice."""
-    return mixing.mixed_documents(docs, cut=False)
+    return mixing.mixed_documents(docs)
 
 
 def encode(spark, docs, sf_dir):
-    """Token ids of each document, with the digest of what they decode to."""
-    tokens = byte_bpe.tokenize(docs.select("doc_id", "lang", "source", "text"), digests=True)
-    return tokens.select("doc_id", "lang", "source", F.size("tokens.ids").cast("long").alias("n_tokens"), "tokens.ids", "tokens.decoded_sha256")
+    """Token ids of each document, with the digest of what they decode to and the place in the training order."""
+    shard = F.regexp_extract(F.input_file_name(), r"part-(\d+)[^/]*$", 1).try_cast("long")
+    places = [shard.alias("shard"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row")]
+    tokens = byte_bpe.tokenize(docs.select("doc_id", "lang", "source", "text", *places), digests=True)
+    return tokens.select("shard", "block", "row", "doc_id", "lang", "source", F.size("tokens.ids").cast("long").alias("n_tokens"), "tokens.ids", "tokens.decoded_sha256")
 
 
 STAGES = [
