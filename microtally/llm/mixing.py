@@ -124,41 +124,36 @@ def plan_mix(docs, id="doc_id", text="text", source="source", **settings):
     )
 
 
-def mixed_documents(docs, id="doc_id", text="text", source="source", length=None, cut=True, **settings):
+def mixed_documents(docs, id="doc_id", text="text", source="source", **settings):
     """The training order itself: rows of ``docs``, once per time they are used, sorted by position.
 
-    The columns are those of ``docs``. A document that is used in part keeps its first words,
-    joined by one space, and ``length``, if named, is its new length in characters. Without ``cut``
-    it is used whole, so a source is above its target by less than one document. Rows without
-    words are never used. Rows that share an id and a size are paired off in any order; only
-    copies of a row can be swapped by that.
+    The columns are those of ``docs``, and every text is whole: the document at which a source reaches its
+    target is used to its end, so a source is above its target by less than one document. Rows
+    without words are never used. Rows that share an id, a source and a size are paired off with their plans in
+    any order; only copies of a row, or rows without an id, can be swapped by that.
+
+    A text moves once to meet its plan and once to its place in the order. Rows are numbered, which moves them
+    again, only where several share id, source and size.
     """
-    plan = plan_mix(docs, id, text, source, **settings).filter("taken > 0")
     same = ["mix_key", "mix_bin", "mix_size"]
     number = F.row_number().over(Window.partitionBy(*same).orderBy("mix_order"))
-    plan = plan.select(
+    plan = plan_mix(docs, id, text, source, **settings).filter("taken > 0").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("mix_key"), _named(F.col("source")).alias("mix_bin"),
         F.col("size").alias("mix_size"), F.col("taken").alias("mix_order"), F.col("passes").alias("mix_passes"),
-    ).withColumn("mix_number", number).drop("mix_order")
+    ).withColumn("mix_number", number).withColumn("mix_rows", F.count("*").over(Window.partitionBy(*same)))
+    plan = checkpointed(plan.drop("mix_order"))
     keyed = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("mix_row"),
         F.coalesce(F.col(id).cast("string"), F.lit("")).alias("mix_key"), _named(F.col(source).cast("string")).alias("mix_bin"),
         word_count(F.col(text)).alias("mix_size"),
-    ).filter("mix_size > 0").withColumn("mix_order", F.lit(0)).withColumn("mix_number", number).drop("mix_order")
-    used = keyed.join(plan, [*same, "mix_number"]).select("mix_row", "mix_key", "mix_size", F.explode("mix_passes").alias("mix_pass"))
-    used = used.orderBy(F.col("mix_pass.position"), F.col("mix_key"))
-    if not cut:
-        return used.select(*[F.col("mix_row")[name].alias(name) for name in docs.columns])
-    part = F.array_join(F.slice(F.regexp_extract_all(F.col("mix_row")[text], F.lit(WORD), 0), 1, F.col("mix_pass.words").cast("int")), " ")
-    kept = F.when(F.col("mix_pass.words") < F.col("mix_size"), part).otherwise(F.col("mix_row")[text])
-    columns = []
-    for name in docs.columns:
-        value = kept if name == text else F.col("mix_row")[name]
-        if name == length:
-            cut = F.length(kept).cast(docs.schema[name].dataType)
-            value = F.when(F.col("mix_pass.words") < F.col("mix_size"), cut).otherwise(F.col("mix_row")[name])
-        columns.append(value.alias(name))
-    return used.select(*columns)
+    ).filter("mix_size > 0")
+    alone = keyed.join(plan.filter("mix_rows = 1"), same)
+    several = plan.filter("mix_rows > 1")
+    numbered = keyed.join(several.select(same).distinct(), same, "left_semi").withColumn("mix_order", F.lit(0)).withColumn("mix_number", number)
+    together = numbered.join(several, [*same, "mix_number"])
+    used = alone.select("mix_row", "mix_key", "mix_passes").unionByName(together.select("mix_row", "mix_key", "mix_passes"))
+    used = used.select("mix_row", "mix_key", F.explode("mix_passes").alias("mix_pass")).orderBy(F.col("mix_pass.position"), F.col("mix_key"))
+    return used.select(*[F.col("mix_row")[name].alias(name) for name in docs.columns])
 
 
 OP1_SQL = """
@@ -182,23 +177,36 @@ WITH sizes AS (
     SELECT arg_min(level, ceiling_words / weight) AS open_level FROM levels WHERE ceiling_words > level * weight
 ), targets AS (
     SELECT source, source_size,
-           CASE WHEN ceiling_words <= level * weight THEN ceiling_words ELSE open_level * weight END AS target
+           CASE WHEN ceiling_words <= level * weight THEN ceiling_words ELSE open_level * weight END AS target,
+           CAST([0.6, 0.0, -0.6][(place - 1) % 3 + 1] AS DOUBLE) AS ramp
     FROM levels LEFT JOIN chosen ON true
+), curriculum AS (
+    SELECT sum(target * (1 - ramp)) AS steady, sum(target * ramp) AS rising FROM targets
 ), starts AS (
     SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY mix_key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin_word
     FROM sizes
 )
-SELECT s.doc_id, s.size, t.source_size, t.target,
-       CAST(greatest(0, least(s.size, floor(t.target) - s.begin_word))
-          + greatest(0, least(s.size, floor(t.target) - t.source_size - s.begin_word)) AS BIGINT) AS taken
-FROM starts s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, size, source_size, target, taken,
+       -- the time by which a source has used the words before this document, and all words used by then
+       CASE WHEN taken > 0 THEN CAST(round(steady * due + rising * due * due) AS BIGINT) END AS position
+FROM (
+    SELECT *, CASE WHEN ramp = 0 THEN begin_word / target
+                   ELSE (sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * begin_word / target) - (1 - ramp)) / (2 * ramp) END AS due
+    FROM (
+        SELECT s.doc_id, s.size, t.source_size, t.target, t.ramp, c.steady, c.rising, s.begin_word,
+               CAST(greatest(0, least(s.size, floor(t.target) - s.begin_word))
+                  + greatest(0, least(s.size, floor(t.target) - t.source_size - s.begin_word)) AS BIGINT) AS taken
+        FROM starts s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source CROSS JOIN curriculum c))
 """
 
 
 @query("op1_mix_sources", OP1_SQL)
 def op1_mix_sources(spark, sf_dir):
-    """All documents with what the mix takes of them, in the order of their first use."""
+    """All documents with what the mix takes of them, in the order of their first use.
+
+    ``position`` is the word of the mix at which a document is first used, null if it never is.
+    """
     plan = plan_mix(read(spark, sf_dir, "documents"))
     due = F.get("passes", F.lit(0))["position"]
     return plan.orderBy(due.asc_nulls_last(), F.col("key")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", F.round(due).cast("long").alias("position"))

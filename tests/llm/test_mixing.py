@@ -56,16 +56,34 @@ def test_empty_table(spark):
     assert mixing.plan_mix(docs).count() == 0 and mixing.mixed_documents(docs).columns == docs.columns
 
 
-def test_documents_stand_in_the_order_of_their_positions(spark):
+def test_documents_stand_whole_in_the_order_of_their_positions(spark):
     docs = clashing(awkward(spark))
-    mixed = mixing.mixed_documents(docs, length="n_chars")
+    mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and mixed.dtypes == docs.dtypes
     rows = mixed.collect()
-    plan = [(item["position"], row.doc_id, item["words"]) for row in mixing.plan_mix(docs).collect() for item in row.passes]
-    used = Counter((row.doc_id, len(row.text.encode().split())) for row in rows)
-    assert used == Counter((doc_id, words) for _, doc_id, words in plan)
+    plan = [(item["position"], row.doc_id) for row in mixing.plan_mix(docs).collect() for item in row.passes]
+    texts = {(row.doc_id, row.text) for row in docs.collect()}
+    assert all((row.doc_id, row.text) in texts for row in rows)
     plan.sort(key=lambda item: (item[0], "" if item[1] is None else str(item[1])))
-    assert [row.doc_id for row in rows] == [doc_id for _, doc_id, _ in plan]
+    assert [row.doc_id for row in rows] == [doc_id for _, doc_id in plan]
+
+
+def test_a_third_without_ids(spark):
+    rows = [(None if number % 3 == 0 else number, f"w{number} " * (3 + number % 2), None, "ab"[number % 2], 9) for number in range(90)]
+    docs = awkward(spark, rows, 4)
+    plan = mixing.plan_mix(docs).collect()
+    used = Counter((row.doc_id, row["size"]) for row in plan for _ in row.passes)
+    mixed = Counter((row.doc_id, len(row.text.split())) for row in mixing.mixed_documents(docs).collect())
+    assert mixed == used and sum(row.taken for row in plan) > 0
+    once = Counter(row.text for row in mixing.mixed_documents(docs).collect())
+    assert max(once.values()) <= 2
+
+
+def test_the_schedule_decides_the_positions_of_the_query(spark):
+    """With flat schedules the compared rows differ, so the comparison with SQL covers the curriculum."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    places = lambda plan: sorted(str(row.passes[0].position) for row in plan.collect() if row.passes)
+    assert places(mixing.plan_mix(docs)) != places(mixing.plan_mix(docs, ramps=(0,)))
 
 
 def test_a_schedule_uses_words_early_or_late(spark):
