@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from microtally.functions.coded import any_flag, band, code_flag, complete_sum, lookup, sentinel_to_null, yes_no
 from microtally.functions.weighted import weighted_rate, weighted_total
-from microtally.operators.joins import join_many_to_one, join_one_to_one
+from microtally.operators.joins import join_many_to_one, join_one_to_one, unique_by
 from microtally.settings import (
     ACCESS_TIERS,
     AGE_BANDS,
@@ -147,12 +147,15 @@ def build_person_profile(household: DataFrame, member: DataFrame, assessment: Da
                          regions: DataFrame) -> DataFrame:
     """One row per member with everything joined; a member without a match keeps nulls.
 
+    Members and assessments match one to one: a repeated key on either side fails the job.
+
     Both big joins start with (survey_year, hhid). With the session settings of this
     package the member rows are hashed on it once and stay in place for the second join.
     """
-    people = member.drop("batch_id")
+    person = ["survey_year", "hhid", "line_no"]
+    people = unique_by(member.drop("batch_id"), person, "member")
     with_home = join_many_to_one(people, household.select(*PROFILE_HOUSEHOLD), ["survey_year", "hhid"])
-    with_test = join_many_to_one(with_home, assessment.select(*PROFILE_ASSESSMENT), ["survey_year", "hhid", "line_no"])
+    with_test = join_many_to_one(with_home, assessment.select(*PROFILE_ASSESSMENT), person)
     named = join_many_to_one(with_test, regions.select("region_code", "region_name"), ["region_code"])
     columns = [*people.columns, *PROFILE_HOUSEHOLD[2:], *PROFILE_ASSESSMENT[3:], "region_name"]
     return named.select(*columns)

@@ -1,8 +1,7 @@
 """Equi-joins that hold what their caller declares: unique keys, no lost rows.
 
-A broken promise fails the job through ``raise_error`` in the plan, so checking costs no
-extra pass over the data. A side declared unique is first reduced to one row per key
-before its shuffle, which the join then reuses.
+A broken promise fails the job through ``raise_error`` in the plan. Uniqueness is proved on the key
+columns alone, beside a plain join of the whole rows.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -22,18 +21,24 @@ def _require(condition, message: str):
     return F.when(condition, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
 
 
-def unique_by(df: DataFrame, key, name: str = "table") -> DataFrame:
-    """The same rows; the job fails if two of them share a key.
+def key_is_unique(df: DataFrame, key, name: str = "table"):
+    """Condition that holds for every row; the job fails if two rows of ``df`` share a key.
 
-    Columns are kept one by one, so those nobody reads further on are not scanned.
+    The proof is a subquery that reads and moves the key columns alone, counted in each task first, so whole
+    rows are neither aggregated nor moved for it. Null keys are equal to each other.
     """
-    rest = [column for column in df.columns if column not in key]
-    single = df.groupBy(*key).agg(F.count("*").alias("_rows"), *[F.first(c).alias(c) for c in rest])
-    return single.where(_require(F.col("_rows") == 1, f"{name}: key {list(key)} is not unique")).select(*df.columns)
+    key = list(key)
+    repeated = df.groupBy(*key).count().where("count > 1").agg(F.count("*"))
+    return _require(repeated.scalar() == 0, f"{name}: key {key} is not unique")
+
+
+def unique_by(df: DataFrame, key, name: str = "table") -> DataFrame:
+    """The same rows; the job fails if two of them share a key."""
+    return df.where(key_is_unique(df, key, name))
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, key, keep_all: bool = False) -> DataFrame:
-    """Join on a key that is unique on both sides.
+    """Join on a key that is unique on both sides; each side moves once.
 
     By default it is an inner join that fails if a left row finds no partner; with
     ``keep_all`` it is a left join.
@@ -49,14 +54,10 @@ def join_one_to_one(left: DataFrame, right: DataFrame, key, keep_all: bool = Fal
 def join_many_to_one(child: DataFrame, parent: DataFrame, key) -> DataFrame:
     """Left join to a parent with a unique key: exactly one output row per child row.
 
-    The parent's uniqueness is a subquery over its key columns, so that the join itself is
-    a plain one whose skewed child keys Spark can split while it runs.
+    It is a plain join whose skewed child keys Spark can split while it runs.
     """
     key = list(key)
-    repeated = parent.groupBy(*key).count().where("count > 1").agg(F.count("*"))
-    known = parent.dropna(subset=key)
-    unique = _require(repeated.scalar() == 0, f"parent: key {key} is not unique")
-    return child.where(unique).join(known, key, "left")
+    return child.where(key_is_unique(parent, key, "parent")).join(parent.dropna(subset=key), key, "left")
 
 
 def small_enough(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -54,9 +56,13 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise SourceError("set spark.checkpoint.dir to a folder shared by the executors")
-    root = tempfile.mkdtemp(prefix="microtally-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="microtally-")
+    return _LOCAL_ROOTS[application]
+
+
+_LOCAL_ROOTS = {}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -86,3 +92,22 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Prepare Python workers: they get this package from the driver, once in an application."""
+    if spark.sparkContext.applicationId not in _SENT:
+        spark.sparkContext.addPyFile(_archive())
+        _SENT.add(spark.sparkContext.applicationId)
+
+
+def _archive():
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="microtally-")) / "microtally.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    return str(path)
+
+
+_SENT = set()

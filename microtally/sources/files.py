@@ -1,18 +1,27 @@
 """Source files: lookup, checksum, encoding, line counts, manifest and change detection."""
 
+import hashlib
 import re
 from datetime import datetime, timezone
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microtally.errors import SourceError
-from microtally.session import checkpointed, path_exists
+from microtally.session import checkpointed, path_exists, send_package
 from microtally.sources.text_tables import read_text_table
 
-# A file up to this size is hashed by one task in one piece; Spark's limit for a cell is 2 GB. Larger
-# ones are streamed.
-WHOLE_FILE_BYTES = 1 << 30
+# Files are hashed in pieces of this size, cut at line ends. It is part of what a checksum means.
+PIECE_BYTES = 64 << 20
+
+# The mark some UTF-8 files begin with; a line scan leaves it out.
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"
+
+# Scans see the content of files with these endings, so they are hashed as they are, whole (up to 2 GB).
+COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst|xz)$"
 
 # Local files are reported with one slash or with three.
 LOCAL_PREFIX = "^file:/+"
@@ -68,29 +77,99 @@ def find_source(spark: SparkSession, folder: str, pattern: str) -> str:
 
 
 def checksums(spark: SparkSession, files: DataFrame, paths) -> DataFrame:
-    """``path, sha256`` of each file, read from whatever store the paths name.
-
-    The checksum is the SHA-256 of all bytes in their order at every size. Files up to
-    ``WHOLE_FILE_BYTES`` are hashed by tasks. SHA-256 has no parts that could be put together, so the
-    driver's JVM streams each larger file through the digest, one after the other.
+    """``path, sha256`` of each file with content, read from whatever store the paths name.
+
+    The checksum is a tree of SHA-256 digests that keeps the order of the bytes: the file is cut at every multiple
+    of ``PIECE_BYTES``, a line belongs to the piece in which it starts (one that starts right on a cut to the piece
+    before), each piece is hashed by a task, and the checksum is the SHA-256 of the pieces' digests in their
+    order. A file with one piece, so every file up to ``PIECE_BYTES``, has the digest of that piece, which is
+    the plain SHA-256 of its bytes. No byte passes the driver and none is shuffled. A file whose size is not
+    that of its lines was changed while it was read, which fails the job.
     """
-    content = spark.read.format("binaryFile").load(paths).where(F.col("length") <= WHOLE_FILE_BYTES)
-    whole = content.select("path", F.sha2("content", 256).alias("sha256"))
-    large = [row.path for row in files.where(F.col("size_bytes") > WHOLE_FILE_BYTES).select("path").collect()]
-    if not large:
-        return whole
-    streamed = [(path, streamed_sha256(spark, path)) for path in large]
-    return whole.unionByName(spark.createDataFrame(streamed, "path string, sha256 string"))
-
-
-def streamed_sha256(spark: SparkSession, path: str) -> str:
-    """SHA-256 of a file of any size, read in small blocks."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
-    try:
-        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
-    finally:
-        stream.close()
+    scanned = files.where(~F.col("file").rlike(COMPRESSED)).where("size_bytes > 0").select("path", "uri", "size_bytes")
+    in_order = F.array_sort(F.collect_list(F.struct("start", "bytes", "closed", "open", "marked_closed", "marked_open")))
+    found = scanned.join(pieces(spark, paths).groupBy("uri").agg(in_order.alias("pieces")), "uri", "left")
+    # The lines with a line end each make the size of the file; a mark adds three bytes, a last line without end lacks one.
+    beyond = F.col("size_bytes") - F.aggregate(F.coalesce("pieces", F.array()), F.lit(0).cast("long"), lambda total, piece: total + piece.bytes)
+    ends = F.when(beyond.isin(0, 3), False).when(beyond.isin(-1, 2), True).otherwise(
+        F.raise_error(F.concat(F.lit("changed while it was read: "), F.col("path"))).cast("boolean"))
+
+    def digest(piece, place):
+        last = ends & (place == F.size("pieces") - 1)
+        marked = (beyond >= 2) & (place == 0)
+        return F.when(marked, F.when(last, piece.marked_open).otherwise(piece.marked_closed)).when(last, piece.open).otherwise(piece.closed)
+
+    digests = F.transform("pieces", digest)
+    only_mark = F.col("pieces").isNull() & (beyond == len(BYTE_ORDER_MARK))
+    tree = F.when(only_mark, hashlib.sha256(BYTE_ORDER_MARK).hexdigest()).when(F.size(digests) == 1, digests[0]).otherwise(
+        F.sha2(F.array_join(digests, ""), 256))
+    content = spark.read.format("binaryFile").load(paths).where(F.col("path").rlike(COMPRESSED))
+    return found.select("path", tree.alias("sha256")).unionByName(content.select("path", F.sha2("content", 256).alias("sha256")))
+
+
+def pieces(spark: SparkSession, paths) -> DataFrame:
+    """Digests of the pieces of files, as the scan of a task makes them.
+
+    Where a piece may end or begin with bytes that a line scan does not show, there is a digest for either case.
+    The scan belongs to a session of its own, in which files are cut at the multiples of ``PIECE_BYTES`` and
+    nowhere else, whatever the size of the cluster.
+    """
+    send_package(spark)
+    own = spark.newSession()
+    for name, value in {"spark.sql.files.maxPartitionBytes": PIECE_BYTES, "spark.sql.files.minPartitionNum": 1}.items():
+        own.conf.set(name, str(value))
+    lines = own.read.option("lineSep", "\n").text(paths)
+    scanned = lines.select(scanned_uri().alias("uri"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    digests = "closed string, open string, marked_closed string, marked_open string"
+    return checkpointed(scanned.mapInArrow(_hashed, f"uri string, start long, bytes long, {digests}"))
+
+
+class _Piece:
+    """The running digests of one piece."""
+
+    def __init__(self, uri, start):
+        self.uri, self.start, self.bytes = uri, start, 0
+        self.digests = [hashlib.sha256(), *[hashlib.sha256(BYTE_ORDER_MARK)] * (start == 0)]
+
+    def add(self, lines):
+        content = b"\n".join(lines) if not self.bytes else b"\n" + b"\n".join(lines)
+        self.bytes += len(content) + (not self.bytes)
+        for digest in self.digests:
+            digest.update(content)
+
+    def row(self):
+        found = []
+        for digest in self.digests:
+            unended = digest.hexdigest()
+            digest.update(b"\n")
+            found += [digest.hexdigest(), unended]
+        return (self.uri, self.start, self.bytes, *found, *[None] * (4 - len(found)))
+
+
+_PIECES = pa.schema([("uri", pa.string()), ("start", pa.int64()), ("bytes", pa.int64()),
+                     *[(name, pa.string()) for name in ("closed", "open", "marked_closed", "marked_open")]])
+
+
+def _hashed(batches):
+    """One row per piece; the lines of a piece follow each other in their order."""
+    piece = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        uris, starts = batch.column("uri"), batch.column("start")
+        other = [pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False) for column in (uris, starts)]
+        cuts = [0, *(np.flatnonzero(other[0] | other[1]) + 1), batch.num_rows]
+        done = []
+        for low, high in zip(cuts, cuts[1:]):
+            name, start = uris[low].as_py(), starts[low].as_py()
+            if piece is None or (piece.uri, piece.start) != (name, start):
+                done += [piece.row()] if piece else []
+                piece = _Piece(name, start)
+            piece.add(batch.column("line").slice(low, high - low).to_pylist())
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*done), _PIECES)], schema=_PIECES)
+    if piece:
+        yield pa.RecordBatch.from_arrays([pa.array([value], f.type) for value, f in zip(piece.row(), _PIECES)], schema=_PIECES)
 
 
 def scanned_uri():

@@ -109,6 +109,24 @@ def test_one_to_one_join_fails_on_lost_or_repeated_rows(spark):
         joins.join_one_to_one(left, right.union(right), ["k"]).collect()
 
 
+def test_one_to_one_join_moves_whole_rows_once(spark):
+    """Beside the keys that prove uniqueness, each side has one exchange, and no row is aggregated whole."""
+    left = spark.range(50).selectExpr("id AS k", "concat('l', id) AS wide_left")
+    right = spark.range(50).selectExpr("id AS k", "concat('r', id) AS wide_right")
+    joined = joins.join_one_to_one(left.hint("merge"), right, ["k"])
+    assert joined.count() == 50
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    main = plan[: plan.index("Subquery")] if "Subquery" in plan else plan
+    assert "first(" not in plan and "Aggregate" not in main.split("Filter", 1)[0]
+    with pytest.raises(PySparkException, match="left side.*not unique"):
+        joins.join_one_to_one(left.union(left), right, ["k"]).collect()
+
+
+def test_members_and_assessments_match_one_to_one(spark):
+    with pytest.raises(PySparkException, match="member.*not unique"):
+        joins.unique_by(spark.createDataFrame([(1, None), (1, None)], "a long, b long"), ["a", "b"], "member").collect()
+
+
 def test_many_to_one_join_keeps_every_child(spark):
     child = spark.createDataFrame([(1, 1), (1, 2), (9, 3), (None, 4)], "k long, n long")
     parent = spark.createDataFrame([(1, "x"), (2, "y")], "k long, p string")
