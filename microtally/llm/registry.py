@@ -1,8 +1,6 @@
 """Queries of the training-data operators, and their reference SQL where SQL can say it."""
 
-import tempfile
-import zipfile
-from pathlib import Path
+from microtally.session import send_package
 
 QUERIES = {}
 ORACLES = {}
@@ -29,23 +27,3 @@ def in_batches(spark, rows):
     """Prepares Python workers: they get this package, and at most so many rows at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     send_package(spark)
-
-
-def send_package(spark):
-    """Prepares Python workers: they get this package, once in an application."""
-    if spark.sparkContext.applicationId not in _SENT:
-        spark.sparkContext.addPyFile(_archive())
-        _SENT.add(spark.sparkContext.applicationId)
-
-
-def _archive():
-    """The package as an archive on the driver, from which Spark sends it to the executors."""
-    package = Path(__file__).resolve().parents[1]
-    path = Path(tempfile.mkdtemp(prefix="microtally-")) / "microtally.zip"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
-        for file in sorted(package.rglob("*.py")):
-            archive.write(file, file.relative_to(package.parent))
-    return str(path)
-
-
-_SENT = set()
