@@ -190,7 +190,7 @@ def key_indicators(household: DataFrame, assessment: DataFrame, regions: DataFra
     position = lookup(F.concat_ws("|", "indicator", "breakdown"), {"|".join(b): i for i, b in enumerate(BLOCKS)})
     tier_rank = lookup(F.col("group"), {name: float(i) for i, name in enumerate(TIER_ORDER)})
     rank = F.when(F.col("breakdown") == "Region", -F.col("weighted_pct")).otherwise(tier_rank)
-    return stacked.orderBy(position, rank).select(
+    return stacked.orderBy(position, rank, "group").select(
         "indicator", "breakdown", "group", "unweighted_n", *PERCENTAGES, "design_effect", F.lit(batch_id).alias("batch_id")
     )
 
@@ -221,7 +221,7 @@ def region_table(estimates: DataFrame) -> DataFrame:
     regions = rows.where(F.col("breakdown") == "Region")
     return (
         regions.join(national, "indicator")
-        .orderBy(F.asc_nulls_last("weighted_pct"))
+        .orderBy(F.asc_nulls_last("weighted_pct"), "group")
         .select("group", *FIGURE_COLUMNS, "national_pct")
     )
 

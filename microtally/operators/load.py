@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from microtally.contract import SURVEY_CONTRACT
 from microtally.errors import JoinContractError
 from microtally.operators import quality
 from microtally.operators.joins import unique_by
@@ -102,6 +103,12 @@ def load_rules(contract: dict) -> dict:
     return {item["table"]: contract["tables"][item["table"]] for item in LOAD_PLAN}
 
 
+def default_rules(plan) -> dict:
+    """The published contract of those tables of a plan that it describes."""
+    described = SURVEY_CONTRACT["tables"]
+    return {item["table"]: described[item["table"]] for item in plan if item["table"] in described}
+
+
 def declared_types(df: DataFrame, types) -> DataFrame:
     """The columns under their declared types; a value that does not fit fails the job."""
     return df.select(*[F.col(name).cast(types[name]) if name in types else F.col(name) for name in df.columns])
@@ -122,13 +129,15 @@ def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, yea
                 plan=LOAD_PLAN, rules: dict | None = None, types: dict | None = None) -> dict[str, int]:
     """Write all tables of the plan, then publish them together with one audit row.
 
-    ``rules`` are checked before anything is written, and columns get their declared ``types``. A folder
-    that another load has taken in the meantime fails this one.
+    ``rules`` are checked before anything is written: those of the contract unless others are given, none if they
+    are empty. Columns get their declared ``types``. A folder that another load has taken in the
+    meantime fails this one.
     """
     started = datetime.now(timezone.utc)
     missing = [item["table"] for item in plan if item["table"] not in tables]
     if missing:
         raise JoinContractError(f"tables to load are missing: {missing}")
+    rules = default_rules(plan) if rules is None else rules
     if rules:
         check_rules(tables, rules)
     run_id = _next_run(spark, root, plan)

@@ -2,10 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from microtally.functions.text import is_whole_number
-from microtally.operators import joins, quality, raw_gate
-from microtally.session import scratch_path
-from microtally.sources import text_tables
+from microtally.operators import joins, quality, raw_gate, staging
+from microtally.session import checkpointed, scratch_path
+from microtally.sources import files
 from workload import cleaning, roles
 from workload.registry import query, read
 from workload.roles import with_roles
@@ -90,10 +89,16 @@ def validation_report(spark, sf_dir):
     return quality.latest_reports(spark, folder).select("stage", "checks_run", "checks_failed", "warnings")
 
 
-@query("dq_row_count", "SELECT count(*) AS rows, CASE WHEN count(*) < 1000 THEN 1 ELSE 0 END AS failing_rows FROM lineitem")
+@query("dq_row_count", """
+    SELECT t AS "table", n >= 1000 AS passed, CAST(n < 1000 AS bigint) AS failing_rows,
+           format('{:,} rows, at least 1,000 expected', n) AS detail
+    FROM (SELECT 'lineitem' AS t, count(*) AS n FROM lineitem UNION ALL SELECT 'region', count(*) FROM region)""")
 def dq_row_count(spark, sf_dir):
-    rows = F.count("*")
-    return read(spark, sf_dir, "lineitem").agg(rows.alias("rows"), (rows < 1000).cast("int").alias("failing_rows"))
+    results = []
+    for table, key in (("lineitem", ["l_orderkey", "l_linenumber"]), ("region", ["r_regionkey"])):
+        spec = {"primary_key": key, "min_rows": 1000, "columns": {}}
+        results += quality.validate_table(read(spark, sf_dir, table), table, spec)
+    return quality.results_frame(spark, results).where("check = 'row_count'").select("table", "passed", "failing_rows", "detail")
 
 
 @query("dq_schema", """
@@ -126,9 +131,13 @@ def dq_unique(spark, sf_dir):
 
 @query("dq_exact_duplicates", """
     SELECT CAST(sum(n - 1) AS bigint) AS failing_rows
-    FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, n_chars)""")
+    FROM (SELECT count(*) AS n FROM (FROM documents UNION ALL FROM documents WHERE doc_id % 7 = 0)
+          GROUP BY doc_id, text, lang, source, n_chars)
+    UNION ALL SELECT CAST(sum(n - 1) AS bigint) FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, n_chars)""")
 def dq_exact_duplicates(spark, sf_dir):
-    return quality.extra_copies(read(spark, sf_dir, "documents"), ignore=["doc_id", "source"])
+    documents = read(spark, sf_dir, "documents")
+    whole = quality.extra_copies(documents.unionByName(documents.where("doc_id % 7 = 0")), ignore=[])
+    return whole.unionByName(quality.extra_copies(documents, ignore=["doc_id", "source"]))
 
 
 @query("accepted_values", """
@@ -154,29 +163,39 @@ def foreign_key(spark, sf_dir):
     return joins.orphan_keys(read(spark, sf_dir, "documents"), ["doc_id"], read(spark, sf_dir, "labels"), ["doc_id"])
 
 
-@query("row_reconciliation", f"""WITH {cleaning.DISTINCT}, kept AS (SELECT DISTINCT l_orderkey, l_linenumber FROM firsts)
+@query("row_reconciliation", f"""WITH {cleaning.DISTINCT}, kept AS (SELECT DISTINCT l_orderkey, l_linenumber FROM firsts),
+    numbers AS (SELECT (SELECT count(*) FROM copied) AS raw, (SELECT count(*) FROM kept) AS staged,
+                       (SELECT count(*) FROM copied WHERE l_returnflag = 'N') AS lost,
+                       (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM firsts WHERE l_returnflag <> 'N')) AS others)
     SELECT 'lineitem' AS "table", 'row_reconciliation' AS "check", CAST(0 AS bigint) AS failing_rows,
-           concat((SELECT count(*) FROM copied), ' raw rows; ', (SELECT count(*) FROM kept), ' staged; ',
-                  (SELECT count(*) FROM copied) - (SELECT count(*) FROM kept), ' removed') AS detail""")
+           format('{{:,}} raw rows, {{:,}} staged, {{:,}} removed', raw, staged, raw - staged) AS detail FROM numbers
+    UNION ALL
+    SELECT 'without flag N', 'row_reconciliation', lost,
+           format('{{:,}} raw rows, {{:,}} staged, {{:,}} removed', raw, others, raw - lost - others)
+           || CASE WHEN lost > 0 THEN format('; {{:,}} unaccounted for', lost) ELSE '' END FROM numbers""")
 def row_reconciliation(spark, sf_dir):
-    raw = cleaning.copied_lines(spark, sf_dir).count()
-    stats = cleaning.deduplicated(spark, sf_dir).stats.first()
-    removed = stats.exact_duplicates_removed + stats.key_duplicates_removed
-    result = quality.check_row_reconciliation("lineitem", raw, stats.rows_out, removed)
-    return quality.results_frame(spark, [result]).select(
-        "table", "check", "failing_rows", F.replace(
-            F.replace("detail", F.lit(", "), F.lit("; ")), F.lit(",")).alias("detail")
-    )
+    """A staging that accounts for all raw rows, and one that never saw the rows of a flag."""
+    copied = cleaning.copied_lines(spark, sf_dir)
+    raw = copied.count()
+    results = []
+    for name, seen in (("lineitem", copied), ("without flag N", copied.where("l_returnflag <> 'N'"))):
+        stats = staging.deduplicate(seen, cleaning.LINE_KEY, cleaning.LINE_DATA, cleaning.PLACE).stats.first()
+        removed = stats.exact_duplicates_removed + stats.key_duplicates_removed
+        results.append(quality.check_row_reconciliation(name, raw, stats.rows_out, removed))
+    return quality.results_frame(spark, results).select("table", "check", "failing_rows", "detail")
 
 
 @query("key_not_blank", r"""
-    SELECT source, count(*) FILTER (WHERE NOT regexp_full_match(split_part(text, ' ', 2), '[0-9]+')) AS failing_rows
+    SELECT source, count(*) FILTER (WHERE NOT regexp_full_match(split_part(text, ' ', 2), '[0-9]+')) AS second_word,
+           count(*) FILTER (WHERE NOT regexp_full_match(text, '[0-9]+')) AS whole_text,
+           count(*) FILTER (WHERE NOT regexp_full_match(CAST(doc_id AS varchar), '[0-9]+')) AS id
     FROM documents GROUP BY source""")
 def key_not_blank(spark, sf_dir):
-    second = F.split_part("text", F.lit(" "), F.lit(2))
-    return read(spark, sf_dir, "documents").groupBy("source").agg(
-        F.count_if(~is_whole_number(second)).alias("failing_rows")
+    cells = read(spark, sf_dir, "documents").select(
+        "source", F.split_part("text", F.lit(" "), F.lit(2)).alias("second_word"), F.col("text").alias("whole_text"),
+        F.col("doc_id").cast("string").alias("id"),
     )
+    return cells.groupBy("source").agg(*[F.count_if(raw_gate.bad_key(name)).alias(name) for name in cells.columns[1:]])
 
 
 GATE_RULES = {
@@ -188,19 +207,36 @@ GATE_RULES = {
 
 
 @query("raw_gate", with_roles("v1_literacy", sql="""
+    WITH rules AS (
     SELECT 'schema' AS "check", 'HHID,LNO_F2,RESULT_CODE_F2,READING,RESP_RFACT_F2,CONSENT' AS target,
            CAST(1 AS bigint) AS failing_rows
+    UNION ALL SELECT 'file_presence', 'literacy', 0
+    UNION ALL SELECT 'checksum', 'literacy', 1
     UNION ALL SELECT 'row_count', '*', CASE WHEN count(*) < 100 THEN 1 ELSE 0 END FROM v1_literacy
     UNION ALL SELECT 'key_not_blank', 'HHID', 0
     UNION ALL SELECT 'key_not_blank', 'LNO_F2', 0
     UNION ALL SELECT 'key_not_blank', 'READING', count(*) FILTER (WHERE reading IS NULL) FROM v1_literacy
     UNION ALL SELECT 'weight', 'RESP_RFACT_F2', count(*) FILTER (WHERE CASE WHEN result_code_f2 = 1
-        THEN resp_rfact_f2 <= 0 ELSE resp_rfact_f2 <> 0 END) FROM v1_literacy"""))
+        THEN resp_rfact_f2 <= 0 ELSE resp_rfact_f2 <> 0 END) FROM v1_literacy)
+    SELECT 'changed' AS "table", * FROM rules
+    UNION ALL SELECT 'unchanged', "check", target, CASE WHEN "check" = 'checksum' THEN 0 ELSE failing_rows END FROM rules
+    UNION ALL SELECT 'empty', 'file_presence', 'nothing', 1
+    UNION ALL SELECT 'missing', 'file_presence', 'missing', 1"""))
 def raw_gate_query(spark, sf_dir):
-    path = scratch_path(spark, "literacy-csv")
-    roles.staged(spark, sf_dir, "v1_literacy").write.option("header", True).csv(path)
-    results = raw_gate.check_text_table(text_tables.read_text_table(spark, path), "v1_literacy", GATE_RULES)
-    return quality.results_frame(spark, results).select("check", "target", "failing_rows")
+    """A table with a part added after it was registered, one as it was registered, an empty and a missing one."""
+    root, rows = scratch_path(spark, "raw"), roles.staged(spark, sf_dir, "v1_literacy")
+    places = {"changed": f"{root}/a/literacy", "unchanged": f"{root}/b/literacy", "empty": f"{root}/nothing"}
+    rows.where("hhid % 2 = 0").coalesce(1).write.option("header", True).csv(places["changed"])
+    rows.write.option("header", True).csv(places["unchanged"])
+    rows.limit(0).select(F.lit("").alias("value")).write.text(places["empty"])
+    manifest = checkpointed(files.file_manifest(spark, {t: places[t] for t in ("changed", "unchanged")}, "survey"))
+    rows.where("hhid % 2 <> 0").coalesce(1).write.mode("append").option("header", True).csv(places["changed"])
+
+    def locate(table):
+        return places[table] if table in places else files.find_source(spark, root, f"{table}*")
+
+    results = raw_gate.check_raw_files(spark, locate, dict.fromkeys([*places, "missing"], GATE_RULES), manifest)
+    return quality.results_frame(spark, results).select("table", "check", "target", "failing_rows")
 
 
 @query("weight_rule", """

@@ -6,10 +6,10 @@ from microtally.operators import profiling
 from workload.derive import MIXED_SQL, NUMBER_SQL, mixed_text
 from workload.registry import query, read
 
-COLUMNS = ["event_id", "user_id", "event_type", "value", "mixed", "sparse"]
+COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "mixed", "sparse"]
 CELLS = f"""cells AS (
-    SELECT unnest(['event_id', 'user_id', 'event_type', 'value', 'mixed', 'sparse']) AS "column",
-           unnest([CAST(event_id AS varchar), CAST(user_id AS varchar), event_type, CAST(value AS varchar), {MIXED_SQL},
+    SELECT unnest(['event_id', 'ts', 'user_id', 'event_type', 'value', 'props', 'mixed', 'sparse']) AS "column",
+           unnest([CAST(event_id AS varchar), CAST(ts AS varchar), CAST(user_id AS varchar), event_type, CAST(value AS varchar), props, {MIXED_SQL},
                    CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS varchar) ELSE ' ' END]) AS value
     FROM events),
 counted AS (SELECT "column", value, count(*) AS n FROM cells GROUP BY 1, 2),
@@ -20,7 +20,7 @@ filled AS (SELECT *, CASE WHEN {NUMBER_SQL.format('trim(value)')} THEN TRY_CAST(
 def counts(spark, sf_dir):
     key = F.col("event_id")
     events = read(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value", mixed_text(key, F.col("value")).alias("mixed"),
+        "event_id", "ts", "user_id", "event_type", "value", "props", mixed_text(key, F.col("value")).alias("mixed"),
         F.when(key % 3 == 0, F.col("user_id").cast("string")).otherwise(" ").alias("sparse"),
     )
     return profiling.value_counts(events, COLUMNS)
@@ -70,7 +70,9 @@ def profile_examples(spark, sf_dir):
 
 
 @query("profile_table", """
-    SELECT CAST(sum(n) AS bigint) AS rows, 3 AS columns, CAST(sum(n - 1) AS bigint) AS exact_duplicate_rows
-    FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, n_chars)""")
+    SELECT CAST(sum(n) AS bigint) AS rows, 5 AS columns, CAST(sum(n - 1) AS bigint) AS exact_duplicate_rows
+    FROM (SELECT count(*) AS n FROM (FROM documents UNION ALL FROM documents WHERE doc_id % 7 = 0)
+          GROUP BY doc_id, text, lang, source, n_chars)""")
 def profile_table(spark, sf_dir):
-    return profiling.profile_table(read(spark, sf_dir, "documents").select("text", "lang", "n_chars"))
+    documents = read(spark, sf_dir, "documents")
+    return profiling.profile_table(documents.unionByName(documents.where("doc_id % 7 = 0")))

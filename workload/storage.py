@@ -1,15 +1,15 @@
 """Sources and sinks: each query writes whole tables and reads the result back."""
 
-from datetime import datetime, timezone
-
 from pyspark.sql import functions as F
 
-from microtally.operators import formats, load
-from microtally.session import scratch_path
+from microtally.errors import DuplicateShareError, SourceError
+from microtally.operators import formats, load, quality, staging
+from microtally.plans.survey_run import SurveyRun, write_staged
+from microtally.session import checkpointed, scratch_path
 from microtally.sources import datasets, files, region_list
-from workload import roles
+from workload import cleaning, roles
 from workload.derive import RECORDS_SQL, region_records
-from workload.registry import query, read
+from workload.registry import in_order, query, read
 from workload.roles import with_roles
 
 ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -55,14 +55,15 @@ def partitioned_write(spark, sf_dir):
 
 
 @query("pruning_report", """
-    SELECT 'all' AS scope, count(*) AS rows, true AS fewer_files FROM customer
+    SELECT 'all' AS scope, count(*) AS rows, true AS just_its_files FROM customer
     UNION ALL SELECT 'one partition', count(*), true FROM customer WHERE c_nationkey = 7""")
 def pruning_report(spark, sf_dir):
     path = scratch_path(spark, "customers")
     datasets.write_partitioned(read(spark, sf_dir, "customer"), path, "c_nationkey")
     report = formats.pruning_report(spark.read.parquet(path), 7, "c_nationkey")
-    fewer = F.when(F.col("scope") == "all", F.col("files") >= 25).otherwise(F.col("files") < 25)
-    return report.select("scope", "rows", fewer.alias("fewer_files"))
+    of_seven = len(files.file_statuses(spark, f"{path}/c_nationkey=7"))
+    just = F.when(F.col("scope") == "all", F.col("files") >= 24 + of_seven).otherwise(F.col("files") == of_seven)
+    return report.select("scope", "rows", just.alias("just_its_files"))
 
 
 @query("format_fidelity", """
@@ -116,8 +117,14 @@ PLAN = [
 ]
 
 
+RULES = {
+    "member": {"primary_key": ["survey_year", "hhid", "line_no"], "columns": {"batch_id": {"type": "string", "nullable": False}},
+               "foreign_keys": [{"columns": ["hhid"], "references": {"table": "household", "columns": ["hhid"]}}]},
+}
+
+
 def loaded(spark, sf_dir):
-    """A warehouse after two loads of the same year."""
+    """A warehouse after two loads of the same year, and a third that broke a rule."""
     root = scratch_path(spark, "warehouse")
     tables = {
         "dim_region": roles.dim_region(spark, sf_dir),
@@ -125,8 +132,13 @@ def loaded(spark, sf_dir):
         "member": roles.member(spark, sf_dir),
     }
     for batch in ("load-1", "load-2"):
-        load.load_tables(spark, root, tables, batch, roles.YEAR, PLAN)
-    return root
+        load.load_tables(spark, root, tables, batch, roles.YEAR, PLAN, RULES)
+    repeated = tables["member"].unionByName(tables["member"].where("line_no = 1").limit(1))
+    try:
+        load.load_tables(spark, root, {**tables, "member": repeated}, "load-3", roles.YEAR, PLAN, RULES)
+    except quality.DataQualityError:
+        return root
+    raise AssertionError("a load with a repeated key was published")
 
 
 @query("load_audit", with_roles("member", sql="""
@@ -154,49 +166,110 @@ def warehouse_reload(spark, sf_dir):
     return rows.select("hhid", "line_no", "sex", "age_group", "member_weight", "batch_id")
 
 
-@query("load_history", """
-    SELECT run_id, batch_id, CAST(members AS varchar) AS member_rows FROM (
-        SELECT row_number() OVER (ORDER BY year, quarter) AS run_id, concat('batch-', year, '-', quarter) AS batch_id, members
-        FROM (SELECT year(o_orderdate) AS year, quarter(o_orderdate) AS quarter, count(*) AS members FROM orders GROUP BY 1, 2))
-    ORDER BY run_id DESC LIMIT 5""")
+@query("load_history", with_roles("member", sql="""
+    SELECT CAST(run AS bigint) AS run_id, concat('load-', run) AS batch_id, (SELECT count(*) FROM member)::varchar AS member_rows,
+           CAST(3 - run AS integer) AS position FROM (SELECT unnest([1, 2]) AS run)"""))
 def load_history(spark, sf_dir):
-    date = F.col("o_orderdate")
-    quarters = read(spark, sf_dir, "orders").groupBy(F.year(date).alias("y"), F.quarter(date).alias("q")).agg(
-        F.count("*").alias("members")
-    )
-    audit = quarters.select(
-        ((F.col("y") - 1995) * 4 + F.col("q")).cast("long").alias("run_id"),
-        F.concat(F.lit("batch-"), "y", F.lit("-"), "q").alias("batch_id"),
-        F.lit(datetime(2024, 1, 1, tzinfo=timezone.utc)).alias("finished_at"),
-        F.to_json(F.create_map(F.lit("member"), "members")).alias("row_counts"),
-    )
-    return load.load_history(audit, 5).drop("finished_at")
+    audit = load.read_audit(spark, loaded(spark, sf_dir))
+    return in_order(load.load_history(audit, 5).drop("finished_at"))
+
+
+# ---------- staging sinks ----------
+
+@query("staged_rejects", f"""WITH {cleaning.DISTINCT}, keys AS (SELECT count(*) AS n FROM firsts GROUP BY l_orderkey, l_linenumber),
+    numbers AS (SELECT (SELECT count(*) FROM copied) AS raw, (SELECT count(*) FROM keys) AS kept,
+                       (SELECT coalesce(sum(n), 0) FROM keys WHERE n > 1) AS shared)
+    SELECT 'first' AS step, kept AS staged, CAST(shared AS bigint) AS rejects, false AS refused FROM numbers
+    UNION ALL SELECT 'without repeats', kept, CAST(0 AS bigint), false FROM numbers
+    UNION ALL SELECT 'too many duplicates', kept, CAST(0 AS bigint), raw > kept FROM numbers""")
+def staged_rejects(spark, sf_dir):
+    """What the sinks of a batch hold after a run with rejects, one without, and one that is refused."""
+    run = SurveyRun(spark, scratch_path(spark, "staged"), "", "", {}, "b1", max_duplicate_share=1.0)
+    copied, out = cleaning.copied_lines(spark, sf_dir), []
+
+    def stage(step, rows, limit=1.0):
+        run.max_duplicate_share = limit
+        run.batch_id = "b2" if limit < 1 else "b1"
+        refused = False
+        try:
+            write_staged(run, "lines", staging.deduplicate(rows, cleaning.LINE_KEY, cleaning.LINE_DATA, cleaning.PLACE))
+        except DuplicateShareError:
+            refused = True
+        run.batch_id = "b1"
+        out.append((step, run.staged("lines").count(), run.rejects("lines").count(), refused))
+
+    stage("first", copied)
+    kept = staging.deduplicate(copied, cleaning.LINE_KEY, cleaning.LINE_DATA, cleaning.PLACE).kept
+    stage("without repeats", checkpointed(kept))
+    stage("too many duplicates", copied, 0.0)
+    return spark.createDataFrame(out, "step string, staged long, rejects long, refused boolean")
 
 
 # ---------- files ----------
 
-def customer_files(spark, sf_dir):
-    path = scratch_path(spark, "customer-csv")
-    read(spark, sf_dir, "customer").repartition(8, "c_mktsegment").write.option("header", True).csv(path)
-    return path
+def named_file(frame, path, encoding="UTF-8"):
+    """A frame as one CSV file of a given name, whatever the file system."""
+    spark = frame.sparkSession
+    folder = scratch_path(spark, "part")
+    frame.coalesce(1).write.option("header", True).option("encoding", encoding).csv(folder)
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = named.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "part-*"))[0].getPath()
+    system.mkdirs(named.getParent())
+    system.delete(named, False)
+    system.rename(part, named)
 
 
 @query("file_manifest", """
-    SELECT CAST(count(*) AS bigint) AS data_lines, 'utf-8-sig' AS encoding, CAST(0 AS bigint) AS wrong_checksums,
-           CAST(0 AS bigint) AS wrong_sizes FROM customer""")
+    WITH parts AS (
+        SELECT 'customers' AS "table", lower(c_mktsegment) || '.csv' AS file, c_custkey AS k, c_custkey || ',' || c_name AS line,
+               'c_custkey,c_name' AS header FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE', 'MACHINERY')
+        UNION ALL SELECT 'codebook_nations', 'nations.csv', n_nationkey, n_nationkey || ',' || n_name, 'n_nationkey,n_name' FROM nation)
+    SELECT "table", file, CASE WHEN file = 'machinery.csv' THEN 'latin-1' ELSE 'utf-8-sig' END AS encoding,
+           count(*) AS data_lines, 2 AS columns, file = 'furniture.csv' AS changed_since_last_run,
+           CASE WHEN file <> 'machinery.csv'
+                THEN sha256(any_value(header) || chr(10) || string_agg(line || chr(10), '' ORDER BY k)) END AS sha256
+    FROM parts GROUP BY "table", file""")
 def file_manifest(spark, sf_dir):
-    path = customer_files(spark, sf_dir)
-    content = spark.read.format("binaryFile").load(path).select(
-        files.scanned_uri().alias("uri"), F.sha2("content", 256).alias("_sha"),
-        F.length("content").alias("_length"),
-    )
-    facts = files.describe_files(spark, path).join(content, "uri", "full")
-    return facts.agg(
-        F.sum("data_lines").alias("data_lines"),
-        F.max("encoding").alias("encoding"),
-        F.count_if(~F.col("sha256").eqNullSafe(F.col("_sha"))).alias("wrong_checksums"),
-        F.count_if(~F.col("size_bytes").eqNullSafe(F.col("_length").cast("long"))).alias("wrong_sizes"),
-    )
+    """Three part files, one in latin-1 and one changed since it was registered, and a codebook."""
+    root = scratch_path(spark, "registered")
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+
+    def part(segment, rows, encoding="UTF-8"):
+        lines = rows.where(F.col("c_mktsegment") == segment).drop("c_mktsegment").orderBy("c_custkey")
+        named_file(lines, f"{root}/customers/{segment.lower()}.csv", encoding)
+
+    part("BUILDING", customers)
+    part("FURNITURE", customers.where("c_custkey % 2 = 0"))
+    part("MACHINERY", customers.withColumn("c_name", F.concat("c_name", F.lit("\u00e9"))), "ISO-8859-1")
+    named_file(read(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), f"{root}/nations.csv")
+    registered = {"customers": f"{root}/customers", "codebook_nations": f"{root}/nations.csv"}
+    before = checkpointed(files.file_manifest(spark, registered, "survey"))
+    part("FURNITURE", customers)
+    manifest = files.file_manifest(spark, registered, "survey", before)
+    return manifest.select("table", "file", "encoding", "data_lines", "columns", "changed_since_last_run",
+                           F.when(F.col("encoding") == "utf-8-sig", F.col("sha256")).alias("sha256"))
+
+
+@query("file_lookup", """
+    SELECT pattern, CASE count(segment) WHEN 0 THEN 'nothing' WHEN 1 THEN max(segment) || '.csv' ELSE 'several' END AS found
+    FROM (VALUES ('auto*', 'auto%'), ('B*.CSV', 'b%.csv'), ('*e*.csv', '%e%.csv'), ('customers*', 'customers%')) p(pattern, likes)
+    LEFT JOIN (SELECT DISTINCT c_mktsegment AS segment FROM customer) ON lower(segment) || '.csv' LIKE likes
+    GROUP BY pattern""")
+def file_lookup(spark, sf_dir):
+    """Which entry of a folder a pattern names, if it names just one."""
+    root, customers = scratch_path(spark, "segments"), read(spark, sf_dir, "customer")
+    for (segment,) in customers.select("c_mktsegment").distinct().collect():
+        named_file(customers.where(F.col("c_mktsegment") == segment), f"{root}/{segment}.csv")
+
+    def found(pattern):
+        try:
+            return files.find_source(spark, root, pattern).rsplit("/", 1)[-1]
+        except SourceError as missed:
+            return "nothing" if "nothing" in str(missed) else "several"
+
+    patterns = ["auto*", "B*.CSV", "*e*.csv", "customers*"]
+    return spark.createDataFrame([(pattern, found(pattern)) for pattern in patterns], "pattern string, found string")
 
 
 @query("manifest_diff", """
