@@ -115,7 +115,7 @@ def declared_types(df: DataFrame, types) -> DataFrame:
 
 
 def check_rules(tables: dict, rules: dict) -> list:
-    """Checks of the tables about to be published; the first error among them stops the load."""
+    """Checks of the tables about to be published; an error among them stops the load."""
     results = []
     for table, spec in rules.items():
         results += quality.validate_table(tables[table], table, spec, tables)
@@ -129,17 +129,14 @@ def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, yea
                 plan=LOAD_PLAN, rules: dict | None = None, types: dict | None = None) -> dict[str, int]:
     """Write all tables of the plan, then publish them together with one audit row.
 
-    ``rules`` are checked before anything is written: those of the contract unless others are given, none if they
-    are empty. Columns get their declared ``types``. A folder that another load has taken in the
-    meantime fails this one.
+    Columns get their declared ``types``. ``rules`` are checked on what was written, before the audit row publishes
+    it: those of the contract unless others are given, none if they are empty. So each table is made once, and what
+    is checked is what readers get. A folder that another load has taken in the meantime fails this one.
     """
     started = datetime.now(timezone.utc)
     missing = [item["table"] for item in plan if item["table"] not in tables]
     if missing:
         raise JoinContractError(f"tables to load are missing: {missing}")
-    rules = default_rules(plan) if rules is None else rules
-    if rules:
-        check_rules(tables, rules)
     run_id = _next_run(spark, root, plan)
     counts = {}
     for item in plan:
@@ -150,6 +147,9 @@ def load_tables(spark: SparkSession, root: str, tables: dict, batch_id: str, yea
         else:
             rows = rows.where(_one_year(rows, table, year))
         counts[table] = _write_counted(rows, table_path(root, table, run_id))
+    rules = default_rules(plan) if rules is None else rules
+    if rules:
+        check_rules({table: spark.read.parquet(table_path(root, table, run_id)) for table in counts}, rules)
     append_audit(spark, root, run_id, batch_id, year, started, counts)
     return counts
 

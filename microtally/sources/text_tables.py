@@ -12,6 +12,9 @@ CHARSETS = {"utf-8-sig": "UTF-8", "latin-1": "ISO-8859-1"}
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 
+# Bytes of the numbers of a block, with what a hash table needs beside them, and how many bytes may be broadcast.
+OFFSET_BYTES, BROADCAST_BYTES = 80, 128 << 20
+
 
 def read_text_table(spark: SparkSession, path, encoding: str = "utf-8-sig") -> DataFrame:
     """Every column as text, nothing inferred; a quote inside quotes is doubled.
@@ -80,9 +83,9 @@ def number_rows(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     """Replace the block columns by ``source_line``: 2, 3, ... in file order.
 
     The running total is over the blocks of one file, a table about a millionth the size of the
-    data: 800,000 rows for 100 TB. A block is named there by a hash of its file and its start, so a
-    row of that table has five numbers and it can always be sent to every executor; the rows
-    themselves never move. A row whose place is not within its block as it was counted, or a hash
+    data: 800,000 rows for 100 TB of large files. A block is named there by a hash of its file and its start, so a
+    row of that table has five numbers. Up to ``BROADCAST_BYTES`` it is sent to every executor and the rows
+    never move; beyond that, as with very many small files, rows and blocks meet by that name. A row whose place is not within its block as it was counted, or a hash
     that two blocks share, fails the job.
     """
     before = F.sum("_rows").over(Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1))
@@ -93,8 +96,9 @@ def number_rows(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     place = F.col(ROW) - F.col("_first")
     fits = (F.col("_start") == F.col(BLOCK)) & place.between(F.lit(0), F.col("_held") - 1)
     moved = F.raise_error(F.lit("file blocks changed between two scans")).cast("long")
+    known = F.broadcast(offsets) if blocks.count() * OFFSET_BYTES <= BROADCAST_BYTES else offsets
     return (
-        rows.withColumn("_name", named).join(F.broadcast(offsets), "_name", "left")
+        rows.withColumn("_name", named).join(known, "_name", "left")
         .withColumn("source_line", F.when(F.coalesce(fits, F.lit(False)), F.col("_before") + place + 2).otherwise(moved))
         .drop(FILE, BLOCK, ROW, "_name", "_start", "_first", "_held", "_before")
     )

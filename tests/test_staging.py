@@ -178,6 +178,21 @@ def test_rows_are_numbered_where_they_are(spark, tmp_path):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_many_blocks_are_numbered_without_a_broadcast(spark, tmp_path, monkeypatch):
+    for name in "abc":
+        (tmp_path / f"{name}.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(400)))
+    monkeypatch.setattr(text_tables, "BROADCAST_BYTES", 100)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered_rows = text_tables.read_numbered_table(spark, str(tmp_path))
+        assert "BroadcastHashJoin" not in numbered_rows._jdf.queryExecution().executedPlan().toString()
+        rows = numbered_rows.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(rows) == 1200 and all(row.source_line == int(row.id) + 2 for row in rows)
+
+
 def test_a_block_counted_differently_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(50)))
     rows = text_tables.scan_blocks(spark, str(tmp_path / "a.csv"))

@@ -127,9 +127,9 @@ def loaded(spark, sf_dir):
     """A warehouse after two loads of the same year, and a third that broke a rule."""
     root = scratch_path(spark, "warehouse")
     tables = {
-        "dim_region": roles.dim_region(spark, sf_dir),
-        "household": roles.household(spark, sf_dir),
-        "member": roles.member(spark, sf_dir),
+        "dim_region": checkpointed(roles.dim_region(spark, sf_dir)),
+        "household": checkpointed(roles.household(spark, sf_dir)),
+        "member": checkpointed(roles.member(spark, sf_dir)),
     }
     for batch in ("load-1", "load-2"):
         load.load_tables(spark, root, tables, batch, roles.YEAR, PLAN, RULES)
