@@ -1,4 +1,7 @@
+import time
+
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from microtally.llm import html_extraction, operators  # noqa: F401
 from microtally.llm.html_extraction import page_blocks, read_page
@@ -135,3 +138,37 @@ def test_a_phrase_of_few_pages_of_a_large_host_stays(spark):
     phrase = "as we have said more than once before"
     pages = [(f"http://a.example/{n}", f"<body>{MENU}<div>{n} {phrase if n < 3 else 'x'} end {n}</div>") for n in range(40)]
     assert texts_of(spark, pages) == {n: f"{n} {phrase if n < 3 else 'x'} end {n}" for n in range(40)}
+
+
+def test_copies_with_changing_markup_leave_the_menu_boilerplate(spark):
+    pages = [(f"http://a.example/{n}", f"<body>{MENU}<div>{n} ends this story</div>") for n in range(9)]
+    copies = [(f"http://a.example/c{n}", f"<body><!-- token {n} -->{MENU}<div>one story of many copies</div>") for n in range(150)]
+    found = texts_of(spark, pages + copies)
+    assert [found[n] for n in range(9)] == [f"{n} ends this story" for n in range(9)]
+    assert {found[n] for n in range(9, 159)} == {"one story of many copies"}
+
+
+@pytest.mark.parametrize("part, end", [
+    ('<b "', ""), ("<a ", ""), ("</p ", ""), ("<!", ""), ("<?x", ""), ("<!-- ", ""), ("<a", ' "'), ("<b '\"", ">"), ("<div>", "</x>" * 200_000),
+    ("<b title='x\"y\"", ""), ("<script>", ""), ("</div>", ""), ("<p>", ""),
+])
+def test_malformed_pages_take_time_in_proportion(part, end):
+    page = part * (1_000_000 // len(part)) + end
+    before = time.process_time()
+    page_blocks(page)
+    assert time.process_time() - before < 4
+
+
+def plain_tags(page):
+    """Tags as the pattern alone finds them."""
+    return [found.span() for found in html_extraction.TAG.finditer(page)]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="<>/!-?\"' ab=", max_size=40))
+def test_tags_are_those_of_the_pattern(page):
+    tags, place, found = html_extraction._Tags(page), 0, []
+    while (tag := tags.after(place)) is not None:
+        found.append(tag.span())
+        place = tag.end()
+    assert found == plain_tags(page)
