@@ -90,6 +90,11 @@ class ByteBpe:
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cutter = pre_tokenizers.Split(Regex(pattern), "isolated")
         self.tokens = {ranks[token]: token for token in by_rank}
+        self.characters = {ranks[token]: written(token) for token in by_rank}
+        self.lengths = np.zeros(max(self.tokens, default=0) + 1, dtype=np.int64)
+        self.lengths[list(self.tokens)] = [len(token) for token in self.tokens.values()]
+        self.reversed = np.zeros(max(map(ord, character)) + 1, dtype=np.uint8)
+        self.reversed[[ord(each) for each in character]] = range(256)
         self.names = {rank: str(rank) for rank in self.tokens}
         self.known, self.held = {"": ()}, 0
 
@@ -138,30 +143,40 @@ class ByteBpe:
         return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
 
     def decode(self, ids):
-        """The bytes of a list of ids."""
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The bytes of a list of ids: their characters through the reversed byte table."""
+        characters = "".join(map(self.characters.__getitem__, ids))
+        return self.reversed[np.frombuffer(characters.encode("utf-16-le"), dtype="<u2")].tobytes()
 
     def decode_pieces(self, ids):
         """The text each token completes: bytes of a split character wait for the token that ends it."""
         decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")
-        out = [decoder.decode(self.tokens[id]) for id in ids]
+        out = [decoder.decode(self.decode((id,))) for id in ids]
         if out:
             out[-1] += decoder.decode(b"", final=True)
         return out
 
-    def offsets(self, ids, text):
-        """Start and end of each token in characters of the text; a split character is in all its tokens."""
+    def edges(self, ids, text):
+        """Starts and ends of the tokens in characters of the text, as arrays; a split character is in all its tokens."""
         whole = np.frombuffer(text.encode(), dtype=np.uint8)
         character = np.cumsum((whole & 0xC0) != 0x80) - 1
-        ends = np.cumsum([len(self.tokens[id]) for id in ids], dtype=np.int64)
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
-        return [(int(character[a]), int(character[b - 1]) + 1) for a, b in zip(starts, ends)]
+        lengths = self.lengths[np.array(ids, dtype=np.int64)]
+        ends = np.cumsum(lengths)
+        return character[ends - lengths].astype(np.int32), (character[ends - 1] + 1).astype(np.int32)
+
+    def offsets(self, ids, text):
+        """Start and end of each token, as pairs."""
+        starts, ends = self.edges(ids, text)
+        return list(zip(starts.tolist(), ends.tolist()))
 
     def written(self, ids):
         """Decimal ids joined by one blank."""
         return " ".join(map(self.names.__getitem__, ids))
 
 
+def _low_first(numbers):
+    return numbers.astype("<i4").tobytes()
+
+
 @lru_cache(maxsize=2)
 def _coder(content, pattern):
     """One encoder per worker process and vocabulary."""
@@ -192,9 +207,9 @@ def tokenize(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, offsets=
         ids = coder.encode(values)
         out = {"ids": [np.array(each, dtype=np.int32) for each in ids]}
         if offsets:
-            spans = [coder.offsets(each, value) for each, value in zip(ids, values)]
-            out["starts"] = [np.array([a for a, _ in each], dtype=np.int32) for each in spans]
-            out["ends"] = [np.array([b for _, b in each], dtype=np.int32) for each in spans]
+            edges = [coder.edges(each, value) for each, value in zip(ids, values)]
+            out["starts"] = [starts for starts, _ in edges]
+            out["ends"] = [ends for _, ends in edges]
         if digests:
             out["decoded_sha256"] = [hashlib.sha256(coder.decode(each)).hexdigest() for each in ids]
         return pd.DataFrame(out)
@@ -218,12 +233,13 @@ def detokenize(tokens, ids="ids", vocabulary=VOCABULARY, into="text"):
 
 DIGESTS = T.StructType([
     T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-    T.StructField("decoded_sha256", T.StringType()),
+    T.StructField("decoded_sha256", T.StringType()), T.StructField("offsets_sha256", T.StringType()),
 ])
 
 
 def token_digests(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, into="digests"):
-    """The rows of ``docs`` with a struct ``into``: number of ids and digests of the ids and of the decoded bytes."""
+    """The rows of ``docs`` with a struct ``into``: number of ids and digests of the ids, of the decoded
+    bytes, and of the starts, then the ends, of the tokens in characters (four bytes each, low byte first)."""
     spark = docs.sparkSession
     in_batches(spark, BATCH_ROWS)
     content = _vocabulary(spark, vocabulary)
@@ -232,9 +248,10 @@ def token_digests(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, int
     def digest(texts: pd.Series) -> pd.DataFrame:
         coder = _coder(content.value, pattern)
         rows = []
-        for ids in coder.encode(["" if value is None else value for value in texts]):
+        values = ["" if value is None else value for value in texts]
+        for ids, value in zip(coder.encode(values), values):
             rows.append((len(ids), hashlib.sha256(coder.written(ids).encode()).hexdigest(),
-                         hashlib.sha256(coder.decode(ids)).hexdigest()))
+                         hashlib.sha256(coder.decode(ids)).hexdigest(), hashlib.sha256(b"".join(map(_low_first, coder.edges(ids, value)))).hexdigest()))
         return pd.DataFrame(rows, columns=DIGESTS.names)
 
     return docs.select(*[F.col(f"`{name}`") for name in docs.columns if name != text], digest(F.col(text)).alias(into))
@@ -242,6 +259,6 @@ def token_digests(docs, text="text", vocabulary=VOCABULARY, pattern=PATTERN, int
 
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark, sf_dir):
-    """All documents with their number of tokens and the digests of ids and decoded bytes."""
+    """All documents with their number of tokens and the digests of ids, decoded bytes and offsets."""
     found = token_digests(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "digests.*")

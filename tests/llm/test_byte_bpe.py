@@ -26,7 +26,21 @@ def coder():
 
 def digests(other, text):
     ids = other.encode_ordinary(text or "")
-    return (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
+    spans = plain_offsets(other, ids)
+    places = b"".join(n.to_bytes(4, "little") for column in (0, 1) for n in (span[column] for span in spans))
+    return (len(ids), *(hashlib.sha256(part).hexdigest() for part in (" ".join(map(str, ids)).encode(), (text or "").encode(), places)))
+
+
+def plain_offsets(other, ids):
+    """Start and end of each token in characters, byte by byte."""
+    at, spans = -1, []
+    for id in ids:
+        places = []
+        for byte in other.decode_single_token_bytes(id):
+            at += byte & 0xC0 != 0x80
+            places.append(at)
+        spans.append((places[0], places[-1] + 1))
+    return spans
 
 
 WHITE = st.text(alphabet=" \n\t\r\x0b\x1c\x85  　ab.1'é\x00", max_size=40)
@@ -39,6 +53,12 @@ def test_ids_are_those_of_the_other_library(other, coder, text):
     assert ids == other.encode_ordinary(text)
     assert coder.decode(ids) == text.encode()
     assert "".join(coder.decode_pieces(ids)) == text
+    assert coder.offsets(ids, text) == plain_offsets(other, ids)
+
+
+def test_every_token_decodes_through_the_byte_table(other, coder):
+    assert all(coder.decode([id]) == other.decode_single_token_bytes(id) for id in coder.tokens)
+    assert coder.decode([]) == b"" and coder.decode_pieces([]) == []
 
 
 @pytest.mark.parametrize("text", [
