@@ -21,16 +21,16 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from microtally.llm.registry import in_batches, query, read
-from microtally.llm.samples import labelled_sample, remainder
+from microtally.llm.samples import labelled_sample, remainder, within_bytes
 
 # Fixed values of the task: rows held out from learning, and the score from which a text is good.
 DIVISOR, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 
-# The network is fitted on at most so many labelled documents, and on at most so many chunks of
-# each, evenly spread over it. Scores look at all chunks.
+# The network is fitted on at most so many labelled documents, and on whole ones up to so many bytes of text.
+# Fitting and scores both look at all chunks of a text.
 SAMPLE_ROWS = 4000
-SAMPLE_CHUNKS = 8
+SAMPLE_BYTES = 128 << 20
 
 CHUNK, WIDTH, STRIDE = 256, 8, 4
 DIMENSIONS, FILTERS, HIDDEN = 8, 64, 24
@@ -42,8 +42,9 @@ BATCH_ROWS = 256
 
 
 def chunks_of(text):
-    """A text as rows of byte numbers; neighbours share ``WIDTH`` bytes, the last row is padded."""
-    data = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8) if text else np.empty(0, dtype=np.uint8)
+    """A text, or its bytes, as rows of byte numbers; neighbours share ``WIDTH`` bytes, the last row is padded."""
+    content = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+    data = np.frombuffer(content, dtype=np.uint8)
     count = max(1, -(-len(data) // CHUNK))
     padded = np.full(count * CHUNK + WIDTH, PAD, dtype=np.int16)
     padded[:len(data)] = data
@@ -135,18 +136,22 @@ def _gradients(net, chunks, starts, filled, labels, weights):
     d_best = d_active * (active > 0)
     grad["filter_bias"] = d_best.sum(axis=0)
     # Only the strongest window of a filter in a chunk has a share in the gradient.
-    offsets = where[:, :, None] * STRIDE + np.arange(WIDTH)
-    numbers = chunks[np.arange(len(chunks))[:, None, None], offsets]
-    seen = net["bytes"][numbers].reshape(len(chunks), FILTERS, -1)
-    grad["filters"] = np.einsum("cf,cfd->df", d_best, seen, optimize=True)
-    d_seen = d_best[:, :, None] * net["filters"].T[None]
-    flat, d_flat = numbers.reshape(-1), d_seen.reshape(-1, DIMENSIONS)
-    grad["bytes"] = np.stack([np.bincount(flat, d_flat[:, axis], PAD + 1) for axis in range(DIMENSIONS)], axis=1).astype(np.float32)
+    grad["filters"] = np.zeros((WIDTH * DIMENSIONS, FILTERS), np.float32)
+    grad["bytes"] = np.zeros((PAD + 1, DIMENSIONS), np.float32)
+    for start in range(0, len(chunks), BLOCK):
+        block = slice(start, start + BLOCK)
+        offsets = where[block][:, :, None] * STRIDE + np.arange(WIDTH)
+        numbers = chunks[block][np.arange(len(offsets))[:, None, None], offsets]
+        seen = net["bytes"][numbers].reshape(len(offsets), FILTERS, -1)
+        grad["filters"] += np.einsum("cf,cfd->df", d_best[block], seen, optimize=True)
+        d_seen = d_best[block][:, :, None] * net["filters"].T[None]
+        flat, d_flat = numbers.reshape(-1), d_seen.reshape(-1, DIMENSIONS)
+        grad["bytes"] += np.stack([np.bincount(flat, d_flat[:, axis], PAD + 1) for axis in range(DIMENSIONS)], axis=1).astype(np.float32)
     return grad
 
 
 def fit(examples, steps=STEPS, seed=7):
-    """Parameters learned from ``(chunks, label)`` pairs; the rarer label weighs up to ``RARE`` times as much."""
+    """Parameters learned from ``(text, label)`` pairs, texts as bytes; the rarer label weighs up to ``RARE`` times as much."""
     net = new_network(seed)
     if not examples:
         return net
@@ -161,7 +166,7 @@ def fit(examples, steps=STEPS, seed=7):
         if len(waiting) < BATCH:
             waiting = np.concatenate([waiting, draw.permutation(len(examples))])
         picked, waiting = waiting[:BATCH], waiting[BATCH:]
-        parts = [examples[i][0] for i in picked]
+        parts = [chunks_of(examples[i][0]) for i in picked]
         starts, filled = np.cumsum([0, *map(len, parts[:-1])]), np.array([_filled(part) for part in parts])
         grad = _gradients(net, np.concatenate(parts), starts, filled, labels[picked], weights[picked])
         rate = RATE * (1 - (step - 1) / steps) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
@@ -172,25 +177,11 @@ def fit(examples, steps=STEPS, seed=7):
     return net
 
 
-def _spread(chunks):
-    """At most ``SAMPLE_CHUNKS`` chunks, evenly spread over the text."""
-    if len(chunks) <= SAMPLE_CHUNKS:
-        return chunks
-    return chunks[np.linspace(0, len(chunks) - 1, SAMPLE_CHUNKS).round().astype(int)]
-
-
 def train(docs, labels, label="quality", id="doc_id", text="text", rows=SAMPLE_ROWS, divisor=DIVISOR, held_out=HELD_OUT):
-    """Fits the network on a bounded sample; the tasks send at most ``SAMPLE_CHUNKS`` chunks of a text."""
-    in_batches(docs.sparkSession, BATCH_ROWS)
-
-    @F.pandas_udf("binary")
-    def chunks(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.ascontiguousarray(_spread(chunks_of(each))).tobytes() for each in texts])
-
+    """Fits the network on a bounded sample of whole documents."""
     sample = labelled_sample(docs, labels, label, rows, divisor, held_out, id, text)
-    found = sample.select("k", "y", chunks("text").alias("x")).collect()
-    found.sort(key=lambda row: (str(row["k"]), row["y"], bytes(row["x"])))
-    return fit([(np.frombuffer(row["x"], dtype=np.int16).reshape(-1, CHUNK + WIDTH), row["y"]) for row in found])
+    found = within_bytes(sample.select("k", "y", F.encode("text", "UTF-8").alias("x")), SAMPLE_BYTES)
+    return fit([(content, label) for _, label, content in found])
 
 
 def score(docs, net, text="text", into="quality"):
