@@ -6,6 +6,10 @@ them. A feature counts once, however often it occurs. FTRL-proximal gives every
 learning rate and, by its L1 term, leaves most weights at exactly zero; what is left is a short
 list of weights, whose size the number of buckets bounds, and is sent to all tasks.
 
+Fitting and scoring both use all features of a text. The loss of whole texts leaves raw scores unsure of rare
+words, so each part of the sample is scored by a model of the others, and a slope and an offset fitted to these
+scores (Platt scaling) turn the sum of weights into a probability.
+
 Scores are computed inside tasks on Arrow batches, over whole texts.
 
 Defined results
@@ -21,16 +25,18 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from microtally.llm.registry import in_batches, query, read
-from microtally.llm.samples import labelled_sample, remainder
+from microtally.llm.samples import labelled_sample, remainder, within_bytes
 
 # Fixed values of the task: rows held out from learning, and the score from which a text is toxic.
 DIVISOR, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 
-# The model is fitted on at most so many labelled documents ...
+# The model is fitted on at most so many labelled documents, and on whole ones up to so many bytes of features
+# (four a feature, never more than a bit a bucket).
 SAMPLE_ROWS = 9000
-# ... and so many features of each of them (scores use all features of a text).
-SAMPLE_FEATURES = 20_000
+SAMPLE_BYTES = 256 << 20
+# Parts of the sample, each scored by a model of the others to calibrate.
+FOLDS = 3
 
 BITS = 20
 STEMS = (4, 6)
@@ -97,25 +103,72 @@ def fit_ftrl(examples, buckets=1 << BITS, epochs=None, alpha=ALPHA, beta=BETA, l
     return everything[:-1].astype(np.float32), float(everything[-1])
 
 
+def pack_features(features, bits=BITS):
+    """Sorted buckets as bytes: their numbers, or one bit a bucket where that is shorter."""
+    if 32 * len(features) < 1 << bits:
+        return features.astype(np.int32).tobytes() + b"n"
+    flags = np.zeros(1 << bits, dtype=bool)
+    flags[features] = True
+    return np.packbits(flags).tobytes() + b"b"
+
+
+def unpack_features(packed):
+    """Buckets of ``pack_features``."""
+    if packed.endswith(b"n"):
+        return np.frombuffer(packed, dtype=np.int32, count=len(packed) // 4)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(packed, dtype=np.uint8, count=len(packed) - 1))).astype(np.int32)
+
+
+def fit_scale(totals, labels, steps=50):
+    """Slope and offset of a logistic curve through sums of weights, by Newton's method with smoothed labels."""
+    totals, labels = np.asarray(totals, dtype=float), np.asarray(labels, dtype=float)
+    ones = labels.sum()
+    zeros = len(labels) - ones
+    if not ones or not zeros:
+        return 1.0, 0.0
+    wanted = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    x = np.stack([totals, np.ones(len(totals))], axis=1)
+
+    def loss(at):
+        values = x @ at
+        return np.logaddexp(0, values).sum() - wanted @ values
+
+    at = np.array([1.0, 0.0])
+    for _ in range(steps):
+        chance = _probability(x @ at)
+        bend = (x * (chance * (1 - chance))[:, None]).T @ x + 1e-6 * np.eye(2)
+        move = np.linalg.solve(bend, x.T @ (chance - wanted))
+        while loss(at - move) > loss(at) and np.abs(move).max() > 1e-9:
+            move = move / 2
+        at = at - move
+    return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
+
+
+def fit_calibrated(examples, buckets=1 << BITS):
+    """Weights and bias of all examples, scaled by the curve that scores of unseen examples ask for."""
+    totals, labels = [], []
+    for fold in range(FOLDS if len(examples) >= FOLDS else 0):
+        weights, bias = fit_ftrl([example for place, example in enumerate(examples) if place % FOLDS != fold], buckets)
+        for features, label in examples[fold::FOLDS]:
+            totals.append(bias + weights[features].sum(dtype=np.float64))
+            labels.append(label)
+    slope, offset = fit_scale(totals, labels)
+    weights, bias = fit_ftrl(examples, buckets)
+    return (weights * slope).astype(np.float32), bias * slope + offset
+
+
 def train(docs, labels, label="toxic", id="doc_id", text="text", rows=SAMPLE_ROWS, divisor=DIVISOR, held_out=HELD_OUT):
-    """Fits the weights on a bounded sample. Features are made inside tasks; the driver gets bucket numbers, four bytes each."""
+    """Fits the weights on a bounded sample of whole documents. Features are made inside tasks; the driver gets buckets."""
     in_batches(docs.sparkSession, BATCH_ROWS)
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
-        return pd.Series([_some(text_features(each)).tobytes() for each in texts])
+        return pd.Series([pack_features(text_features(each)) for each in texts])
 
     sample = labelled_sample(docs, labels, label, rows, divisor, held_out, id, text)
-    found = sample.select("k", "y", features("text").alias("x")).collect()
-    found.sort(key=lambda row: (str(row["k"]), row["y"], len(row["x"])))
-    return fit_ftrl([(np.frombuffer(row["x"], dtype=np.int32), row["y"]) for row in found])
-
-
-def _some(features):
-    """At most ``SAMPLE_FEATURES`` of the sorted features, spread over all of them."""
-    if len(features) <= SAMPLE_FEATURES:
-        return features
-    return features[np.linspace(0, len(features) - 1, SAMPLE_FEATURES).astype(int)]
+    found = within_bytes(sample.select("k", "y", features("text").alias("x")), SAMPLE_BYTES)
+    order = np.random.default_rng(0).permutation(len(found))
+    return fit_calibrated([(unpack_features(found[place][2]), found[place][1]) for place in order])
 
 
 def score(docs, model, text="text", into="toxicity"):

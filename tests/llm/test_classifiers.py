@@ -28,20 +28,22 @@ def labelled():
 
 
 @pytest.mark.parametrize("key, column, divisor, left_out, wanted, caught", [
-    ("op3_quality_classifier", 2, 4, 2, 0.97, 0.97), ("op10_toxicity", 3, 3, 1, 0.96, 0.75)])
+    ("op3_quality_classifier", 2, 4, 2, 0.97, 0.97), ("op10_toxicity", 3, 3, 1, 0.96, 0.8)])
 def test_held_out_accuracy(spark, labelled, key, column, divisor, left_out, wanted, caught):
     found = {row.doc_id: row for row in QUERIES[key](spark, TRAIN_DIR).collect()}
     assert all(row.held_out == (zlib.crc32(str(doc_id).encode()) % divisor == left_out) for doc_id, row in found.items())
     assert all(0 <= row.score <= 1 and row.predicted == int(row.score >= 0.7) for row in found.values())
     unseen = [(found[row[0]].predicted, row[column]) for row in labelled if found[row[0]].held_out]
     assert np.mean([guess == label for guess, label in unseen]) >= wanted
-    assert np.mean([guess for guess, label in unseen if label]) >= caught
+    recall = np.mean([guess for guess, label in unseen if label])
+    print(key, "recall", recall, "false alarms", sum(guess for guess, label in unseen if not label), "of", len(unseen))
+    assert recall >= caught
 
 
 def small_model(module):
     if module is toxicity:
         return toxicity.fit_ftrl([(toxicity.text_features(text).astype(np.int64), label) for text, label in [("you loser", 1), ("good day", 0)] * 20])
-    return quality_classifier.fit([(quality_classifier.chunks_of(text), label) for text, label in [("$$$ ### " * 30, 0), ("a quiet day " * 20, 1)] * 20], steps=30)
+    return quality_classifier.fit([(text.encode(), label) for text, label in [("$$$ ### " * 30, 0), ("a quiet day " * 20, 1)] * 20], steps=30)
 
 
 @pytest.mark.parametrize("module", [toxicity, quality_classifier])
@@ -118,3 +120,45 @@ def test_ftrl_leaves_useless_weights_at_zero():
     examples = [(np.unique(np.append(draw.integers(10, 5000, 30), 3 if label else 4)), label) for label in draw.integers(0, 2, 400)]
     weights, bias = toxicity.fit_ftrl(examples, buckets=5000)
     assert weights[3] > 0 > weights[4] and (weights != 0).sum() < 500
+
+
+def test_features_are_packed_whole():
+    draw = np.random.default_rng(3)
+    for size in (0, 1, 5000, 32_767, 32_768, 200_000):
+        features = np.sort(draw.permutation(1 << toxicity.BITS)[:size]).astype(np.int32)
+        packed = toxicity.pack_features(features)
+        assert (toxicity.unpack_features(packed) == features).all() and len(packed) <= (1 << toxicity.BITS) // 8 + 1
+
+
+def test_the_scale_is_that_of_the_labels():
+    draw = np.random.default_rng(4)
+    totals = draw.normal(size=20_000) * 8
+    labels = draw.random(20_000) < 1 / (1 + np.exp(-(0.5 * totals + 1)))
+    assert toxicity.fit_scale(totals, labels) == pytest.approx((0.5, 1.0), abs=0.1)
+    assert toxicity.fit_scale([-30.0, 30.0] * 50, [0, 1] * 50)[0] > 0
+    assert toxicity.fit_scale([1.0, 2.0], [1, 1]) == toxicity.fit_scale([], []) == (1.0, 0.0)
+
+
+def test_whole_documents_are_taken_up_to_a_number_of_bytes(spark):
+    frame = spark.createDataFrame([(n, n % 2, bytes(10 + n)) for n in range(40)], "k long, y int, x binary")
+    everything = samples.within_bytes(frame, 10_000)
+    assert [(k, len(x)) for k, _, x in everything] == sorted(((n, 10 + n) for n in range(40)), key=lambda row: str(row[0]))
+    some = samples.within_bytes(frame.repartition(3), 300)
+    assert 0 < sum(len(x) for _, _, x in some) <= 300 and set(some) < set(everything)
+    assert some == samples.within_bytes(frame, 300) and len(samples.within_bytes(frame, 1)) == 1
+    assert samples.within_bytes(frame.limit(0), 300) == []
+
+
+def test_what_stands_at_the_end_of_a_long_text_is_learned_from(labelled):
+    filler = "quiet words about the weather and the sea " * 2000
+    examples = [(toxicity.text_features(filler + ("you vile loser" if label else "you kind friend")), label) for label in (0, 1) * 20]
+    weights, bias = toxicity.fit_ftrl(examples)
+    total = [bias + weights[features].sum() for features, _ in examples[:2]]
+    assert total[0] < 0 < total[1]
+
+
+def test_long_documents_are_right(spark, labelled):
+    found = {row.doc_id: row for row in QUERIES["op3_quality_classifier"](spark, TRAIN_DIR).collect()}
+    unseen = sorted((row for row in labelled if found[row[0]].held_out), key=lambda row: len(row[1] or ""))
+    longest = unseen[-len(unseen) // 10:]
+    assert np.mean([found[row[0]].predicted == row[2] for row in longest]) >= 0.97
