@@ -7,7 +7,7 @@ learning rate and, by its L1 term, leaves most weights at exactly zero; what is
 list of weights, whose size the number of buckets bounds, and is sent to all tasks.
 
 Fitting and scoring both use all features of a text. The loss of whole texts leaves raw scores unsure of rare
-words, so each part of the sample is scored by a model of the others, and a slope and an offset fitted to these
+words, so a part of the sample is scored by a model of the rest, and a slope and an offset fitted to these
 scores (Platt scaling) turn the sum of weights into a probability.
 
 Scores are computed inside tasks on Arrow batches, over whole texts.
@@ -35,8 +35,8 @@ THRESHOLD = 0.7
 # (four a feature, never more than a bit a bucket).
 SAMPLE_ROWS = 9000
 SAMPLE_BYTES = 256 << 20
-# Parts of the sample, each scored by a model of the others to calibrate.
-FOLDS = 3
+# One sampled document in so many is scored by a model of the rest to calibrate.
+ASIDE = 3
 
 BITS = 20
 STEMS = (4, 6)
@@ -146,13 +146,9 @@ def fit_scale(totals, labels, steps=50):
 
 def fit_calibrated(examples, buckets=1 << BITS):
     """Weights and bias of all examples, scaled by the curve that scores of unseen examples ask for."""
-    totals, labels = [], []
-    for fold in range(FOLDS if len(examples) >= FOLDS else 0):
-        weights, bias = fit_ftrl([example for place, example in enumerate(examples) if place % FOLDS != fold], buckets)
-        for features, label in examples[fold::FOLDS]:
-            totals.append(bias + weights[features].sum(dtype=np.float64))
-            labels.append(label)
-    slope, offset = fit_scale(totals, labels)
+    weights, bias = fit_ftrl([example for place, example in enumerate(examples) if place % ASIDE], buckets)
+    totals = [bias + weights[features].sum(dtype=np.float64) for features, _ in examples[::ASIDE]]
+    slope, offset = fit_scale(totals, [label for _, label in examples[::ASIDE]])
     weights, bias = fit_ftrl(examples, buckets)
     return (weights * slope).astype(np.float32), bias * slope + offset
 
