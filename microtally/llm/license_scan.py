@@ -5,7 +5,9 @@ on a line of their own, and once with lines joined, for license texts that are w
 sentences (letters a-z and digits, single blanks) that are known get the identifier of a license
 sentence. What remains of a text is a sequence of identifiers, and the rules are matched against
 it in their order: a rule is a license and the identifiers it consists of, and what it has matched
-is taken out of the sequence, so that a shorter rule does not match a part of a longer license.
+is taken out of the sequence, so that a shorter rule does not match a part of a longer license. Sentences
+that name a license, titles, "licensed under ..." and the terms of an SPDX expression, count for themselves
+where no rule has taken them.
 
 Most texts name no license: a look for the words that every known sentence has decides that before
 any sentence is cut.
@@ -23,16 +25,40 @@ from pyspark.sql import functions as F
 from microtally.llm.registry import query, read
 from microtally.llm.text import whole
 
-# Identifiers of license sentences and what a normalised sentence must look like. Sentences
+# Licenses by name, as normalised patterns: titles that may stand alone, and short forms that need
+# a tag or a verb beside them. Versions are part of a name.
+NAMES = (
+    ("0BSD", r"(zero clause bsd|bsd zero clause|bsd 0 clause) license", r"0bsd|bsd 0 clause"),
+    ("AGPL-3.0", r"gnu affero general public license( version)? v?3( 0)?", r"(gnu )?agpl v?3( 0)?|agplv3"),
+    ("Apache-2.0", r"apache (software )?license( version)? v?2( 0)?", r"apache( version)? v?2( 0)?"),
+    ("Artistic-2.0", r"artistic license( version)? v?2 0", r"artistic 2 0"),
+    ("BSD-2-Clause", r"(bsd 2 clause|2 clause bsd|simplified bsd|bsd 2 clause simplified) license", r"bsd 2 clause|2 clause bsd|simplified bsd"),
+    ("BSD-3-Clause", r"(bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd|bsd 3 clause new or revised) license", r"bsd 3 clause|3 clause bsd|new bsd|modified bsd"),
+    ("BSL-1.0", r"boost software license( version)? v?1 0", r"(boost|bsl) 1 0"),
+    ("CC-BY-4.0", r"creative commons attribution 4 0( international)?( public)?( license)?", r"cc by 4 0( international)?( public)?( license)?"),
+    ("CC-BY-NC-4.0", r"creative commons attribution non ?commercial 4 0( international)?( public)?( license)?", r"cc by nc 4 0( international)?( public)?( license)?"),
+    ("CC-BY-SA-4.0", r"creative commons attribution share ?alike 4 0( international)?( public)?( license)?", r"cc by sa 4 0( international)?( public)?( license)?"),
+    ("CC0-1.0", r"(cc0|creative commons (zero|cc0))( v?1 0)?( universal| license| public domain dedication)+", r"cc0( v?1 0)?"),
+    ("EPL-1.0", r"eclipse public license( version)? v ?1 0|eclipse public license( version)? 1 0", r"epl v?1 0"),
+    ("EPL-2.0", r"eclipse public license( version)? v ?2 0|eclipse public license( version)? 2 0", r"epl v?2 0"),
+    ("GPL-2.0", r"gnu general public license( version)? v?2( 0)?", r"(gnu )?gpl( version)? v?2( 0)?|gplv2"),
+    ("GPL-3.0", r"gnu general public license( version)? v?3( 0)?", r"(gnu )?gpl( version)? v?3( 0)?|gplv3"),
+    ("ISC", r"isc license", r"isc"),
+    ("LGPL-2.1", r"gnu lesser general public license( version)? v?2 1", r"(gnu )?lgpl( version)? v?2 1|lgplv2 1"),
+    ("LGPL-3.0", r"gnu lesser general public license( version)? v?3( 0)?", r"(gnu )?lgpl( version)? v?3( 0)?|lgplv3"),
+    ("MIT", r"(mit|expat) license", r"mit|expat"),
+    ("MPL-2.0", r"mozilla public license( version)? v?2( 0)?", r"mpl v?2( 0)?|mplv2"),
+    ("Unlicense", r"the unlicense", r"unlicense"),
+    ("Zlib", r"zlib( libpng)? license", r"zlib"),
+)
+
+# Identifiers of other license sentences and what a normalised sentence must look like. Sentences
 # stand as SENTENCE_END leaves them: "free software: you can ...", "Foundation; either version 2" and
-# "v. 2.0" are cut in two. SPDX tags are not among them: "SPDX-License-Identifier: MIT" leaves the name
-# alone in its piece, where it is no sentence of a license.
+# "v. 2.0" are cut in two.
 SENTENCES = (
-    ("apache2.name", r"(.* (is|are) )?(licensed|released|distributed) under the apache license version 2( 0)?( the license)?"),
     ("apache2.comply", r"you may not use this file except in compliance with the license"),
     ("apache2.copy", r"you may obtain a copy of the license at.*"),
     ("apache2.asis", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis.*"),
-    ("mit.name", r"(.* (is|are) )?(licensed|released|distributed) under the mit license"),
     ("mit.grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files.*"),
     ("mit.notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mit.asis", r"the software is provided as is without warranty of any kind.*"),
@@ -42,10 +68,6 @@ SENTENCES = (
     ("bsd.binary", r"(2 )?redistributions in binary form must reproduce the above copyright notice.*"),
     ("bsd.endorse", r"(3 )?neither the name of .* may be used to endorse or promote products.* without specific prior written permission"),
     ("bsd.asis", r"this software is provided by the copyright holders? and contributors as is.*"),
-    ("bsd2.name", r"(.* (is|are) )?(licensed|released|distributed) under the (bsd 2 clause|simplified bsd) license"),
-    ("bsd3.name", r"(.* (is|are) )?(licensed|released|distributed) under the (bsd 3 clause|new bsd|modified bsd) license"),
-    ("gpl3.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu general public license version 3( 0)?"),
-    ("gpl2.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu general public license version 2( 0)?"),
     ("gpl3.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu general public license.* version 3.*"),
     ("gpl2.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu general public license.* version 2.*"),
     ("lgpl3.grant", r"(.* is free software )?you can redistribute it and or modify it under the terms of the gnu lesser general public license.* version 3.*"),
@@ -58,23 +80,28 @@ SENTENCES = (
     ("gnu.version21", r"(either )?version 2 1 of the license.*"),
     ("gnu.version2", r"(either )?version 2 of the license.*"),
     ("gpl.warranty", r"this (program|library|file|software) is distributed in the hope that it will be useful but without any warranty.*"),
-    ("lgpl3.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu lesser general public license version 3( 0)?"),
-    ("agpl3.name", r"(.* (is|are) )?(licensed|released|distributed) under the gnu affero general public license version 3( 0)?"),
+    ("gpl.title", r"gnu general public license"),
+    ("lgpl.title", r"gnu lesser general public license"),
+    ("agpl.title", r"gnu affero general public license"),
+    ("gnu.copying", r"everyone is permitted to copy and distribute verbatim copies of this license document.*"),
+    ("gnu.june2007", r"version 3 29 june 2007"),
+    ("gnu.november2007", r"version 3 19 november 2007"),
+    ("gnu.february1999", r"version 2 1 february 1999"),
+    ("gnu.june1991", r"version 2 june 1991"),
     ("mpl2.name", r"this source code form is subject to the terms of the mozilla public license v( 2 0)?"),
     ("isc.grant", r"permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("ccbync4.name", r"(.* (is|are) )?(licensed|released|distributed) under( a| the)? (cc by nc|creative commons attribution non ?commercial) 4 0( international)?( public)?( license)?"),
-    ("ccbysa4.name", r"(.* (is|are) )?(licensed|released|distributed) under( a| the)? (cc by sa|creative commons attribution share ?alike) 4 0( international)?( public)?( license)?"),
-    ("ccby4.name", r"(.* (is|are) )?(licensed|released|distributed) under( a| the)? (cc by|creative commons attribution) 4 0( international)?( public)?( license)?"),
+    ("zlib.grant", r"permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely.*"),
+    ("cc0.waiver", r"to the extent possible under law .* waived all copyright and related or neighbou?ring rights.*"),
     ("unlicense.grant", r"this is free and unencumbered software released into the public domain"),
 )
 
 # Licenses by the sequence of their sentences, longer sequences first; a question mark
-# ends a sentence that may be missing.
+# ends a sentence that may be missing. After them every name that is left counts for itself.
 RULES = (
-    ("MIT", "mit.grant mit.notice mit.asis mit.liability?"),
-    ("BSD-3-Clause", "bsd.grant bsd.source bsd.binary bsd.endorse bsd.asis?"),
-    ("BSD-2-Clause", "bsd.grant bsd.source bsd.binary bsd.asis?"),
-    ("Apache-2.0", "apache2.name apache2.comply? apache2.copy? apache2.asis?"),
+    ("MIT", "name.MIT? mit.grant mit.notice mit.asis mit.liability?"),
+    ("BSD-3-Clause", "name.BSD-3-Clause? bsd.grant bsd.source bsd.binary bsd.endorse bsd.asis?"),
+    ("BSD-2-Clause", "name.BSD-2-Clause? bsd.grant bsd.source bsd.binary bsd.asis?"),
+    ("Apache-2.0", "name.Apache-2.0 apache2.comply? apache2.copy? apache2.asis?"),
     ("GPL-3.0", "gpl.grant gnu.version3 gpl.warranty?"),
     ("GPL-2.0", "gpl.grant gnu.version2 gpl.warranty?"),
     ("LGPL-3.0", "lgpl.grant gnu.version3 gpl.warranty?"),
@@ -86,26 +113,46 @@ RULES = (
     ("LGPL-3.0", "lgpl3.grant gpl.warranty?"),
     ("LGPL-2.1", "lgpl21.grant gpl.warranty?"),
     ("AGPL-3.0", "agpl3.grant gpl.warranty?"),
+    ("GPL-3.0", "gpl.title gnu.june2007 gnu.copying?"),
+    ("GPL-2.0", "gpl.title gnu.june1991 gnu.copying?"),
+    ("LGPL-3.0", "lgpl.title gnu.june2007 gnu.copying?"),
+    ("LGPL-2.1", "lgpl.title gnu.february1999 gnu.copying?"),
+    ("AGPL-3.0", "agpl.title gnu.november2007 gnu.copying?"),
     ("ISC", "isc.grant"),
-    ("MIT", "mit.name"),
-    ("BSD-3-Clause", "bsd3.name"),
-    ("BSD-2-Clause", "bsd2.name"),
-    ("GPL-3.0", "gpl3.name"),
-    ("GPL-2.0", "gpl2.name"),
-    ("LGPL-3.0", "lgpl3.name"),
-    ("AGPL-3.0", "agpl3.name"),
     ("MPL-2.0", "mpl2.name"),
-    ("CC-BY-NC-4.0", "ccbync4.name"),
-    ("CC-BY-SA-4.0", "ccbysa4.name"),
-    ("CC-BY-4.0", "ccby4.name"),
+    ("Zlib", "zlib.grant"),
+    ("CC0-1.0", "cc0.waiver"),
     ("Unlicense", "unlicense.grant"),
 )
 
+# How a name is used: what may stand before a title or a short form, what may follow, and the tag that TAG leaves.
+VERB = r"(.* )?(licensed|released|distributed|available|provided|published|offered) under( the (terms|conditions) of)?( the| a| an)?"
+AFTER = r"( only| or later| or( at your option)? any later version)?( the license)?( see .*| which .*| for details)?"
+TAG_MARK = "license tag"
+
+
+def _named(title, short):
+    """The pattern of sentences that name a license."""
+    return (rf"((the )?({title})|{VERB} ({title}|{short})( license)?|{TAG_MARK} (the )?({title}|{short})|"
+            rf"(.* (is|are) )?({short}) licensed){AFTER}")
+
+
+KNOWN = tuple((f"name.{license}", _named(title, short)) for license, title, short in NAMES) + SENTENCES
+
 # Every known sentence has one of these, in any case of letters.
-HINT = r"(?i)licen[sc]e|unencumbered|permission|redistribut|warranty|copyright|cc[^a-z0-9]+by|creative[^a-z0-9]+commons"
+HINT = (r"(?i)licen[sc]e|unencumbered|permission|redistribut|warranty|copyright|cc[^a-z0-9]+by|cc0|creative[^a-z0-9]+commons|"
+        r"version[^a-z0-9]+[23]|(released|distributed|available|provided|published|offered)[^a-z0-9]+under")
 # A point between digits, as in version numbers, ends no sentence: an end is followed by white space.
 SENTENCE_END = r"([.!?;:])[\x20\x09-\x0D]+"
 EMPTY_LINE = r"\n[\x20\x09-\x0D]*\n"
+# Tags before a license name, anywhere or at the start of a line; without their colon they are no end of a sentence.
+# The expression behind a tag is cut at its operators.
+TAG = r"(?i)(SPDX-License-Identifier|(^|\n)[^A-Za-z0-9\n]*licen[sc]e)[\x20\x09]*:[\x20\x09]*"
+OPERATOR = r"[\x20\x09()]+(OR|AND|WITH)[\x20\x09()]+"
+
+
+# A name that no rule has taken out of a sequence.
+LONE_NAME = r" name\.([^ ]+)"
 
 
 def _pattern(rule):
@@ -121,7 +168,7 @@ def _identifier(sentence):
     """The identifier of a sentence, or null."""
     plain = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
     found = None
-    for name, pattern in SENTENCES:
+    for name, pattern in KNOWN:
         hit = plain.rlike(f"^(?:{pattern})$")
         found = F.when(hit, F.lit(name)) if found is None else found.when(hit, F.lit(name))
     return F.when(sentence.rlike(HINT), found)
@@ -129,8 +176,11 @@ def _identifier(sentence):
 
 def _sequence(text):
     """Identifiers of the known sentences of a text in order, as a string of them between blanks."""
-    sentences = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n", -1)
-    known = F.array_compact(F.transform(sentences, _identifier))
+    tagged = F.regexp_replace(text, TAG, f"\n{TAG_MARK} ")
+    sentences = F.split(F.regexp_replace(tagged, SENTENCE_END, "$1\n"), "\n", -1)
+    cut = F.transform(sentences, lambda each: F.when(
+        each.startswith(TAG_MARK), F.split(F.regexp_replace(each, OPERATOR, f"\n{TAG_MARK} "), "\n", -1)).otherwise(F.array(each)))
+    known = F.array_compact(F.transform(F.flatten(cut), _identifier))
     return F.concat(F.lit(" "), F.transform(F.array(F.array_join(known, "  ")), lambda ids: F.concat(ids, F.lit(" ")))[0])
 
 
@@ -141,7 +191,7 @@ def _matched(sequence):
         pattern = _pattern(rule).replace(" ", " +")
         licenses.append(F.when(sequence.rlike(pattern), F.lit(name)))
         sequence = F.regexp_replace(sequence, pattern, " ")
-    return F.array_compact(F.array(*licenses))
+    return F.concat(F.array_compact(F.array(*licenses)), F.regexp_extract_all(sequence, F.lit(LONE_NAME), F.lit(1)))
 
 
 def scan_licenses(docs, text="text", into="license"):
@@ -163,7 +213,7 @@ def scan_licenses(docs, text="text", into="license"):
 
 def _sql():
     """The same as one DuckDB statement, from the same tables of sentences and rules."""
-    cases = " ".join(f"WHEN regexp_full_match(plain, '{pattern}') THEN '{name}'" for name, pattern in SENTENCES)
+    cases = " ".join(f"WHEN regexp_full_match(plain, '{pattern}') THEN '{name}'" for name, pattern in KNOWN)
     steps, previous = [], "sequences"
     for number, (name, rule) in enumerate(RULES):
         pattern = _pattern(rule).replace(" ", " +")
@@ -179,7 +229,9 @@ ways AS (
 ), sentences AS (
     SELECT row_id, way, place, trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g')) AS plain
     FROM (SELECT row_id, way, unnest(list) AS sentence, generate_subscripts(list, 1) AS place FROM (
-        SELECT row_id, way, string_split(regexp_replace(body, '([.!?;:])[\\x20\\x09-\\x0D]+', '\\1' || chr(10), 'g'), chr(10)) AS list FROM ways
+        SELECT row_id, way, flatten(list_transform(
+            string_split(regexp_replace(regexp_replace(body, '{TAG}', chr(10) || '{TAG_MARK} ', 'g'), '([.!?;:])[\\x20\\x09-\\x0D]+', '\\1' || chr(10), 'g'), chr(10)),
+            lambda each: CASE WHEN starts_with(each, '{TAG_MARK}') THEN string_split(regexp_replace(each, '{OPERATOR}', chr(10) || '{TAG_MARK} ', 'g'), chr(10)) ELSE [each] END)) AS list FROM ways
         WHERE regexp_matches(body, '{HINT}')))
 ), known AS (
     SELECT row_id, way, place, CASE {cases} END AS id FROM sentences
@@ -189,7 +241,7 @@ ways AS (
     SELECT w.doc_id, w.row_id, w.way, coalesce(j.ids, '') AS ids, CAST([] AS VARCHAR[]) AS names, ' ' || replace(coalesce(j.ids, ''), ' ', '  ') || ' ' AS rest
     FROM ways w LEFT JOIN joined j USING (row_id, way)
 ), {', '.join(steps)}
-SELECT any_value(doc_id) AS doc_id, array_to_string(list_sort(list_distinct(flatten(list(names)))), ',') AS licenses,
+SELECT any_value(doc_id) AS doc_id, array_to_string(list_sort(list_distinct(flatten(list(list_concat(names, regexp_extract_all(rest, '{LONE_NAME}', 1)))))), ',') AS licenses,
        coalesce(max(ids) FILTER (WHERE way = 'lines'), '') AS sentences
 FROM {previous} GROUP BY row_id
 """

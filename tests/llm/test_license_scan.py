@@ -111,3 +111,40 @@ def test_published_notices_agree_with_sql(spark, tmp_path):
     docs = awkward(spark, [(n, text, None, None, None) for n, (text, _) in enumerate(NOTICES + commented)])
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     same_as_sql(QUERIES["op9_license_scan"](spark, str(tmp_path)), tables({"documents": docs}), ORACLES["op9_license_scan"])
+
+
+# Names, titles and tags as they stand in files, and the licenses a reader sees in them.
+TITLES = [
+    ("SPDX-License-Identifier: MIT", ["MIT"]), ("// SPDX-License-Identifier: GPL-2.0-or-later\nint main() {}", ["GPL-2.0"]),
+    ("/* SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause */", ["Apache-2.0", "BSD-3-Clause", "MIT"]),
+    ("# SPDX-License-Identifier: GPL-3.0-only WITH Classpath-exception-2.0", ["GPL-3.0"]),
+    ("Code first. SPDX-License-Identifier:\tZlib", ["Zlib"]), ("SPDX-License-Identifier: LicenseRef-Own", []),
+    ("MIT License\n\nCopyright (c) 2020 A", ["MIT"]), ("The MIT License (see below)", ["MIT"]),
+    ("Apache License, Version 2.0", ["Apache-2.0"]), ("Released under the MIT License (see LICENSE).", ["MIT"]),
+    ("This project is MIT licensed.", ["MIT"]), ("License: BSD-2-Clause", ["BSD-2-Clause"]), ("CC0 1.0 Universal", ["CC0-1.0"]),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)", ["BSL-1.0"]),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is at https://www.eclipse.org/legal/epl-2.0/", ["EPL-2.0"]),
+    ("The library is distributed under the zlib license.", ["Zlib"]), ("Released under MIT.", ["MIT"]),
+    ("Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:", ["Zlib"]),
+    ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", ["CC0-1.0"]),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n", ["GPL-3.0"]),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", ["LGPL-2.1"]),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007", ["AGPL-3.0"]),
+    ("MIT License\n\n" + MIT, ["MIT"]), ("You may use it under the GPL-3.0 or later.", []),
+    ("Licensed under the GPLv3 or later.", ["GPL-3.0"]), ("Licensed under the Mozilla Public License 2.0.", ["MPL-2.0"]),
+    ("She studied at MIT.\nMIT", []), ("A driving licence: valid for a year.", []), ("The exhibition is licensed under a city permit.", []),
+    ("GNU General Public License", []), ("Version 3, 29 June 2007", []), ("Apache helicopters, version 2.0", []),
+    ("The mit licensed driver", []),
+]
+
+
+def test_titles_tags_and_names(spark):
+    docs = awkward(spark, [(n, text, None, None, None) for n, (text, _) in enumerate(TITLES)])
+    found = {row.doc_id: row.license.names for row in license_scan.scan_licenses(docs).collect()}
+    assert found == {n: names for n, (_, names) in enumerate(TITLES)}
+
+
+def test_titles_agree_with_sql(spark, tmp_path):
+    docs = awkward(spark, [(n, text, None, None, None) for n, (text, _) in enumerate(TITLES)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    same_as_sql(QUERIES["op9_license_scan"](spark, str(tmp_path)), tables({"documents": docs}), ORACLES["op9_license_scan"])
