@@ -5,12 +5,13 @@ the assistant, everybody else is a named user, system turns stay what they are.
 which characters a model may learn from: the texts of the participant's own turns with their end
 mark.
 
-A rendered dialogue is a row, with the turns in order. So that no conversation has to fit into one
-task, it is cut into parts of 64 turn numbers; a part in which a turn number is used again and
-again is sorted by ranges and rendered in pieces of neighbouring turns, which in their order are
-the part. The query puts the pieces of a part together, so a part is one row at every size; a cell
-of Spark holds 2 GB at most. Texts are moved once to form the parts and once to meet the
-participants, not once per participant; texts of crowded parts once more per participant.
+A rendered dialogue is a row, with the turns in order, as long as its turn numbers stay within 4,096;
+beyond that a dialogue is a row per part of 4,096 turn numbers, and its parts in order are the dialogue.
+A conversation of few rows is brought together once, which gives its turns and its participants. Only
+conversations of many rows take a longer way, so that none has to fit into one task: their parts meet
+their participants by a join, and a part in which turn numbers are used again and again is sorted by
+ranges and rendered in pieces of neighbouring turns. The query puts the pieces of a part together, so a
+part is one row at every size; a cell of Spark holds 2 GB at most. Both ways give the same rows.
 
 Defined results
     null text: an empty turn. Null role: a user named ``unknown``, who gets no perspective. Null turn: after
@@ -23,13 +24,16 @@ Defined results
 from pyspark.sql import Window, functions as F
 
 from microtally.llm.registry import query, read
+from microtally.session import checkpointed
 
 # The marks of the chat format, and the role that is no participant.
 START, END, SYSTEM, NOBODY = "<|im_start|>", "<|im_end|>", "system", "unknown"
 
-# Turn numbers in a part, and rows from which a part is cut further.
-PART_TURNS = 64
+# Turn numbers in a part; rows up to which a conversation, or a part of a longer one, is one group.
+PART_TURNS = 4096
 PART_ROWS = 4096
+# Conversations of many rows whose ids are sent to all tasks; if there are more, they are joined.
+SENT_KEYS = 100_000
 
 
 def _segment(turn, perspective):
@@ -61,18 +65,49 @@ def _spans(turns, perspective):
     return F.aggregate(turns, empty, add)["spans"]
 
 
+def _part(turn):
+    return F.floor(turn / PART_TURNS).cast("long")
+
+
 def _turns(turns, conversation, turn, role, text):
     """Turns with their part, in a struct that sorts as the dialogue."""
     return turns.select(
-        F.col(conversation).alias("conv_id"), F.floor(F.col(turn) / PART_TURNS).cast("long").alias("part"),
+        F.col(conversation).alias("conv_id"), _part(F.col(turn)).alias("part"),
         F.struct(
             F.col(turn).isNull().alias("late"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit(NOBODY)).alias("role"),
             F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|im_"), F.lit("<| im_")).alias("text")).alias("said"),
         (F.col(role).isNotNull() & (F.col(role) != SYSTEM)).alias("takes_part"))
 
 
+def _of_few_rows(said):
+    """Rendered parts of conversations that are one group each."""
+    groups = said.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("said", "takes_part"))).alias("all"))
+    speakers = F.transform(F.filter("all", lambda each: each["takes_part"]), lambda each: each["said"]["role"])
+    groups = groups.select(
+        "conv_id", F.array_distinct(speakers).alias("speakers"), F.transform("all", lambda each: each["said"]).alias("said"))
+    parts = F.array_distinct(F.transform("said", lambda each: _part(each["turn"])))
+    cells = groups.select("conv_id", "said", "speakers", F.explode(parts).alias("part"))
+    cells = cells.select("conv_id", "speakers", "part", F.filter("said", lambda each: _part(each["turn"]).eqNullSafe(F.col("part"))).alias("turns"))
+    cells = cells.select("conv_id", "part", "turns", F.explode("speakers").alias("perspective"))
+    return cells.select("conv_id", "perspective", "part", F.lit(0).cast("long").alias("piece"), *_written())
+
+
+def _written():
+    turns, perspective = F.col("turns"), F.col("perspective")
+    return F.size(turns).cast("long").alias("n_turns"), _rendered(turns, perspective).alias("rendered"), _spans(turns, perspective).alias("spans")
+
+
 def _views(said):
     """Two frames of rendered turns: of whole parts, and of the pieces of crowded parts."""
+    long = checkpointed(said.groupBy("conv_id").count().filter(F.col("count") > PART_ROWS).select(F.col("conv_id").alias("k")))
+    long = F.broadcast(long) if long.limit(SENT_KEYS + 1).count() <= SENT_KEYS else long
+    known = F.col("conv_id").eqNullSafe(F.col("k"))
+    parts, pieces = _of_many_rows(said.join(long, known, "left_semi"))
+    return _of_few_rows(said.join(long, known, "left_anti")).unionByName(parts), pieces
+
+
+def _of_many_rows(said):
+    """Rendered parts, and pieces of crowded parts, of conversations that may be of any size."""
     crowded = said.groupBy("conv_id", "part").count().filter(F.col("count") > PART_ROWS)
     crowded = crowded.select(F.col("conv_id").alias("c"), F.col("part").alias("p"))
     same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p"))
@@ -81,8 +116,7 @@ def _views(said):
     def seen(dealt):
         parts = dealt.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list("said")).alias("turns"))
         return parts.join(views, F.col("conv_id").eqNullSafe(F.col("c"))).select(
-            "conv_id", "perspective", "part", "piece", F.size("turns").cast("long").alias("n_turns"),
-            _rendered(F.col("turns"), F.col("perspective")).alias("rendered"), _spans(F.col("turns"), F.col("perspective")).alias("spans"))
+            "conv_id", "perspective", "part", "piece", *_written())
 
     few = said.join(crowded, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
     # Ids grow with the place in the sorted ranges, so a run of them is a run of turns.
@@ -94,7 +128,7 @@ def _views(said):
 def rotate_perspectives(turns, conversation="conv_id", turn="turn", role="role", text="text"):
     """``conv_id, perspective, part, piece, n_turns, rendered, spans`` for every participant and part of each conversation.
 
-    ``part`` is the turn number divided by 64, ``piece`` is 0 unless a part had to be cut further. The
+    ``part`` is the turn number divided by 4,096, ``piece`` is 0 unless a part had to be cut further. The
     pieces of a part, in the order of their numbers, are its dialogue; spans count from the piece's start.
     """
     whole, pieces = _views(_turns(turns, conversation, turn, role, text))
@@ -129,7 +163,7 @@ OP8_SQL = """
 WITH views AS (
     SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'
 ), written AS (
-    SELECT c.conv_id, v.perspective, CAST(floor(c.turn / 64) AS BIGINT) AS part, c.turn, coalesce(c.role, 'unknown') AS speaker,
+    SELECT c.conv_id, v.perspective, CAST(floor(c.turn / 4096) AS BIGINT) AS part, c.turn, coalesce(c.role, 'unknown') AS speaker,
            replace(coalesce(c.text, ''), '<|im_', '<| im_') AS body
     FROM conversations c JOIN views v ON c.conv_id IS NOT DISTINCT FROM v.conv_id
 ), segments AS (

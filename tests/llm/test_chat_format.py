@@ -81,3 +81,24 @@ def test_pieces_in_their_order_are_the_dialogue(spark, monkeypatch):
     found = sorted(chat_format.rotate_perspectives(frame(spark, rows)).collect(), key=lambda row: row.piece)
     assert {name: "".join(row.rendered for row in found if row.perspective == name) for name in whole} == whole
     assert max(row.n_turns for row in found) <= 10
+
+
+LENGTHY = [(1, n, ("ann", "bob", "cy")[n % 3], f"text {n}") for n in range(200)]
+SPARSE = [(2, n * 100, ("ann", "bob")[n % 2], f"text {n}") for n in range(200)] + [(2, None, "ann", "late"), (5, 9000, "dan", "alone"), (5, 1, None, "?")]
+
+
+def test_a_dialogue_of_200_turns_is_one_row_a_participant(spark, tmp_path):
+    turns = frame(spark, LENGTHY)
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    found = QUERIES["op8_chat_format"](spark, str(tmp_path))
+    assert sorted((row.perspective, row.n_turns) for row in found.collect()) == [("ann", 200), ("bob", 200), ("cy", 200)]
+    same_as_sql(found, tables({"conversations": turns}), ORACLES["op8_chat_format"])
+
+
+def test_both_ways_agree_with_sql_beyond_a_part(spark, tmp_path, monkeypatch):
+    turns = frame(spark, LENGTHY + SPARSE + CROWD[:30])
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    for rows, sent in ((4096, 100), (10, 100), (10, 0)):
+        monkeypatch.setattr(chat_format, "PART_ROWS", rows)
+        monkeypatch.setattr(chat_format, "SENT_KEYS", sent)
+        same_as_sql(QUERIES["op8_chat_format"](spark, str(tmp_path)), tables({"conversations": turns}), ORACLES["op8_chat_format"])
