@@ -1,14 +1,21 @@
-"""Main text of web pages, from their markup and from what the pages of a host repeat.
-
-A page that marks its article is read by its markup: the text is what stands in the article,
-without elements that are no part of it. For other pages the host's suffix array decides: the word
-streams of all its pages, without marked articles, are cut into suffixes; suffixes that agree in
-their first ``RUN`` words on two distinct pages, and on a ``SHARE_OF``-th of the distinct pages of the
-host, are neighbours in the array, and the words they cover are boilerplate. What an unmarked page has beside that, outside elements that are no part of
-an article, is its text. The array is a table: a suffix is its host, the hash of its first ``RUN``
-words, its page and its place. As every repeat of ``RUN`` words or more is covered by repeats of
-exactly ``RUN`` words, suffixes need not be longer, and equal ones meet by aggregation instead of a
-sort, so that a menu on a third of all pages is no burden to any one task.
+"""Main text of web pages, from what the pages of a host repeat and from their markup.
+
+Every page goes through the suffix array of its host: the word streams of all its pages, marked articles
+included, are cut into suffixes, sorted by their first ``RUN`` words, and neighbours that agree in these
+are a repeat. As every repeat of ``RUN`` words or more is covered by repeats of exactly ``RUN`` words,
+suffixes need not be longer. What stands outside marked articles and on a ``SHARE_OF``-th of the distinct
+pages of the host, two at least, is boilerplate of pages that mark no article; what stands inside marked
+articles, in more than one of ``ARTICLES_OF`` of them and in ``MIN_ARTICLES`` at least, is boilerplate of
+articles.
+
+The markup then checks what the array found. Outside elements are no part of the text. On a page that marks
+its article nothing else is, and blocks of the article go only where boilerplate covers them whole: a passage
+that stands in a longer block is the article's own. If half the words of an article would go, it is
+one of many near copies, and all of it stays. On other pages the words that no repeat covers are the text.
+
+A large host is sorted in groups of its pages, of about ``GROUP_PAGES`` pages or ``GROUP_SIZE`` characters. What
+stands on a part of all pages stands on that part of a group's pages in one group at least, so the groups'
+repeats are all that can be boilerplate, and these alone are counted again over the whole host.
 
 Defined results
     null and empty html, and pages without text: an empty text. Null url: a host of its own.
@@ -21,7 +28,9 @@ Defined results
 
 import html as references
 import re
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,10 +41,18 @@ from microtally.llm.registry import in_batches, query, read
 from microtally.session import checkpointed, scratch_path
 
 # Words that a repeat must have at least, the part of a host's pages it must stand on (one in so many,
-# and two pages at least), and rows handed to Python at once.
+# and two pages at least), the part of its marked articles (more than one in so many, and so many at
+# least), pages sorted together and their characters (a task gets about as many), rows handed to Python at
+# once, and suffixes sent to all tasks at most (more are joined by a shuffle).
 RUN = 6
 SHARE_OF = 10
+MIN_PAGES = 2
+ARTICLES_OF = 2
+MIN_ARTICLES = 3
+GROUP_PAGES = 500
+GROUP_SIZE = 8_000_000
 BATCH_ROWS = 256
+BROADCAST_SUFFIXES = 500_000
 
 # Elements by their part in a page. Text in SKIPPED elements is not text of the page,
 # OUTSIDE elements are no part of an article, BLOCKS part blocks, VOID elements have no end.
@@ -207,89 +224,188 @@ def page_blocks(page):
     return blocks
 
 
-def _suffixes(words, run=RUN):
-    """Hash of the first ``run`` words of each suffix that has them."""
-    return [xxhash.xxh64_intdigest(" ".join(words[start:start + run])) - (1 << 63) for start in range(len(words) - run + 1)]
+class _WordHashes(dict):
+    def __missing__(self, word):
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
 
 
-def _stream(text, words):
-    """Hash of all words of a page."""
-    return xxhash.xxh64_intdigest(" ".join([text or "", *words])) - (1 << 63)
+def _suffixes(text, kinds, hashes=None, run=RUN):
+    """For each suffix of a page that has them, the hash of its first ``run`` words; its lowest bit tells whether
+    all of these stand in a marked article."""
+    words = _stream(text)
+    size = len(words) - run + 1
+    if size <= 0:
+        return np.zeros(0, np.int64)
+    hashes = _WordHashes() if hashes is None else hashes
+    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    found = np.zeros(size, np.uint64)
+    for at in range(run):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + each[at:at + size]
+    other = np.repeat([kind != "a" for kind in kinds], [block.count(" ") + 1 for block in text.split("\n")])
+    before = np.concatenate([[0], np.cumsum(other)])
+    return (found >> np.uint64(1) << np.uint64(1) | (before[run:] == before[:-run]).astype(np.uint64)).view(np.int64)
 
 
-def read_page(page):
-    """``(text, words, spans)``: the text of a marked page, or None; the words outside articles; and for
-    an unmarked page the blocks that may be text, as first and last word."""
+def _stream(text):
+    """The words of a page, from its blocks."""
+    return text.replace("\n", " ").split(" ") if text else []
+
+
+def _parts(page):
+    """``(text, kinds)``: all blocks of a page, and for each ``a`` in a marked article, ``o`` outside, ``p`` neither."""
     blocks = page_blocks(page) if page else []
-    marked = any(in_article for _, in_article, _ in blocks)
-    words, spans = [], []
-    for text, in_article, outside in blocks:
-        if marked and in_article:
-            continue
-        first = len(words)
-        words += text.split(" ")
-        if not marked and not outside:
-            spans.append((first, len(words)))
-    text = "\n".join(block for block, in_article, _ in blocks if in_article) if marked or not spans else None
-    return text, words, spans
+    return "\n".join(text for text, _, _ in blocks), "".join("a" if article else "o" if outside else "p" for _, article, outside in blocks)
 
 
-def unmarked_text(words, spans, repeated, run=RUN):
-    """The unique runs of the blocks: words that no repeat covers."""
+def _spans(text, kinds, wanted):
+    """First and last word of the blocks of a kind."""
+    edges = np.cumsum([0] + [block.count(" ") + 1 for block in text.split("\n")]).tolist() if text else [0]
+    return [span for span, kind in zip(zip(edges, edges[1:]), kinds) if kind == wanted]
+
+
+def read_page(page):
+    """``(text, words, spans)``: what the markup alone takes for the text, or None if it marks no article; the words of the
+    whole page; and the blocks that may be text, as first and last word."""
+    text, kinds = _parts(page)
+    wanted = "a" if "a" in kinds else "p"
+    spans = _spans(text, kinds, wanted)
+    return (None if spans and wanted == "p" else _of_kind(text, kinds, wanted)), _stream(text), spans
+
+
+def _of_kind(text, kinds, wanted):
+    return "\n".join(block for block, kind in zip(text.split("\n"), kinds) if kind == wanted)
+
+
+def _covered(words, repeated, run):
     covered = np.zeros(len(words) + 1, dtype=bool)
     for start in repeated:
         covered[start:start + run] = True
+    return covered
+
+
+def unmarked_text(words, spans, repeated, run=RUN):
+    """The unique runs of the blocks: words that no repeat covers."""
+    covered = _covered(words, repeated, run)
     kept = [" ".join(word for word, gone in zip(words[a:b], covered[a:b]) if not gone) for a, b in spans]
     return "\n".join(block for block in kept if block)
 
 
+def marked_text(words, spans, repeated, run=RUN):
+    """The blocks of an article that repeats do not cover whole, or all blocks if half its words would go."""
+    covered = _covered(words, repeated, run)
+    kept = [(a, b) for a, b in spans if not covered[a:b].all()]
+    if 2 * sum(b - a for a, b in kept) <= sum(b - a for a, b in spans):
+        kept = spans
+    return "\n".join(" ".join(words[a:b]) for a, b in kept)
+
+
+def _text(text, kinds, repeats):
+    """Text of a page, given the suffixes that are boilerplate of its host."""
+    marked = "a" in kinds
+    wanted = "a" if marked else "p"
+    if repeats is None or wanted not in kinds:
+        return _of_kind(text, kinds, wanted)
+    repeated = np.flatnonzero(np.isin(_suffixes(text, kinds), repeats))
+    return (marked_text if marked else unmarked_text)(_stream(text), _spans(text, kinds, wanted), repeated)
+
+
+def _repeats(frame, whole):
+    """Suffixes that stand on the part of a group of pages that boilerplate must; of a whole host, exactly its boilerplate."""
+    marked = frame["kinds"].str.contains("a").to_numpy(dtype=bool)
+    pages, articles = frame["page"].nunique(), frame["page"][marked].nunique()
+    hashes = _WordHashes()
+    found = [_suffixes(text, kinds, hashes) for text, kinds in zip(frame["text"], frame["kinds"])]
+    number = np.repeat(pd.factorize(frame["page"])[0], [len(each) for each in found])
+    suffix = np.concatenate([np.zeros(0, np.int64), *found])
+    order = np.lexsort((number, suffix))
+    number, suffix = number[order], suffix[order]
+    once = np.ones(len(suffix), dtype=bool)
+    once[1:] = (suffix[1:] != suffix[:-1]) | (number[1:] != number[:-1])
+    suffix, uses = np.unique(suffix[once], return_counts=True)
+    inside = suffix & 1 == 1
+    common = np.where(inside, uses * ARTICLES_OF > articles, uses * SHARE_OF >= pages)
+    if whole:
+        common &= uses >= np.where(inside, MIN_ARTICLES, MIN_PAGES)
+        common &= inside | (not marked.all())
+    return suffix[common]
+
+
 def host_of(url):
     """Host of a url in lower case; empty if there is none."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit("")))
 
 
+def _boilerplate(page):
+    """One row per host that has any: the suffixes that are boilerplate."""
+    @F.pandas_udf("binary")
+    def packed(text: pd.Series) -> pd.Series:
+        return text.map(lambda each: zlib.compress(each.encode(), 1))
+
+    def of_group(key, frame):
+        frame = frame.drop_duplicates(["page", "kinds"])
+        frame = frame.assign(text=[zlib.decompress(each).decode() for each in frame["packed"]])
+        return pd.DataFrame({"suffix": _repeats(frame, whole=pd.isna(key[1]))}).assign(host=key[0])[["host", "suffix"]]
+
+    @F.pandas_udf("array<long>")
+    def of_page(text: pd.Series, kinds: pd.Series) -> pd.Series:
+        hashes = _WordHashes()
+        return pd.Series([np.unique(_suffixes(*row, hashes)) for row in zip(text, kinds)], dtype=object)
+
+    once = page.groupBy("host", "page").agg(
+        F.max(F.length("text")).alias("size"), F.max("marked").alias("marked"), F.min("marked").alias("always"))
+    hosts = once.groupBy("host").agg(
+        F.sum("size").alias("size"), F.count("*").alias("pages"), F.count_if("marked").alias("articles"), F.min("always").alias("all_marked"))
+    hosts = checkpointed(hosts.withColumn("parts", F.greatest(F.ceil(F.col("size") / GROUP_SIZE), F.floor(F.col("pages") / GROUP_PAGES))))
+    tasks = 1 + (hosts.agg(F.sum("size")).first()[0] or 0) // GROUP_SIZE
+    large = F.broadcast(hosts.filter("parts > 1"))
+    first = page.filter("first").select("host", "page", "text", "kinds")
+    grouped = first.join(large, "host", "left").select("host", F.pmod("page", "parts").alias("part"), "page", packed("text").alias("packed"), "kinds")
+    grouped = grouped.repartition(tasks, "host", "part").groupBy("host", "part")
+    found = checkpointed(grouped.applyInPandas(of_group, "host string, suffix long").distinct())
+
+    inside = F.col("suffix").bitwiseAND(1) == 1
+    asked = found.join(large, "host").filter(inside | ~F.col("all_marked")).select("host", "suffix")
+    if asked.count() <= BROADCAST_SUFFIXES:
+        asked = F.broadcast(asked)
+    suffixes = first.join(large, "host", "left_semi").select("host", "page", F.explode(of_page("text", "kinds")).alias("suffix"))
+    uses = suffixes.join(asked, ["host", "suffix"], "left_semi").distinct().groupBy("host", "suffix").agg(F.count("*").alias("uses"))
+    enough = F.when(inside, (F.col("uses") * ARTICLES_OF > F.col("articles")) & (F.col("uses") >= MIN_ARTICLES)).otherwise(
+        (F.col("uses") * SHARE_OF >= F.col("pages")) & (F.col("uses") >= MIN_PAGES))
+    common = uses.join(large, "host").filter(enough).select("host", "suffix")
+    common = checkpointed(found.join(large, "host", "left_anti").unionAll(common))
+    repeats = common.groupBy("host").agg(F.collect_list("suffix").alias("repeats"))
+    return F.broadcast(repeats) if common.count() <= BROADCAST_SUFFIXES else repeats
+
+
 def main_text(pages, id="page_id", url="url", html="html"):
     """One row per row of ``pages``: ``page_id, url, text, n_chars``."""
     in_batches(pages.sparkSession, BATCH_ROWS)
 
-    @F.pandas_udf("text string, words array<string>, spans array<int>, suffixes array<long>, stream long")
-    def parsed(values: pd.Series) -> pd.DataFrame:
-        found = [read_page(each) for each in values]
-        return pd.DataFrame({
-            "text": [text for text, _, _ in found],
-            "words": [words if text is None else None for text, words, _ in found],
-            "spans": [[edge for span in spans for edge in span] if text is None else None for text, _, spans in found],
-            "suffixes": [_suffixes(words) for _, words, _ in found],
-            "stream": [_stream(text, words) for text, words, _ in found],
-        })
+    @F.pandas_udf("text string, kinds string, marked boolean, page long, first boolean")
+    def parsed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        met = set()
+        for hosts, values in batches:
+            rows = []
+            for host, html in zip(hosts, values):
+                text, kinds = _parts(html)
+                page = xxhash.xxh64_intdigest(host + "\n" + " ".join(_stream(text))) - (1 << 63)
+                copy = page, hash(kinds)
+                rows.append((text, kinds, "a" in kinds, page, copy not in met))
+                met.add(copy)
+            yield pd.DataFrame(rows, columns=["text", "kinds", "marked", "page", "first"])
 
     @F.pandas_udf("string")
-    def uncovered(words: pd.Series, spans: pd.Series, repeated: pd.Series) -> pd.Series:
-        return pd.Series([
-            unmarked_text(list(w), list(zip(s[::2], s[1::2])), [] if r is None else r) for w, s, r in zip(words, spans, repeated)], dtype=object)
+    def kept(text: pd.Series, kinds: pd.Series, repeats: pd.Series) -> pd.Series:
+        return pd.Series([_text(*row) for row in zip(text, kinds, repeats)], dtype=object)
 
-    page = pages.select(
-        F.col(id).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), parsed(F.col(html).cast("string")).alias("p"))
+    page = pages.select(F.col(id).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
     path = scratch_path(pages.sparkSession, "parsed-pages")
-    page.select("page_id", "url", "host", F.xxhash64("host", "p.stream").alias("page"), "p.*").write.parquet(path)
+    page.select("page_id", "url", "host", parsed("host", "html").alias("p")).select("page_id", "url", "host", "p.*").write.option(
+        "compression", "zstd").parquet(path)
     page = pages.sparkSession.read.parquet(path)
-
-    suffix = page.select(
-        "host", "page", F.col("text").isNull().alias("unmarked"), F.posexplode("suffixes").alias("place", "words"))
-    repeats = suffix.groupBy("host", "words").agg(
-        F.min("page").alias("low"), F.max("page").alias("high"), F.max("unmarked").alias("asked")).filter("low < high AND asked")
-    uses = suffix.join(repeats.select("host", "words"), ["host", "words"], "left_semi").groupBy("host", "words", "page").agg(
-        F.collect_set(F.when(F.col("unmarked"), F.col("place"))).alias("places"))
-    uses = checkpointed(uses)
-    sizes = page.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    common = uses.groupBy("host", "words").agg(F.count("*").alias("uses")).join(sizes, "host").filter(F.col("uses") * SHARE_OF >= F.col("pages"))
-    covered = uses.filter(F.size("places") > 0).join(common.select("host", "words"), ["host", "words"], "left_semi")
-    covered = covered.groupBy("page").agg(F.flatten(F.collect_list("places")).alias("repeated"))
-
-    marked = page.filter("text IS NOT NULL").select("page_id", "url", "text")
-    unmarked = page.filter("text IS NULL").join(covered, "page", "left")
-    unmarked = unmarked.select("page_id", "url", uncovered("words", "spans", "repeated").alias("text"))
-    return marked.unionAll(unmarked).withColumn("n_chars", F.length("text").cast("long"))
+    text = page.join(_boilerplate(page), "host", "left").select("page_id", "url", kept("text", "kinds", "repeats").alias("text"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
 @query("op6_html_extraction")

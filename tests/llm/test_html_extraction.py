@@ -172,3 +172,67 @@ def test_tags_are_those_of_the_pattern(page):
         found.append(tag.span())
         place = tag.end()
     assert found == plain_tags(page)
+
+
+NOTICE = "<div>Read every story of the paper in our free app</div>"
+
+
+def marked(n, notice=NOTICE, host="a.example"):
+    return f"http://{host}/{n}", f"<body><nav>{MENU}</nav><article><h1>Story {n}</h1><p>{n} begins and goes on for {n * n} more words until it ends</p>{notice}</article>"
+
+
+def test_a_notice_that_articles_of_a_host_repeat_is_boilerplate_of_them(spark):
+    found = texts_of(spark, [marked(n) for n in range(5)] + [marked(n, host="b.example") for n in range(2)])
+    wanted = {n: f"Story {n}\n{n} begins and goes on for {n * n} more words until it ends" for n in range(5)}
+    assert {n: found[n] for n in range(5)} == wanted
+    assert found[5].endswith("\nRead every story of the paper in our free app")
+
+
+def test_repeats_that_are_an_article_s_own_stay(spark):
+    passage = "<p>{} said: Read every story of the paper in our free app, friends, {}</p>"
+    copies = [f"<article><p>{' '.join(f'word{k}' for k in range(60))} end {n}</p><p>{n} and out</p></article>" for n in range(4)]
+    pages = [marked(n, passage.format(n, n)) for n in range(4)]
+    pages += [marked(n, NOTICE if n % 2 else "", "half.example") for n in range(8)]
+    pages += [(f"http://copies.example/{n}", f"{page}<aside>{n}</aside>") for n, page in enumerate(copies)]
+    pages += [(f"http://only.example/{n}", f"<i>{n}</i><article>{NOTICE}</article>") for n in range(4)]
+    assert texts_of(spark, pages) == {n: article(page) for n, (_, page) in enumerate(pages)}
+
+
+def plain_texts(pages, run=html_extraction.RUN):
+    """Brute force over the runs of words of all distinct pages of each host, as words, without hashes and groups."""
+    streams, found = {}, {}
+    for url, page in pages:
+        words = tuple((word, in_article) for text, in_article, _ in page_blocks(page) for word in text.split(" "))
+        streams.setdefault(html_extraction_host(url), set()).add(words)
+    for n, (url, page) in enumerate(pages):
+        host = streams[html_extraction_host(url)]
+        articles = sum(any(inside for _, inside in other) for other in host)
+        text, words, spans = read_page(page)
+        flags = [in_article for each, in_article, _ in page_blocks(page) for _ in each.split(" ")]
+        runs = lambda stream: [(tuple(word for word, _ in stream[k:k + run]), all(i for _, i in stream[k:k + run])) for k in range(len(stream) - run + 1)]
+        uses = {}
+        for other in host:
+            for each in set(runs(other)):
+                uses[each] = uses.get(each, 0) + 1
+        here = [uses[each] if each[1] == (text is not None) else 0 for each in runs(list(zip(words, flags)))]
+        if text is None:
+            found[n] = html_extraction.unmarked_text(words, spans, [k for k, c in enumerate(here) if c >= 2 and 10 * c >= len(host)])
+        else:
+            found[n] = html_extraction.marked_text(words, spans, [k for k, c in enumerate(here) if c >= 3 and 2 * c > articles])
+    return found
+
+
+@pytest.mark.parametrize("group, size, broadcast", [(500, 8_000_000, 500_000), (500, 400, 500_000), (7, 8_000_000, 0), (500, 40, 0)])
+def test_groups_of_a_host_find_what_the_whole_host_repeats(spark, monkeypatch, group, size, broadcast):
+    monkeypatch.setattr(html_extraction, "GROUP_PAGES", group)
+    monkeypatch.setattr(html_extraction, "GROUP_SIZE", size)
+    monkeypatch.setattr(html_extraction, "BROADCAST_SUFFIXES", broadcast)
+    rare = "<div>as we have said more than once before</div>"
+    pages = [marked(n, NOTICE if n % 5 else "") for n in range(25)] + [marked(3)] * 20 + [marked(n, NOTICE if n % 3 == 0 else "", "c.example") for n in range(9)]
+    pages += [(f"http://{host}/u{n}", f"<body>{MENU}<div>{n} stands alone here</div>{rare if n < few else ''}")
+              for host, many, few in (("a.example", 12, 2), ("b.example", 30, 6)) for n in range(many)]
+    pages += [(None, f"<body>{MENU}{n}") for n in range(3)]
+    found = texts_of(spark, pages)
+    assert found == plain_texts(pages)
+    assert found[1].count("\n") == 1 and found[48].endswith("app") and found[54].endswith("\nas we have said more than once before")
+    assert found[66] == "0" and found[72] == "6 stands alone here"
