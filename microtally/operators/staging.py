@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from microtally.errors import DuplicateShareError, SourceError
 from microtally.functions.text import LONG_INTEGER, PLAIN_INTEGER, blank_to_null, is_number
+from microtally.session import scratch_path
 from microtally.settings import MAX_DUPLICATE_SHARE
+from microtally.sources import datasets
 from microtally.sources.text_tables import clean_names
 
 FILE_ORDER = ["source_file", "source_line"]
@@ -157,18 +159,23 @@ class Deduplicated:
     """Lazy results of a de-duplication.
 
     ``keyed`` has one row per key: its first row, the number of distinct rows ``sharing``
-    it and of all ``copies``. Everything else follows from it, except the rejects.
+    it and of all ``copies``. ``firsts`` moves a row once instead of twice: it knows of a key
+    its first row, its ``copies`` and whether distinct rows share it, but not how many.
     """
 
     keyed: DataFrame
+    firsts: DataFrame
     rejects: DataFrame
     key: list
     columns: list
+    source: DataFrame
+    data_columns: list
+    order: list
 
     @property
     def kept(self) -> DataFrame:
         """Surviving rows."""
-        return self.survivors(self.keyed)
+        return self.survivors(self.firsts)
 
     @property
     def stats(self) -> DataFrame:
@@ -178,6 +185,35 @@ class Deduplicated:
     def survivors(self, keyed: DataFrame) -> DataFrame:
         return keyed.select(*_restore(self.columns, self.key))
 
+    def parts(self) -> list["Deduplicated"]:
+        """The same work cut by its keys: no key is in two parts, and the parts add up to the whole.
+
+        A shuffled row is several times as large as a written one, and shuffle files last as long as
+        a job. A large table is therefore worked on in a few jobs, one after another; each reads the
+        source again. One part if the source is small.
+        """
+        if scanned_bytes(self.source) < PART_FROM_BYTES or "collate" in self.source.select(*self.key).schema.simpleString():
+            return [self]
+        part = F.pmod(F.xxhash64(*self.key), F.lit(PARTS))
+        return [deduplicate(self.source.where(part == i), self.key, self.data_columns, self.order) for i in range(PARTS)]
+
+    def stored(self) -> DataFrame:
+        """Surviving rows, written part by part into the scratch folder and read from there."""
+        path = scratch_path(self.source.sparkSession, "kept")
+        datasets.write_parts([part.kept for part in self.parts()], path)
+        return self.source.sparkSession.read.parquet(path)
+
+
+# Parts a large table is de-duplicated in, and the size of the files it is read from that makes it large.
+PARTS = 4
+PART_FROM_BYTES = 64 << 20
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Estimated size of all that a frame reads, in bytes, however its rows are joined later on."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
 
 def drop_exact_copies(df: DataFrame, data_columns, order=FILE_ORDER) -> DataFrame:
     """Distinct rows over the data columns, each with its first place and its ``copies``.
@@ -201,12 +237,29 @@ def deduplicate(df: DataFrame, key, data_columns, order=FILE_ORDER) -> Deduplica
     distinct = drop_exact_copies(df, data_columns, order)
     columns = [name for name in df.columns if name in {*data_columns, *order}]
     rest = [name for name in columns if name not in {*key, *order}]
+    firsts = first_rows(df.select(*columns), key, data_columns, order)
     keyed = distinct.groupBy(*key).agg(
         F.min_by(F.struct(*order, *rest), F.struct(*order)).alias("_first"),
         F.count("*").alias("sharing"),
         F.sum("copies").alias("copies"),
     )
-    return Deduplicated(keyed, _rows_sharing_a_key(distinct, key).select(*columns), list(key), columns)
+    rejects = _rows_sharing_a_key(distinct, key).select(*columns)
+    return Deduplicated(keyed, firsts, rejects, list(key), columns, df, list(data_columns), list(order))
+
+
+def first_rows(df: DataFrame, key, data_columns, order) -> DataFrame:
+    """One row per key: its first row, the number of its ``copies``, and whether they differ in the data columns.
+
+    All in one aggregate: copies of a row have the same smallest and largest row. Of rows in the same
+    place the smallest is the first.
+    """
+    rest = [name for name in df.columns if name not in {*key, *order}]
+    plain = df.withColumns({  # no negative zeros, as after grouping by the data columns
+        name: F.col(name) + F.lit(0).cast(kind) for name, kind in df.dtypes if kind in ("float", "double") and name in data_columns})
+    compared = F.struct(*[name for name in data_columns if name not in key])
+    differ = F.min(compared) != F.max(compared) if {*data_columns} - {*key} else F.lit(False)
+    return plain.groupBy(*key).agg(
+        F.min(F.struct(*order, *rest)).alias("_first"), F.count("*").alias("copies"), differ.alias("shared"))
 
 
 def dedup_counters() -> list:
@@ -221,6 +274,15 @@ def dedup_counters() -> list:
     ]
 
 
+def first_counters() -> list:
+    """What the first rows of the keys of a table tell about it."""
+    return [
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"),
+        F.count_if("shared").alias("shared_keys"),
+        F.count("*").alias("rows_out"),
+    ]
+
+
 def _rows_sharing_a_key(distinct: DataFrame, key) -> DataFrame:
     """Rows of the repeated keys, null keys included.
 

@@ -5,6 +5,7 @@ resumed at any stage and a lost executor costs at most the tasks it was running.
 """
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -280,26 +281,37 @@ def stage_table(run: SurveyRun, table: str, path: str, encoding: str) -> dict:
     blocks = text_tables.block_facts(kinds, *staging.type_counters(typed_names))
     types = staging.decide_types(staging.add_up(blocks).first().asDict(), typed_names)
     typed = staging.apply_types(text_tables.number_rows(clean, blocks), types)
-    return {**write_staged(run, table, staging.deduplicate(typed, key, names)), "typed_columns": len(types)}
+    return {**write_staged(run, table, staging.deduplicate(typed, key, names), whole=True), "typed_columns": len(types)}
 
 
-def write_staged(run: SurveyRun, table: str, deduplicated: staging.Deduplicated) -> dict:
+def write_staged(run: SurveyRun, table: str, deduplicated: staging.Deduplicated, whole: bool = False) -> dict:
     """Write survivors, their counts and the rejects of one table.
 
     A batch writes into its own folder, so one that is stopped for too many duplicates
-    replaces nothing.
+    replaces nothing. A large table is worked on in parts, unless it must be ``whole``, like text
+    that is dear to parse once more.
     """
-    seen = Observation()
-    keyed = deduplicated.keyed.observe(seen, *staging.dedup_counters())
-    kept = deduplicated.survivors(keyed).withColumn("batch_id", F.lit(run.batch_id)).withColumn(
-        "ingested_at", F.current_timestamp()
-    )
-    datasets.write_table(kept, run.staged_path(table))
-    stats = dict(seen.get)
-    staging.check_duplicate_share(table, stats, run.max_duplicate_share)
-    rejects = deduplicated.rejects if stats["rows_sharing_a_key"] else deduplicated.rejects.limit(0)
-    datasets.write_table(rejects, run.path("staging_rejects", f"{table}/batch={run.batch_id}"))
-    return {"table": table, **stats}
+    parts = [deduplicated] if whole else deduplicated.parts()
+    seen = [Observation() for _ in parts]
+    ingested_at = F.lit(datetime.now(timezone.utc))
+    kept = [
+        part.survivors(part.firsts.observe(counted, *staging.first_counters()))
+        .withColumn("batch_id", F.lit(run.batch_id)).withColumn("ingested_at", ingested_at)
+        for part, counted in zip(parts, seen)
+    ]
+    datasets.write_parts(kept, run.staged_path(table))
+    counts = [counted.get for counted in seen]
+    rows_in, shared_keys, rows_out = (sum(count[name] for count in counts) for name in ("rows_in", "shared_keys", "rows_out"))
+    staging.check_duplicate_share(table, {"rows_in": rows_in, "rows_out": rows_out}, run.max_duplicate_share)
+    sharing = [(part.rejects, Observation()) for part, count in zip(parts, counts) if count["shared_keys"]]
+    rejects = [rows.observe(counted, F.count("*").alias("rows")) for rows, counted in sharing]
+    datasets.write_parts(rejects or [deduplicated.rejects.limit(0)], run.path("staging_rejects", f"{table}/batch={run.batch_id}"))
+    rejected = sum(counted.get["rows"] for _, counted in sharing)
+    repeats = rejected - shared_keys
+    return {
+        "table": table, "rows_in": rows_in, "exact_duplicates_removed": rows_in - rows_out - repeats,
+        "rows_sharing_a_key": rejected, "key_duplicates_removed": repeats, "rows_out": rows_out,
+    }
 
 
 # Stage names in their order; each needs the ones before it.

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from microtally.session import path_exists
+from microtally.errors import SourceError
+from microtally.session import path_exists, shuffles_removed
 from microtally.settings import PARTITION_COLUMN
 
 # Rows one file of a partition may hold; a larger partition is split over several files.
@@ -27,6 +28,34 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_parts(frames, path: str) -> None:
+    """Replace a table by the rows of several frames, each written in a job of its own.
+
+    The shuffle files of one frame are gone before the next one starts. The table gets its name
+    after the last frame, so readers never see some of the parts.
+    """
+    first, *others = frames
+    if not others:
+        return write_table(first, path)
+    spark = first.sparkSession
+    folder, name = path.rsplit("/", 1)
+    unseen = f"{folder}/_parts-{name.replace('=', '-')}"
+    to, made = (spark._jvm.org.apache.hadoop.fs.Path(place) for place in (path, unseen))
+    system = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    for place in (to, made):
+        system.delete(place, True)
+    try:
+        with shuffles_removed(spark):
+            for frame in frames:
+                frame.write.mode("append").parquet(unseen)
+    except BaseException:
+        system.delete(made, True)
+        raise
+    system.delete(to, True)
+    if not system.rename(made, to):
+        raise SourceError(f"{unseen} was written, but could not be renamed to {path}")
+
+
 def write_partitioned(df: DataFrame, path: str, key: str = PARTITION_COLUMN, sort_by=()) -> None:
     """Replace a whole partitioned dataset, so that no old partition survives.
 

@@ -145,6 +145,48 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.count("partial_min_by") == 1 and "Window" not in plan
 
 
+def test_first_rows_tell_what_all_rows_tell(spark):
+    rows = [(k, a, b) for k in (None, 1, 2, 3) for a in (None, 0.0, -0.0, float("nan")) for b in (None, "x", "x", "y")][:-9]
+    rows += [(5, -0.0, "z"), (6, float("nan"), None), (6, float("nan"), None), (None, None, None)]
+    table = numbered(spark, rows, "k long, a double, b string")
+    result = staging.deduplicate(table, ["k"], ["k", "a", "b"])
+    keyed = {(r.k, str(r._first), r.copies, r.sharing > 1) for r in result.keyed.collect()}
+    firsts = [(r.k, str(r._first), r.copies, r.shared) for r in result.firsts.collect()]
+    assert set(firsts) == keyed and len(firsts) == len(keyed)
+    assert {k: shared for k, _, _, shared in firsts} == {None: True, 1: True, 2: True, 3: True, 5: False, 6: False}
+    plan = result.kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_the_key_may_be_all_there_is(spark):
+    table = numbered(spark, ROWS).select("meter", "source_line")
+    result = staging.deduplicate(table, ["meter"], ["meter"], ["source_line"])
+    assert {(r.meter, r.source_line) for r in result.kept.collect()} == {(70, 2), (71, 5), (None, 8)}
+    assert result.rejects.count() == 0 and not any(r.shared for r in result.firsts.collect())
+
+
+def test_parts_of_a_large_table_add_up(spark, monkeypatch):
+    rows = [*ROWS, (None, None, 4), (None, None, 5), *[(i % 50, i % 3, i % 7) for i in range(300)]]
+    whole = staging.deduplicate(numbered(spark, rows), ["meter", "day"], ["meter", "day", "reading"])
+    monkeypatch.setattr(staging, "PART_FROM_BYTES", 0)
+    parts = whole.parts()
+    assert len(parts) == staging.PARTS > 1
+    for made in ("kept", "rejects", "stats"):
+        of_parts = [getattr(part, made).collect() for part in parts]
+        if made == "stats":
+            assert tuple(map(sum, zip(*[found[0] for found in of_parts]))) == tuple(whole.stats.first())
+        else:
+            assert sorted(map(str, sum(of_parts, []))) == sorted(map(str, getattr(whole, made).collect()))
+            assert sum(map(bool, of_parts)) > 1
+    assert sorted(map(str, whole.stored().collect())) == sorted(map(str, whole.kept.collect()))
+
+
+def test_a_small_table_is_one_part(spark, tmp_path):
+    numbered(spark, ROWS).write.parquet(str(tmp_path / "t"))
+    small = staging.deduplicate(spark.read.parquet(str(tmp_path / "t")), ["meter", "day"], ["meter", "day", "reading"])
+    assert small.parts() == [small]
+
+
 def test_duplicate_share():
     assert staging.check_duplicate_share("t", {"rows_in": 5000, "rows_out": 4950}) == pytest.approx(0.01)
     with pytest.raises(DuplicateShareError, match="51 of 5,000"):

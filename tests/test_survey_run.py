@@ -3,13 +3,17 @@
 import json
 import random
 import shutil
+import time
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from microtally.contract import SURVEY_CONTRACT, without_minimums
 from microtally.errors import DataQualityError, DuplicateShareError
-from microtally.operators import load, rates
-from microtally.plans.survey_run import STAGES, SurveyRun, run_survey
+from microtally.operators import load, rates, staging
+from microtally.plans.survey_run import STAGES, SurveyRun, run_survey, write_staged
+from microtally.sources import datasets
 
 HOMES = 120
 REGIONS = [1, 2, 3, 13]
@@ -190,6 +194,41 @@ def test_changed_file_stops_at_the_raw_gate(finished, spark, tmp_path):
     assert report.first().checks_failed == 2
 
 
+def shuffle_files(spark):
+    kept = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {kept.apply(i).getName() for i in range(kept.size()) if kept.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_large_table_is_staged_in_parts_that_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "PART_FROM_BYTES", 0, raising=False)
+    rows = [(i % 400, i % 3, "f", i) for i in range(2_000)] + [(None, 1, "f", 2_000), (None, 1, "f", 2_001)]
+    spark.createDataFrame(rows, "k long, v long, source_file string, source_line long").write.parquet(str(tmp_path / "in"))
+    table = spark.read.parquet(str(tmp_path / "in"))
+    run = SurveyRun(spark, str(tmp_path / "out"), "", "", {}, "b1", max_duplicate_share=1.0)
+    before = shuffle_files(spark)
+    for _ in range(2):  # a batch replaces what it wrote
+        stats = write_staged(run, "t", staging.deduplicate(table, ["k"], ["k", "v"]))
+    until = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert stats == {"table": "t", "rows_in": 2002, "exact_duplicates_removed": 801, "rows_sharing_a_key": 1200,
+                     "key_duplicates_removed": 800, "rows_out": 401}
+    assert run.staged("t").count() == run.staged("t").select("k").distinct().count() == 401
+    assert run.staged("t").select("ingested_at").distinct().count() == 1
+    assert run.rejects("t").count() == 1200 and run.rejects("t").where("k IS NULL").count() == 0
+
+
+def test_a_table_of_which_a_part_failed_does_not_appear(spark, tmp_path):
+    path = str(tmp_path / "tables/batch=b1")
+    good, other = spark.range(5), spark.range(5, 9)
+    datasets.write_parts([good, other], path)
+    assert spark.read.parquet(path).count() == 9
+    with pytest.raises(PySparkException, match="no more"):
+        datasets.write_parts([good, other.withColumn("id", F.raise_error(F.lit("no more")).cast("long"))], path)
+    assert [entry for entry in (tmp_path / "tables").iterdir() if not entry.name.startswith(".")] == []
+
+
 def test_duplicates_are_rejected_or_stop_the_run(finished, spark, tmp_path):
     def repeat(content):
         lines = content.decode("utf-8").splitlines()

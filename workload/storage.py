@@ -199,8 +199,8 @@ def staged_rejects(spark, sf_dir):
         out.append((step, run.staged("lines").count(), run.rejects("lines").count(), refused))
 
     stage("first", copied)
-    kept = staging.deduplicate(copied, cleaning.LINE_KEY, cleaning.LINE_DATA, cleaning.PLACE).kept
-    stage("without repeats", checkpointed(kept))
+    kept = staging.deduplicate(copied, cleaning.LINE_KEY, cleaning.LINE_DATA, cleaning.PLACE).stored()
+    stage("without repeats", kept)
     stage("too many duplicates", copied, 0.0)
     return spark.createDataFrame(out, "step string, staged long, rejects long, refused boolean")
 
