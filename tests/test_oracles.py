@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from workload.check import compare, connect
@@ -41,6 +42,17 @@ def test_no_cross_joins_and_no_python_in_the_plan(spark, key):
         assert word not in plan
 
 
+def test_lines_are_copied_from_one_scan(spark):
+    from workload import cleaning
+
+    copied, lines = cleaning.copied_lines(spark, SF_DIR), spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    assert copied._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    twice = lines.where("l_orderkey % 10 = 0").withColumn("copy", F.lit(1))
+    expected = lines.withColumn("copy", F.lit(0)).unionByName(twice).select(*copied.columns)
+    assert copied.exceptAll(expected).isEmpty() and expected.exceptAll(copied).isEmpty()
+    assert copied.schema["copy"] == expected.schema["copy"]
+
+
 def test_person_profile_moves_each_table_once(spark, tmp_path):
     from microtally.operators import curate
     from workload import roles

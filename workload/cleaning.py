@@ -15,8 +15,8 @@ LINE_DATA = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"]
 def copied_lines(spark, sf_dir):
     """Line items with every tenth order key held twice, numbered by their own columns."""
     lines = read(spark, sf_dir, "lineitem").select(*LINE_DATA, "l_suppkey", "l_quantity", "l_extendedprice")
-    copies = lines.where(F.col("l_orderkey") % 10 == 0)
-    return lines.withColumn("copy", F.lit(0)).unionByName(copies.withColumn("copy", F.lit(1)))
+    copies = F.when(F.col("l_orderkey") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return lines.withColumn("copy", F.explode(copies))
 
 
 PLACE = ["l_suppkey", "l_quantity", "l_extendedprice", "copy"]
